@@ -18,9 +18,11 @@ Plan per round (edges are never shuffled again after :func:`prepare_graph`):
 2. contributions ``w·rank`` are summed per target inside each task, then one
    exchange by vertex id brings them together with every vertex's own row
    (so vertices without in-links stay, at 0) — a co-group, without a join;
-3. δ is a scalar subquery over the previous ranks; the new ranks are
-   checkpointed to the shared checkpoint folder, which cuts the lineage and
-   lets a lost executor's work be recomputed from the last round only.
+3. δ is the dangling mass of the previous ranks, measured by one small
+   aggregate over their checkpoint (:func:`rank_step` alone can also take it
+   as a scalar subquery); the new ranks are checkpointed to the shared
+   checkpoint folder, which cuts the lineage and lets a lost executor's work
+   be recomputed from the last round only.
 
 Skew: a vertex with very many distinct targets is split into
 ``ceil(targets / split)`` buckets by a hash of the target, so its edges spread
@@ -39,13 +41,12 @@ from pyspark.sql import functions as F
 
 from ..functions import ALPHA, ITERATIONS
 from ..session import checkpoint_root, scratch_path
+from ..sources import write_rank_snapshot
 from .graph import Graph, edge_pairs, node_table
 
 # Most distinct targets one (source, bucket) group holds before the source is split.
 DEFAULT_SPLIT = 1 << 16
 
-RANK_COLUMNS = ["id", "nb", "dangling", "is_page", "rank"]
-
 
 @dataclass
 class PreparedGraph:
@@ -165,23 +166,34 @@ class RankRun:
     trace: list[Row] = field(default_factory=list)
 
 
-def _round_metrics(ranks: DataFrame) -> Row:
-    return ranks.agg(
-        F.sum("rank").alias("rank_sum"),
-        F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
-        F.coalesce(F.max(F.abs(F.col("rank") - F.col("prev"))), F.lit(0.0)).alias("max_change"),
-        F.coalesce(F.sum(F.abs(F.col("rank") - F.col("prev"))), F.lit(0.0)).alias("l1_change"),
-    ).first()
+def _round_metrics() -> list[F.Column]:
+    change = F.abs(F.col("rank") - F.col("prev"))
+    return [F.coalesce(F.sum("rank"), F.lit(0.0)).alias("rank_sum"),
+            F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
+            F.coalesce(F.max(change), F.lit(0.0)).alias("max_change"),
+            F.coalesce(F.sum(change), F.lit(0.0)).alias("l1_change")]
+
+
+def _materialize(ranks: DataFrame) -> tuple[DataFrame, Row]:
+    """Checkpoint one round (reliable, into the shared checkpoint folder) and
+    read its metrics with one small aggregate over the checkpointed rows.
+
+    The aggregate scans N rank rows, never the edges, and is exact whatever
+    tasks were retried. Its dangling mass is the next round's δ.
+    """
+    out = ranks.checkpoint()
+    return out, out.agg(*_round_metrics()).first()
 
 
 def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERATIONS,
              n: str = "all", n_records: int | None = None, tol: float | None = None,
-             trace: bool = False) -> RankRun:
-    """The fixed-count loop, with optional per-round trace and early stop.
+             trace: bool = False, snapshots: str | None = None) -> RankRun:
+    """The fixed-count loop, with per-round trace and optional early stop.
 
     ``n='all'``: N = |V|; ``n='records'``: N = accepted records (``n_records``).
-    The trace and ``tol`` cost one extra pass over the (checkpointed) ranks per
-    round; without them each round is one job.
+    δ of each round is the dangling mass measured on the previous round's
+    checkpoint. ``snapshots``: also write every round as parquet under
+    ``<snapshots>/iter=<i>`` (S4).
     """
     if n == "all":
         size = float(prep.n_nodes)
@@ -191,18 +203,18 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
         size = float(n_records)
     else:
         raise ValueError("n must be 'all' or 'records'")
-    ranks = initial_ranks(prep, size).withColumn("prev", F.col("rank")).checkpoint()
+    ranks, m = _materialize(initial_ranks(prep, size).withColumn("prev", F.col("rank")))
     rows: list[Row] = []
     done = 0
     for i in range(1, iterations + 1):
-        ranks = rank_step(prep, ranks, size, alpha).checkpoint()
+        ranks, m = _materialize(rank_step(prep, ranks, size, alpha, delta=m["dangling_mass"]))
         done = i
-        if trace or tol is not None:
-            m = _round_metrics(ranks)
-            rows.append(Row(iteration=i, **m.asDict()))
-            if tol is not None and m["l1_change"] < tol:
-                break
-    return RankRun(ranks, done, rows)
+        if snapshots:
+            write_rank_snapshot(ranks, snapshots, i)
+        rows.append(Row(iteration=i, **m.asDict()))
+        if tol is not None and m["l1_change"] < tol:
+            break
+    return RankRun(ranks, done, rows if trace or tol is not None else [])
 
 
 def rank_nodes(graph: Graph, alpha: float = ALPHA, iterations: int = ITERATIONS,
