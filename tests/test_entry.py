@@ -1,0 +1,38 @@
+"""Driver contract and the oracle comparison on the smallest tables."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
+import __spark_entry__ as entry  # noqa: E402
+from compare import compare, duck  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    rows = df.collect()
+    assert df.columns == ["name", "rank"]
+    assert 0 < len(rows) <= 100
+    ranks = [r.rank for r in rows]
+    assert ranks == sorted(ranks, reverse=True)
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_oracle(spark, con, name):
+    problems, n, _, _ = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF)
+    assert not problems, problems
+    assert n > 0
