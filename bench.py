@@ -59,7 +59,7 @@ def main() -> None:
     times["rank_round_avg"] = round(times["rank_10_rounds"] / max(result.iterations, 1), 3)
 
     # 3. top-100 over the final ranks
-    timed("top_100", lambda: top_k(result.ranks.select("id", "rank"), 100).collect())
+    timed("top_100", lambda: top_k(prep.named(result.ranks), 100).collect())
     prep.release()
 
     # the reference's whole program on the strict-mode dump

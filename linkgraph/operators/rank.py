@@ -9,7 +9,13 @@ N = |V|, r₀ = 1/N):
 Ranks total 1 in every round. The parity step is one round with N = accepted
 records, r₀ = 1/N on pages only and δ = 0.
 
-Plan per round (edges are never shuffled again after :func:`prepare_graph`):
+Preparation, once (:func:`prepare_graph`): repeated links are merged, every
+vertex gets a dense 64-bit id ``vid``, and the weighted edges
+``(src_vid, bucket, dst_vid, w)`` are written as a table bucketed by
+``(src_vid, bucket)``. Names never travel through the rounds; they are joined
+back once at the end.
+
+Plan per round (edges are never shuffled again):
 
 1. ranks of vertices with out-links, one row per (vertex, bucket), are
    shuffled to the bucketed edge table's layout and joined to it
@@ -18,11 +24,10 @@ Plan per round (edges are never shuffled again after :func:`prepare_graph`):
 2. contributions ``w·rank`` are summed per target inside each task, then one
    exchange by vertex id brings them together with every vertex's own row
    (so vertices without in-links stay, at 0) — a co-group, without a join;
-3. δ is the dangling mass of the previous ranks, measured by one small
-   aggregate over their checkpoint (:func:`rank_step` alone can also take it
-   as a scalar subquery); the new ranks are checkpointed to the shared
-   checkpoint folder, which cuts the lineage and lets a lost executor's work
-   be recomputed from the last round only.
+3. the new ranks are checkpointed to the shared checkpoint folder, which cuts
+   the lineage and lets a lost executor's work be recomputed from the last
+   round only; one small aggregate over that checkpoint gives the round's
+   metrics, including the next δ.
 
 Skew: a vertex with very many distinct targets is split into
 ``ceil(targets / split)`` buckets by a hash of the target, so its edges spread
@@ -32,6 +37,7 @@ many in-links is pre-aggregated in every task before the exchange.
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass, field
 
@@ -46,18 +52,26 @@ from .graph import Graph, edge_pairs, node_table
 
 # Most distinct targets one (source, bucket) group holds before the source is split.
 DEFAULT_SPLIT = 1 << 16
+# Compacted edges per bucket of the edge table when the bucket count is derived.
+EDGES_PER_BUCKET = 8 << 20
 
 
 @dataclass
 class PreparedGraph:
     """Edges weighted and laid out once; vertices with their attributes."""
 
-    wedges: DataFrame      # (src, bucket, dst, w) bucketed by (src, bucket)
-    nodes: DataFrame       # (id, out_degree, n_targets, dangling, is_page, nb), checkpointed
+    wedges: DataFrame      # (src_vid, bucket, dst_vid, w) bucketed by (src_vid, bucket)
+    nodes: DataFrame       # (id, out_degree, n_targets, dangling, is_page, nb, vid), checkpointed
     n_nodes: int
     table: str
     partitions: int
 
+    def named(self, ranks: DataFrame) -> DataFrame:
+        """``(id, rank, is_page)``: vertex names joined back onto ranks by ``vid``."""
+        return (ranks.select("vid", "rank")
+                .join(self.nodes.select("vid", "id", "is_page"), "vid")
+                .select("id", "rank", "is_page"))
+
     def release(self) -> None:
         """Forget the catalog entry of the edge table (its files stay in the
         checkpoint folder, like RDD checkpoints)."""
@@ -66,36 +80,47 @@ class PreparedGraph:
 
 def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
                   partitions: int | None = None) -> PreparedGraph:
-    """Compact, weight and lay out the edges once for all rounds.
+    """Compact, number, weight and lay out the edges once for all rounds.
 
     * ``pairs(src, dst, mult)``: repeats merged (partial counts per task);
-    * vertices with degree and bucket count ``nb``, checkpointed;
-    * ``wedges(src, bucket, dst, w = mult/d(src))`` written as a table bucketed
-      by ``(src, bucket)`` into the checkpoint folder, so each round joins
-      against it without moving an edge.
+    * vertices with degree, bucket count ``nb`` and dense id ``vid``,
+      checkpointed (the checkpoint fixes the ids for good);
+    * ``wedges(src_vid, bucket, dst_vid, w = mult/d(src))`` written as a table
+      bucketed by ``(src_vid, bucket)`` into the checkpoint folder, so each
+      round joins against it without moving an edge. The bucket count is
+      ``partitions``, or the session's shuffle partitions raised so that a
+      bucket holds about ``EDGES_PER_BUCKET`` edges.
     """
     if split < 1:
         raise ValueError("split must be at least 1")
     spark = graph.edges.sparkSession
     checkpoint_root(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     pairs = edge_pairs(graph).persist(StorageLevel.MEMORY_AND_DISK)
     nb = F.when(F.col("n_targets") > 0, F.ceil(F.col("n_targets") / F.lit(split))) \
         .otherwise(F.lit(0)).cast("bigint")
-    nodes = node_table(graph, pairs).withColumn("nb", nb).checkpoint()
+    nodes = (node_table(graph, pairs).withColumn("nb", nb)
+             .withColumn("vid", F.monotonically_increasing_id())
+             .checkpoint())
     n = nodes.count()
+    if partitions:
+        parts = int(partitions)
+    else:
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    math.ceil(pairs.count() / EDGES_PER_BUCKET))
 
     src_info = (nodes.where(F.col("nb") > 0)
-                .select(F.col("id").alias("src"), "out_degree", "nb"))
+                .select(F.col("id").alias("src"), F.col("vid").alias("src_vid"), "out_degree", "nb"))
+    dst_info = nodes.select(F.col("id").alias("dst"), F.col("vid").alias("dst_vid"))
     wedges = (pairs.join(src_info.hint("shuffle_hash"), "src")
-              .select("src",
-                      F.pmod(F.xxhash64("dst"), F.col("nb")).cast("bigint").alias("bucket"),
-                      "dst",
+              .join(dst_info.hint("shuffle_hash"), "dst")
+              .select("src_vid",
+                      F.pmod(F.xxhash64("dst_vid"), F.col("nb")).cast("bigint").alias("bucket"),
+                      "dst_vid",
                       (F.col("mult") / F.col("out_degree")).alias("w")))
     table = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}"
-    (wedges.repartition(parts, "src", "bucket")
-     .write.bucketBy(parts, "src", "bucket")
+    (wedges.repartition(parts, "src_vid", "bucket")
+     .write.bucketBy(parts, "src_vid", "bucket")
      .option("path", scratch_path(spark, "wedges"))
      .saveAsTable(table))
     pairs.unpersist()
@@ -103,65 +128,70 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
 
 
 def initial_ranks(prep: PreparedGraph, n: float, pages_only: bool = False) -> DataFrame:
-    """r₀ = 1/N for every vertex, or (parity) for pages only and 0 elsewhere."""
+    """``(vid, nb, rank, prev)`` with r₀ = 1/N for every vertex, or
+    (parity) for pages only and 0 elsewhere."""
     r0 = F.lit(1.0 / n) if n else F.lit(0.0)
     rank = F.when(F.col("is_page"), r0).otherwise(F.lit(0.0)) if pages_only else r0
-    return prep.nodes.select("id", "nb", "dangling", "is_page", rank.alias("rank"))
+    return prep.nodes.select("vid", "nb", rank.alias("rank"), rank.alias("prev"))
 
 
 def dangling_mass(ranks: DataFrame) -> DataFrame:
     """A5: one row ``dangling_mass``: total rank held by vertices without out-links."""
-    return ranks.where("dangling").agg(
+    return ranks.where(F.col("nb") == 0).agg(
         F.coalesce(F.sum("rank"), F.lit(0.0)).alias("dangling_mass"))
 
 
-def contributions(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
-    """``(src, dst, contribution)``: rank carried along each compacted edge."""
+def _rank_rows_by_bucket(ranks: DataFrame) -> DataFrame:
+    return (ranks.where(F.col("nb") > 0)
+            .select(F.col("vid").alias("src_vid"),
+                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)).alias("bucket"),
+                    "rank"))
+
+
+def _carried(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
+    """``(src_vid, dst_vid, c)``: rank carried along every compacted edge."""
     rx = _rank_rows_by_bucket(ranks)
-    return (prep.wedges.join(rx.hint("shuffle_hash"), ["src", "bucket"])
-            .select("src", "dst", (F.col("w") * F.col("rank")).alias("contribution")))
+    return (prep.wedges.join(rx.hint("shuffle_hash"), ["src_vid", "bucket"])
+            .select("src_vid", "dst_vid", (F.col("w") * F.col("rank")).alias("c")))
+
+
+def contributions(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
+    """``(src, dst, contribution)``: rank carried along each compacted
+    edge, with vertex names (a diagnostic view; the rounds never name vertices)."""
+    names = prep.nodes.select("vid", "id")
+    return (_carried(prep, ranks)
+            .join(names.select(F.col("vid").alias("src_vid"), F.col("id").alias("src")), "src_vid")
+            .join(names.select(F.col("vid").alias("dst_vid"), F.col("id").alias("dst")), "dst_vid")
+            .select("src", "dst", F.col("c").alias("contribution")))
 
 
 def contribution_sums(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
-    """Every vertex with the sum of rank reaching it (0 without in-links),
-    next to its own attributes and previous rank ``prev``."""
-    rx = _rank_rows_by_bucket(ranks)
-    contrib = (prep.wedges.join(rx.hint("shuffle_hash"), ["src", "bucket"])
-               .select(F.col("dst").alias("id"),
-                       (F.col("w") * F.col("rank")).alias("c"),
-                       F.lit(None).cast("bigint").alias("nb"),
-                       F.lit(None).cast("boolean").alias("dangling"),
-                       F.lit(None).cast("boolean").alias("is_page"),
-                       F.lit(None).cast("double").alias("prev")))
-    own = ranks.select("id", F.lit(0.0).alias("c"), "nb", "dangling", "is_page",
-                       F.col("rank").alias("prev"))
-    return (contrib.unionByName(own).groupBy("id")
+    """``(vid, contrib_sum, nb, prev)`` for every vertex: the rank
+    reaching it (0 without in-links) next to its bucket count and previous rank."""
+    contrib = _carried(prep, ranks).select(
+        F.col("dst_vid").alias("vid"), "c",
+        F.lit(None).cast("bigint").alias("nb"), F.lit(None).cast("double").alias("prev"))
+    own = ranks.select("vid", F.lit(0.0).alias("c"), "nb", F.col("rank").alias("prev"))
+    return (contrib.unionByName(own).groupBy("vid")
             .agg(F.sum("c").alias("contrib_sum"), F.max("nb").alias("nb"),
-                 F.max("dangling").alias("dangling"), F.max("is_page").alias("is_page"),
                  F.max("prev").alias("prev")))
 
 
-def _rank_rows_by_bucket(ranks: DataFrame) -> DataFrame:
-    return (ranks.where(F.col("nb") > 0)
-            .select(F.col("id").alias("src"),
-                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)).alias("bucket"),
-                    "rank"))
-
-
 def rank_step(prep: PreparedGraph, ranks: DataFrame, n: float, alpha: float = ALPHA,
               delta: float | None = None) -> DataFrame:
-    """One round. ``delta=None`` takes δ from ``ranks`` (standard);
-    a number fixes it (0 for the parity step). Lazy: nothing runs here."""
+    """One round, ``(vid, nb, rank, prev)``. ``delta=None`` takes δ from
+    ``ranks`` as a scalar subquery; a number fixes it (the loop passes the
+    measured value; the parity step passes 0). Lazy: nothing runs here."""
     d = dangling_mass(ranks).scalar() if delta is None else F.lit(float(delta))
     sums = contribution_sums(prep, ranks)
     new = (F.lit(alpha / n) + F.lit(1.0 - alpha) * (d / F.lit(float(n)) + F.col("contrib_sum"))) \
         if n else F.lit(0.0)
-    return sums.select("id", "nb", "dangling", "is_page", new.alias("rank"), "prev")
+    return sums.select("vid", "nb", new.alias("rank"), "prev")
 
 
 @dataclass
 class RankRun:
-    ranks: DataFrame                 # (id, nb, dangling, is_page, rank, prev), checkpointed
+    ranks: DataFrame                 # (vid, nb, rank, prev), checkpointed
     iterations: int
     trace: list[Row] = field(default_factory=list)
 
@@ -169,7 +199,7 @@ class RankRun:
 def _round_metrics() -> list[F.Column]:
     change = F.abs(F.col("rank") - F.col("prev"))
     return [F.coalesce(F.sum("rank"), F.lit(0.0)).alias("rank_sum"),
-            F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
+            F.coalesce(F.sum(F.when(F.col("nb") == 0, F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
             F.coalesce(F.max(change), F.lit(0.0)).alias("max_change"),
             F.coalesce(F.sum(change), F.lit(0.0)).alias("l1_change")]
 
@@ -192,7 +222,8 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
 
     ``n='all'``: N = |V|; ``n='records'``: N = accepted records (``n_records``).
     δ of each round is the dangling mass measured on the previous round's
-    checkpoint. ``snapshots``: also write every round as parquet under
+    checkpoint. ``tol``: stop after the first round whose L1 change is below
+    it. ``snapshots``: also write every round, named, as parquet under
     ``<snapshots>/iter=<i>`` (S4).
     """
     if n == "all":
@@ -203,20 +234,31 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
         size = float(n_records)
     else:
         raise ValueError("n must be 'all' or 'records'")
-    ranks, m = _materialize(initial_ranks(prep, size).withColumn("prev", F.col("rank")))
+    ranks, m = _materialize(initial_ranks(prep, size))
     rows: list[Row] = []
     done = 0
     for i in range(1, iterations + 1):
         ranks, m = _materialize(rank_step(prep, ranks, size, alpha, delta=m["dangling_mass"]))
         done = i
-        if snapshots:
-            write_rank_snapshot(ranks, snapshots, i)
         rows.append(Row(iteration=i, **m.asDict()))
+        if snapshots:
+            write_rank_snapshot(prep.named(ranks), snapshots, i)
         if tol is not None and m["l1_change"] < tol:
             break
     return RankRun(ranks, done, rows if trace or tol is not None else [])
 
 
+def finish(prep: PreparedGraph, ranks: DataFrame, universe: str = "all") -> DataFrame:
+    """``(id, rank)``: name the ranks and checkpoint the result, so it stays
+    valid after the edge table's catalog entry is released."""
+    if universe not in ("all", "pages"):
+        raise ValueError("universe must be 'all' or 'pages'")
+    out = prep.named(ranks)
+    if universe == "pages":
+        out = out.where("is_page")
+    return out.select("id", "rank").checkpoint()
+
+
 def rank_nodes(graph: Graph, alpha: float = ALPHA, iterations: int = ITERATIONS,
                n: str = "all", universe: str = "all", tol: float | None = None,
                split: int = DEFAULT_SPLIT, partitions: int | None = None) -> DataFrame:
@@ -228,14 +270,10 @@ def rank_nodes(graph: Graph, alpha: float = ALPHA, iterations: int = ITERATIONS,
     prep = prepare_graph(graph, split=split, partitions=partitions)
     try:
         recs = graph.n_records() if n == "records" else None
-        out = run_rank(prep, alpha, iterations, n=n, n_records=recs, tol=tol).ranks
+        run = run_rank(prep, alpha, iterations, n=n, n_records=recs, tol=tol)
+        return finish(prep, run.ranks, universe)
     finally:
         prep.release()
-    if universe == "pages":
-        out = out.where("is_page")
-    elif universe != "all":
-        raise ValueError("universe must be 'all' or 'pages'")
-    return out.select("id", "rank")
 
 
 def rank_trace(graph: Graph, alpha: float = ALPHA, iterations: int = ITERATIONS,
@@ -260,8 +298,7 @@ def parity_step(graph: Graph, alpha: float = ALPHA, split: int = DEFAULT_SPLIT,
     prep = prepare_graph(graph, split=split, partitions=partitions)
     try:
         size = float(graph.n_records())
-        r0 = initial_ranks(prep, size, pages_only=True).withColumn("prev", F.col("rank"))
-        out = rank_step(prep, r0, size, alpha, delta=0.0).checkpoint()
+        r1 = rank_step(prep, initial_ranks(prep, size, pages_only=True), size, alpha, delta=0.0)
+        return finish(prep, r1.checkpoint())
     finally:
         prep.release()
-    return out.select("id", "rank")

@@ -143,7 +143,8 @@ def edge_contributions(spark, sf_dir):
 
 def contribution_sum(spark, sf_dir):
     prep, r0 = _trade_r0(spark, sf_dir)
-    return R.contribution_sums(prep, r0).select("id", _r("contrib_sum"))
+    sums = R.contribution_sums(prep, r0).join(prep.nodes.select("vid", "id"), "vid")
+    return sums.select("id", _r("contrib_sum"))
 
 
 def dangling_mass(spark, sf_dir):
@@ -176,9 +177,10 @@ def rank_until_tol(spark, sf_dir):
     prep = R.prepare_graph(trade_graph(spark, sf_dir))
     try:
         run = R.run_rank(prep, tol=oracle.TOL)
+        ranks = R.finish(prep, run.ranks)
     finally:
         prep.release()
-    return run.ranks.select("id", _r("rank"), F.lit(run.iterations).cast("bigint").alias("iterations"))
+    return ranks.select("id", _r("rank"), F.lit(run.iterations).cast("bigint").alias("iterations"))
 
 
 def top_100(spark, sf_dir):

@@ -43,7 +43,7 @@ def test_top_k_is_take_ordered(spark):
 
 def test_round_plan_moves_no_edges_and_broadcasts_nothing(spark):
     prep = R.prepare_graph(trade_graph(spark, SF))
-    r0 = R.initial_ranks(prep, float(prep.n_nodes)).withColumn("prev", F.col("rank")).checkpoint()
+    r0 = R.initial_ranks(prep, float(prep.n_nodes)).checkpoint()
     r1 = R.rank_step(prep, r0, float(prep.n_nodes), delta=0.0)
     nodes = plan_nodes(r1)
     kinds = [n for n, _ in nodes]
