@@ -39,8 +39,9 @@ class Ingested:
         return self.extracted.where(F.col("reason") != "ok").select("line", "reason")
 
 
-def _ingest(extracted: DataFrame, link_pattern: str, decode: bool,
-            materialize: bool) -> Ingested:
+def from_extracted(extracted: DataFrame, link_pattern: str = LINK_TARGET_PATTERN,
+                   decode: bool = True, materialize: bool = True) -> Ingested:
+    """Links, graph and report from an extraction table ``(page, reason, hrefs, line)``."""
     if materialize:
         checkpoint_root(extracted.sparkSession)
         extracted = extracted.checkpoint()
@@ -57,7 +58,7 @@ def ingest_lines(lines: DataFrame, mode: str = "strict", container=CONTAINER,
                  line_col: str = "value", materialize: bool = True) -> Ingested:
     """Text lines ``name:html`` (S1) → records, links and graph."""
     split = split_records(lines, line_col)
-    return _ingest(extract_links(split, mode, container), link_pattern, decode, materialize)
+    return from_extracted(extract_links(split, mode, container), link_pattern, decode, materialize)
 
 
 def ingest_pages(pages: DataFrame, mode: str = "lenient", container=NAV_CONTAINER,
@@ -65,8 +66,8 @@ def ingest_pages(pages: DataFrame, mode: str = "lenient", container=NAV_CONTAINE
                  materialize: bool = True) -> Ingested:
     """A page table ``(page, html)`` → links and graph; no line format, so no
     name split (names are taken as given)."""
-    return _ingest(extract_links(pages.select("page", "html"), mode, container),
-                   link_pattern, decode, materialize)
+    extracted = extract_links(pages.select("page", "html"), mode, container)
+    return from_extracted(extracted, link_pattern, decode, materialize)
 
 
 def run_dump(spark: SparkSession, path: str, alpha: float = ALPHA,
