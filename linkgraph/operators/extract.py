@@ -200,5 +200,6 @@ def link_rows(extracted: DataFrame, pattern: str = LINK_TARGET_PATTERN,
     rows = (extracted.where(F.col("reason") == "ok")
             .select("page", F.posexplode("hrefs").alias("pos", "href")))
     link = decode_href("href") if decode else F.col("href")
-    return (rows.select("page", "pos", "href", link_target(link, pattern).alias("target"))
+    return (rows.select("page", F.col("pos").cast("bigint").alias("pos"), "href",
+                        link_target(link, pattern).alias("target"))
             .where(F.col("target").isNotNull()))

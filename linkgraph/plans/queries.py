@@ -52,7 +52,8 @@ def _nav_words(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     nav = F.regexp_extract("html", r"<nav>.*?</nav>", 0)
     words = F.regexp_extract_all(nav, F.lit(r'href="/([^"]*)"'), F.lit(1))
-    return p.select("page_id", F.posexplode(words).alias("pos", "w"))
+    return (p.select("page_id", F.posexplode(words).alias("pos", "w"))
+            .withColumn("pos", F.col("pos").cast("bigint")))
 
 
 def _shape(shapes: list[Callable[[F.Column], F.Column]]) -> F.Column:
