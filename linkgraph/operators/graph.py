@@ -32,8 +32,9 @@ class Graph:
 
 
 def edge_pairs(graph: Graph) -> DataFrame:
-    """A1: links merged per ``(src, dst)`` with their multiplicity ``mult``."""
-    e = graph.edges
+    """A1: links merged per ``(src, dst)`` with their multiplicity ``mult``
+    (links with a missing end are not links and are left out)."""
+    e = graph.edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     mult = F.sum("mult") if "mult" in e.columns else F.count(F.lit(1))
     return e.groupBy("src", "dst").agg(mult.cast("bigint").alias("mult"))
 

@@ -102,12 +102,14 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     nodes = (node_table(graph, pairs).withColumn("nb", nb)
              .withColumn("vid", F.monotonically_increasing_id())
              .checkpoint())
-    n = nodes.count()
+    sizes = nodes.agg(F.count(F.lit(1)).alias("n"),
+                      F.coalesce(F.sum("n_targets"), F.lit(0)).alias("pairs")).first()
+    n = sizes["n"]
     if partitions:
         parts = int(partitions)
     else:
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                    math.ceil(pairs.count() / EDGES_PER_BUCKET))
+                    math.ceil(sizes["pairs"] / EDGES_PER_BUCKET))
 
     src_info = (nodes.where(F.col("nb") > 0)
                 .select(F.col("id").alias("src"), F.col("vid").alias("src_vid"), "out_degree", "nb"))

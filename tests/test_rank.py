@@ -117,3 +117,32 @@ def test_sentinel_name_is_an_ordinary_page(spark):
 def test_universe_pages(wiki14):
     got = as_dict(rank_nodes(wiki14.graph, universe="pages"))
     assert set(got) == {"A", "B", "C", "D", "E", "G", "H", "I"}
+
+
+def test_hot_source_spreads_over_buckets(spark):
+    """One vertex holds a third of all edges; its edges must not land in one task."""
+    from linkgraph.operators.rank import prepare_graph
+
+    hub = [("hub", f"t{i}") for i in range(3000)]
+    rest = [(f"s{i % 700}", f"t{(i * 7919) % 5000}") for i in range(6000)]
+    g = edges_graph(spark, hub + rest)
+    prep = prepare_graph(g, split=100, partitions=8)
+    # one file per bucket (the table is repartitioned by its bucket keys before writing)
+    per_task = [r["n"] for r in prep.wedges.groupBy(F.input_file_name().alias("f"))
+                .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(per_task) == 8
+    total = sum(per_task)
+    assert total == prep.wedges.count()
+    assert max(per_task) < 0.25 * total      # the hub alone would be a third
+    hub_vid = prep.nodes.where(F.col("id") == "hub").first()
+    assert hub_vid.nb == 30
+    r_split = as_dict(rank_nodes(g, split=100, partitions=8))
+    r_whole = as_dict(rank_nodes(g))
+    for k in r_whole:
+        assert r_split[k] == pytest.approx(r_whole[k], abs=1e-15)
+    prep.release()
+
+
+def test_null_ends_are_not_links(spark):
+    g = edges_graph(spark, [("a", "b"), (None, "b"), ("a", None)])
+    assert as_dict(rank_nodes(g)).keys() == {"a", "b"}
