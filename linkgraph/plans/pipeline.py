@@ -35,8 +35,9 @@ class Ingested:
         return reject_report(self.extracted)
 
     def rejects(self) -> DataFrame:
-        """``(line, reason)`` of every rejected record."""
-        return self.extracted.where(F.col("reason") != "ok").select("line", "reason")
+        """``(page, line, reason)`` of every rejected record (``line`` is null
+        when the ingest did not keep rejected lines)."""
+        return self.extracted.where(F.col("reason") != "ok").select("page", "line", "reason")
 
 
 def from_extracted(extracted: DataFrame, link_pattern: str = LINK_TARGET_PATTERN,
@@ -55,9 +56,17 @@ def from_extracted(extracted: DataFrame, link_pattern: str = LINK_TARGET_PATTERN
 
 def ingest_lines(lines: DataFrame, mode: str = "strict", container=CONTAINER,
                  link_pattern: str = LINK_TARGET_PATTERN, decode: bool = True,
-                 line_col: str = "value", materialize: bool = True) -> Ingested:
-    """Text lines ``name:html`` (S1) → records, links and graph."""
+                 line_col: str = "value", materialize: bool = True,
+                 keep_rejected_lines: bool = True) -> Ingested:
+    """Text lines ``name:html`` (S1) → records, links and graph.
+
+    ``keep_rejected_lines=False`` keeps only the page name and reason of
+    rejected records, so a dump with many rejects is not copied into the
+    checkpoint; the counts of :meth:`Ingested.report` are the same.
+    """
     split = split_records(lines, line_col)
+    if not keep_rejected_lines:
+        split = split.drop("line")
     return from_extracted(extract_links(split, mode, container), link_pattern, decode, materialize)
 
 

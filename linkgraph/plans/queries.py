@@ -132,25 +132,28 @@ def initial_rank(spark, sf_dir):
 
 # --- rank -------------------------------------------------------------------------------
 
-def _trade_r0(spark, sf_dir):
+def _first_round(spark, sf_dir, build):
+    """Prepare the trade graph, build one result from r₀, checkpoint it and
+    release the edge table."""
     prep = R.prepare_graph(trade_graph(spark, sf_dir))
-    return prep, R.initial_ranks(prep, float(prep.n_nodes))
+    try:
+        return build(prep, R.initial_ranks(prep, float(prep.n_nodes))).checkpoint()
+    finally:
+        prep.release()
 
 
 def edge_contributions(spark, sf_dir):
-    prep, r0 = _trade_r0(spark, sf_dir)
-    return R.contributions(prep, r0).select("src", "dst", _r("contribution"))
+    return _first_round(spark, sf_dir, lambda prep, r0: R.contributions(prep, r0).select(
+        "src", "dst", _r("contribution")))
 
 
 def contribution_sum(spark, sf_dir):
-    prep, r0 = _trade_r0(spark, sf_dir)
-    sums = R.contribution_sums(prep, r0).join(prep.nodes.select("vid", "id"), "vid")
-    return sums.select("id", _r("contrib_sum"))
+    return _first_round(spark, sf_dir, lambda prep, r0: R.contribution_sums(prep, r0)
+                        .join(prep.nodes.select("vid", "id"), "vid").select("id", _r("contrib_sum")))
 
 
 def dangling_mass(spark, sf_dir):
-    prep, r0 = _trade_r0(spark, sf_dir)
-    return R.dangling_mass(r0).select(_r("dangling_mass"))
+    return _first_round(spark, sf_dir, lambda prep, r0: R.dangling_mass(r0).select(_r("dangling_mass")))
 
 
 def rank_step_parity(spark, sf_dir):

@@ -69,6 +69,7 @@ def test_wiki14_outcomes(wiki14):
         ("E", "G H"), ("E", "Q%ZZ"), ("E", "R@amp;amp;D"), ("A", "D"),
         ("G", "A"), ("G", "B"), ("G", "C")])
     rejects = sorted((r.line, r.reason) for r in wiki14.rejects().collect())
+    assert all(r.line is not None for r in wiki14.rejects().collect())
     assert ("nodelimiter", "no_delimiter") in rejects
     assert ("Cat:Foo:<html/>", "ill_formed") in rejects
     assert len(rejects) == 5
