@@ -45,3 +45,19 @@ def test_ranked_text_and_round_snapshots(spark, wiki14):
     assert sorted(r.iter for r in snap.select("iter").distinct().collect()) == [1, 2]
     assert snap.where(F.col("iter") == 2).count() == 11
     prep.release()
+
+
+def test_command_line_writes_all_outputs(spark, capsys):
+    from linkgraph.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="lg-cli-")
+    spark.createDataFrame([(x,) for x in WIKI14], "value string").coalesce(1) \
+        .write.text(f"{d}/dump", compression="bzip2")
+    assert main([f"{d}/dump", f"{d}/graph", f"{d}/ranks", f"{d}/top", "--k", "2"]) == 0
+    printed = capsys.readouterr().out
+    assert "ok: 9" in printed and "Execution time of rank" in printed
+    top = [r.value for r in spark.read.text(f"{d}/top").collect()]
+    assert [t.split(" ")[0] for t in top] == ["C", "A"]
+    assert abs(float(top[0].split(" ")[1]) - 0.325656302036) < 1e-11
+    assert spark.read.parquet(f"{d}/ranks").select("iter").distinct().count() == 10
+    assert read_graph(spark, f"{d}/graph").edges.count() == 12   # 13 links, one repeat merged
