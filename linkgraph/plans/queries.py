@@ -17,6 +17,8 @@ from ..operators import graph as G
 from ..operators import rank as R
 from ..operators.records import split_records
 from ..operators.topk import format_ranked, top_k
+from ..session import scratch_path
+from ..sources import read_graph, write_graph
 from . import oracle
 from .graphs import page_nav, table, trade_graph, wiki_lines
 from .pipeline import ingest_lines, ingest_pages
@@ -172,6 +174,31 @@ def rank_10_nav(spark, sf_dir):
     return R.rank_nodes(_nav(spark, sf_dir).graph).select("id", _r("rank"))
 
 
+def rank_10_wiki_pages(spark, sf_dir):
+    return R.rank_nodes(_wiki(spark, sf_dir).graph, universe="pages").select("id", _r("rank"))
+
+
+def rank_10_wiki_records(spark, sf_dir):
+    return R.rank_nodes(_wiki(spark, sf_dir).graph, n="records").select("id", _r("rank"))
+
+
+def adjacency_snapshot(spark, sf_dir):
+    path = scratch_path(spark, "graph-snapshot")
+    write_graph(trade_graph(spark, sf_dir), path)
+    return G.edge_pairs(read_graph(spark, path))
+
+
+def rank_snapshot(spark, sf_dir):
+    path = scratch_path(spark, "rank-snapshots")
+    prep = R.prepare_graph(trade_graph(spark, sf_dir))
+    try:
+        R.run_rank(prep, snapshots=path)
+    finally:
+        prep.release()
+    last = spark.read.parquet(path).where(F.col("iter") == 10)
+    return last.select("id", _r("rank"))
+
+
 def rank_trace(spark, sf_dir):
     t = R.rank_trace(trade_graph(spark, sf_dir))
     return t.select("iteration", _r("rank_sum"), _r("dangling_mass"), _r("max_change"), _r("l1_change"))
@@ -216,6 +243,10 @@ QUERIES: dict[str, Query] = {
     "rank_10": rank_10,
     "rank_10_wiki": rank_10_wiki,
     "rank_10_nav": rank_10_nav,
+    "rank_10_wiki_pages": rank_10_wiki_pages,
+    "rank_10_wiki_records": rank_10_wiki_records,
+    "adjacency_snapshot": adjacency_snapshot,
+    "rank_snapshot": rank_snapshot,
     "rank_trace": rank_trace,
     "rank_until_tol": rank_until_tol,
     "top_100": top_100,

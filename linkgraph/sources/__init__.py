@@ -35,23 +35,27 @@ def write_graph(graph, path: str, mode: str = "overwrite") -> None:
 
     Edges are written as ``(src, dst, mult)`` clustered by ``src``: the same
     information as per-page link lists, without gathering any one page's links
-    into a single row (a hub page may hold a large share of all links).
+    into a single row (a hub page may hold a large share of all links). The
+    vertex table ``(id, out_degree, n_targets, dangling, is_page)`` keeps pages
+    without links.
     """
+    from pyspark import StorageLevel
+
     from ..operators.graph import edge_pairs, node_table
 
-    (edge_pairs(graph).repartition("src").sortWithinPartitions("src", "dst")
+    pairs = edge_pairs(graph).persist(StorageLevel.MEMORY_AND_DISK)
+    (pairs.repartition("src").sortWithinPartitions("src", "dst")
      .write.mode(mode).parquet(f"{path}/edges"))
-    node_table(graph).write.mode(mode).parquet(f"{path}/nodes")
-    graph.pages.write.mode(mode).parquet(f"{path}/pages")
+    node_table(graph, pairs).write.mode(mode).parquet(f"{path}/nodes")
+    pairs.unpersist()
 
 
 def read_graph(spark: SparkSession, path: str):
     """S3: a graph written by :func:`write_graph`."""
     from ..operators.graph import Graph
 
-    pairs = spark.read.parquet(f"{path}/edges")
-    edges = pairs.select("src", "dst", "mult")
-    pages = spark.read.parquet(f"{path}/pages")
+    edges = spark.read.parquet(f"{path}/edges").select("src", "dst", "mult")
+    pages = spark.read.parquet(f"{path}/nodes").where("is_page").select("id")
     return Graph(edges=edges, pages=pages)
 
 
