@@ -222,8 +222,10 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
              trace: bool = False, snapshots: str | None = None) -> RankRun:
     """The fixed-count loop, with per-round trace and optional early stop.
 
-    ``n='all'``: N = |V|; ``n='records'``: N = accepted records (``n_records``).
-    δ of each round is the dangling mass measured on the previous round's
+    ``n='all'``: N = |V|; ``n='records'``: N = accepted records (``n_records``),
+    the reference's count. Only ``n='all'`` keeps the total at 1: with fewer
+    records than vertices, every round adds mass, so ``records`` is meant for
+    the single parity step (:func:`parity_step`). δ of each round is the dangling mass measured on the previous round's
     checkpoint. ``tol``: stop after the first round whose L1 change is below
     it. ``snapshots``: also write every round, named, as parquet under
     ``<snapshots>/iter=<i>`` (S4).

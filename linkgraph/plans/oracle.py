@@ -250,7 +250,6 @@ def queries() -> dict[str, str]:
     q["rank_10_wiki"] = rank_sql(WIKI_RECORDS, "wiki_edges", "wiki_pages")
     q["rank_10_nav"] = rank_sql(NAV_RECORDS, "nav_edges", "nav_pages")
     q["rank_10_wiki_pages"] = rank_sql(WIKI_RECORDS, "wiki_edges", "wiki_pages", pages_only=True)
-    q["rank_10_wiki_records"] = rank_sql(WIKI_RECORDS, "wiki_edges", "wiki_pages", n_records="acc")
     q["adjacency_snapshot"] = q["adjacency_merge"]
     q["rank_snapshot"] = q["rank_10"]
     q["rank_trace"] = trace_sql()

@@ -178,10 +178,6 @@ def rank_10_wiki_pages(spark, sf_dir):
     return R.rank_nodes(_wiki(spark, sf_dir).graph, universe="pages").select("id", _r("rank"))
 
 
-def rank_10_wiki_records(spark, sf_dir):
-    return R.rank_nodes(_wiki(spark, sf_dir).graph, n="records").select("id", _r("rank"))
-
-
 def adjacency_snapshot(spark, sf_dir):
     path = scratch_path(spark, "graph-snapshot")
     write_graph(trade_graph(spark, sf_dir), path)
@@ -244,7 +240,6 @@ QUERIES: dict[str, Query] = {
     "rank_10_wiki": rank_10_wiki,
     "rank_10_nav": rank_10_nav,
     "rank_10_wiki_pages": rank_10_wiki_pages,
-    "rank_10_wiki_records": rank_10_wiki_records,
     "adjacency_snapshot": adjacency_snapshot,
     "rank_snapshot": rank_snapshot,
     "rank_trace": rank_trace,
