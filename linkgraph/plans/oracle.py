@@ -125,19 +125,16 @@ def _round_cte(i: int, n_rel: str = "nn", fixed_delta: float | None = None) -> s
         LEFT JOIN ({_contrib_sums(prev)}) c ON c.id = v.id)"""
 
 
-def rank_ctes(iterations: int, n_rel: str = "nn") -> str:
-    first = (f"r0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / {n_rel}.n AS rank "
-             f"FROM nodes CROSS JOIN {n_rel})")
-    return ",\n".join([first] + [_round_cte(i, n_rel) for i in range(1, iterations + 1)])
+def rank_ctes(iterations: int) -> str:
+    first = "r0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / nn.n AS rank FROM nodes CROSS JOIN nn)"
+    return ",\n".join([first] + [_round_cte(i) for i in range(1, iterations + 1)])
 
 
 def rank_sql(prefix: str, edges: str, pages: str | None = None, iterations: int = 10,
-             pages_only: bool = False, n_records: str | None = None) -> str:
-    """Unrolled rounds; ``n_records``: a relation giving N as accepted records."""
-    n_rel = "nrec" if n_records else "nn"
-    extra = f", nrec AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {n_records})" if n_records else ""
+             pages_only: bool = False) -> str:
+    """Unrolled rounds; ``pages_only`` keeps page vertices in the result."""
     where = " WHERE id IN (SELECT id FROM nodes WHERE is_page)" if pages_only else ""
-    return (f"WITH {prefix}, {graph_ctes(edges, pages)}{extra}, {rank_ctes(iterations, n_rel)}\n"
+    return (f"WITH {prefix}, {graph_ctes(edges, pages)}, {rank_ctes(iterations)}\n"
             f"SELECT id, round(rank, {ROUND}) AS rank FROM r{iterations}{where}")
 
 
