@@ -41,7 +41,6 @@ import math
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -52,8 +51,18 @@ from .graph import Graph, edge_pairs, node_table
 
 # Most distinct targets one (source, bucket) group holds before the source is split.
 DEFAULT_SPLIT = 1 << 16
-# Compacted edges per bucket of the edge table when the bucket count is derived.
+# Bucket sizing of the edge table, in compacted edges: no bucket above the
+# first; small graphs get at most one bucket per core, none below the second.
 EDGES_PER_BUCKET = 8 << 20
+MIN_EDGES_PER_BUCKET = 256 << 10
+
+
+def bucket_count(n_pairs: int, parallelism: int) -> int:
+    """Buckets for ``n_pairs`` compacted edges: large graphs get ~8 M edges per
+    bucket; smaller ones spread over the cores without making tiny buckets."""
+    by_size = math.ceil(n_pairs / EDGES_PER_BUCKET)
+    by_cores = min(max(parallelism, 1), math.ceil(n_pairs / MIN_EDGES_PER_BUCKET))
+    return max(1, by_size, by_cores)
 
 
 @dataclass
@@ -88,15 +97,18 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     * ``wedges(src_vid, bucket, dst_vid, w = mult/d(src))`` written as a table
       bucketed by ``(src_vid, bucket)`` into the checkpoint folder, so each
       round joins against it without moving an edge. The bucket count is
-      ``partitions``, or the session's shuffle partitions raised so that a
-      bucket holds about ``EDGES_PER_BUCKET`` edges.
+      ``partitions``, or derived from the edge count (:func:`bucket_count`),
+      not from the session's shuffle partitions, which suit no single size.
     """
     if split < 1:
         raise ValueError("split must be at least 1")
     spark = graph.edges.sparkSession
     checkpoint_root(spark)
 
-    pairs = edge_pairs(graph).persist(StorageLevel.MEMORY_AND_DISK)
+    # Checkpointed rather than cached: it is read twice below, survives a lost
+    # executor without redoing the link shuffle, and keeps the partition count
+    # adaptive execution chose for its size.
+    pairs = edge_pairs(graph).checkpoint()
     nb = F.when(F.col("n_targets") > 0, F.ceil(F.col("n_targets") / F.lit(split))) \
         .otherwise(F.lit(0)).cast("bigint")
     nodes = (node_table(graph, pairs).withColumn("nb", nb)
@@ -108,8 +120,7 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     if partitions:
         parts = int(partitions)
     else:
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                    math.ceil(sizes["pairs"] / EDGES_PER_BUCKET))
+        parts = bucket_count(sizes["pairs"], spark.sparkContext.defaultParallelism)
 
     src_info = (nodes.where(F.col("nb") > 0)
                 .select(F.col("id").alias("src"), F.col("vid").alias("src_vid"), "out_degree", "nb"))
@@ -125,7 +136,6 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
      .write.bucketBy(parts, "src_vid", "bucket")
      .option("path", scratch_path(spark, "wedges"))
      .saveAsTable(table))
-    pairs.unpersist()
     return PreparedGraph(spark.table(table), nodes, n, table, parts)
 
 

@@ -39,15 +39,14 @@ def write_graph(graph, path: str, mode: str = "overwrite") -> None:
     vertex table ``(id, out_degree, n_targets, dangling, is_page)`` keeps pages
     without links.
     """
-    from pyspark import StorageLevel
-
     from ..operators.graph import edge_pairs, node_table
+    from ..session import checkpoint_root
 
-    pairs = edge_pairs(graph).persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_root(graph.edges.sparkSession)
+    pairs = edge_pairs(graph).checkpoint()       # read twice below
     (pairs.repartition("src").sortWithinPartitions("src", "dst")
      .write.mode(mode).parquet(f"{path}/edges"))
     node_table(graph, pairs).write.mode(mode).parquet(f"{path}/nodes")
-    pairs.unpersist()
 
 
 def read_graph(spark: SparkSession, path: str):
