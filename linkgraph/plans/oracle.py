@@ -115,18 +115,19 @@ def _round_cte(i: int, n_rel: str = "nn", fixed_delta: float | None = None) -> s
                  f"WHERE q.dangling)")
     else:
         delta = f"CAST({fixed_delta!r} AS DOUBLE)"
+    n = f"(SELECT n FROM {n_rel})"
     return f"""
     r{i} AS MATERIALIZED (
         SELECT v.id, r.rank AS prev,
-               CAST({ALPHA!r} AS DOUBLE) / {n_rel}.n + CAST({1 - ALPHA!r} AS DOUBLE)
-                 * ({delta} / {n_rel}.n + coalesce(c.s, 0.0)) AS rank
-        FROM nodes v CROSS JOIN {n_rel}
+               CAST({ALPHA!r} AS DOUBLE) / {n} + CAST({1 - ALPHA!r} AS DOUBLE)
+                 * ({delta} / {n} + coalesce(c.s, 0.0)) AS rank
+        FROM nodes v
         JOIN {prev} r ON r.id = v.id
         LEFT JOIN ({_contrib_sums(prev)}) c ON c.id = v.id)"""
 
 
 def rank_ctes(iterations: int) -> str:
-    first = "r0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / nn.n AS rank FROM nodes CROSS JOIN nn)"
+    first = "r0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / (SELECT n FROM nn) AS rank FROM nodes)"
     return ",\n".join([first] + [_round_cte(i) for i in range(1, iterations + 1)])
 
 
@@ -168,8 +169,8 @@ def until_tol_sql(tol: float, iterations: int = 10) -> str:
 
 
 def parity_sql() -> str:
-    r0 = ("r0 AS MATERIALIZED (SELECT id, CASE WHEN is_page THEN CAST(1 AS DOUBLE) / nrec.n "
-          "ELSE 0.0 END AS rank FROM nodes CROSS JOIN nrec)")
+    r0 = ("r0 AS MATERIALIZED (SELECT id, CASE WHEN is_page THEN CAST(1 AS DOUBLE) / (SELECT n FROM nrec) "
+          "ELSE 0.0 END AS rank FROM nodes)")
     nrec = "nrec AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM acc)"
     return (f"WITH {WIKI_RECORDS}, {graph_ctes('wiki_edges', 'wiki_pages')}, {nrec}, {r0},"
             f"{_round_cte(1, 'nrec', 0.0)}\nSELECT id, round(rank, {ROUND}) AS rank FROM r1")
@@ -177,7 +178,7 @@ def parity_sql() -> str:
 
 def first_round_sql(select: str) -> str:
     """Trade graph with r0, for the single-round operator checks."""
-    r0 = "r0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / nn.n AS rank FROM nodes CROSS JOIN nn)"
+    r0 = "r0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / (SELECT n FROM nn) AS rank FROM nodes)"
     return f"WITH {trade_prefix()}, {graph_ctes('trade_edges')}, {r0}\n{select}"
 
 
