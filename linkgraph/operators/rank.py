@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import ALPHA, ITERATIONS
-from ..session import checkpoint_root, scratch_path
+from ..session import checkpoint_root, scratch_path, sized_shuffles
 from ..sources import write_rank_snapshot
 from .graph import Graph, edge_pairs, node_table
 
@@ -132,10 +132,11 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
                       "dst_vid",
                       (F.col("mult") / F.col("out_degree")).alias("w")))
     table = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}"
-    (wedges.repartition(parts, "src_vid", "bucket")
-     .write.bucketBy(parts, "src_vid", "bucket")
-     .option("path", scratch_path(spark, "wedges"))
-     .saveAsTable(table))
+    with sized_shuffles(spark, sizes["pairs"]):
+        (wedges.repartition(parts, "src_vid", "bucket")
+         .write.bucketBy(parts, "src_vid", "bucket")
+         .option("path", scratch_path(spark, "wedges"))
+         .saveAsTable(table))
     return PreparedGraph(spark.table(table), nodes, n, table, parts)
 
 
@@ -248,17 +249,18 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
         size = float(n_records)
     else:
         raise ValueError("n must be 'all' or 'records'")
-    ranks, m = _materialize(initial_ranks(prep, size))
     rows: list[Row] = []
     done = 0
-    for i in range(1, iterations + 1):
-        ranks, m = _materialize(rank_step(prep, ranks, size, alpha, delta=m["dangling_mass"]))
-        done = i
-        rows.append(Row(iteration=i, **m.asDict()))
-        if snapshots:
-            write_rank_snapshot(prep.named(ranks), snapshots, i)
-        if tol is not None and m["l1_change"] < tol:
-            break
+    with sized_shuffles(prep.wedges.sparkSession, prep.n_nodes):
+        ranks, m = _materialize(initial_ranks(prep, size))
+        for i in range(1, iterations + 1):
+            ranks, m = _materialize(rank_step(prep, ranks, size, alpha, delta=m["dangling_mass"]))
+            done = i
+            rows.append(Row(iteration=i, **m.asDict()))
+            if snapshots:
+                write_rank_snapshot(prep.named(ranks), snapshots, i)
+            if tol is not None and m["l1_change"] < tol:
+                break
     return RankRun(ranks, done, rows if trace or tol is not None else [])
 
 

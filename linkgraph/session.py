@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +62,34 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh path under the checkpoint root for one written table."""
     return os.path.join(checkpoint_root(spark), f"{kind}-{uuid.uuid4().hex[:12]}")
+
+
+# Rows per shuffle partition the rank jobs aim for before adaptive coalescing.
+ROWS_PER_SHUFFLE_PARTITION = 2 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, rows: int):
+    """Let exchanges of a job over ``rows`` rows start with enough partitions.
+
+    Adaptive execution merges small shuffle partitions but never splits an
+    aggregation's large ones, so the initial count must not be too low for the
+    data. Within the block, the initial partition number is raised to
+    ``rows / ROWS_PER_SHUFFLE_PARTITION`` when the session's own setting is
+    lower; it is never lowered, and the session's value is restored after.
+    """
+    want = math.ceil(rows / ROWS_PER_SHUFFLE_PARTITION)
+    current = spark.conf.get(_INITIAL, None)
+    base = int(current) if current else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if want <= base:
+        yield
+        return
+    spark.conf.set(_INITIAL, str(want))
+    try:
+        yield
+    finally:
+        if current is None:
+            spark.conf.unset(_INITIAL)
+        else:
+            spark.conf.set(_INITIAL, current)

@@ -181,3 +181,25 @@ def test_against_brute_force(spark, seed):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-13)
+
+
+def test_bucket_count_follows_edge_count():
+    from linkgraph.operators.rank import bucket_count
+
+    assert bucket_count(0, 8) == 1
+    assert bucket_count(100_000, 8) == 1              # a small graph: one bucket
+    assert bucket_count(1_000_000, 8) == 4            # spread over cores, ≥ 256 k edges each
+    assert bucket_count(100_000_000, 8) == 12         # ~8 M edges per bucket
+    assert bucket_count(10**12, 2000) == 119210
+
+
+def test_sized_shuffles_raises_and_restores(spark):
+    from linkgraph.session import sized_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    with sized_shuffles(spark, 100):
+        assert spark.conf.get(key, None) == before     # small job: untouched
+    with sized_shuffles(spark, 100 * (2 << 20)):
+        assert spark.conf.get(key) == "100"
+    assert spark.conf.get(key, None) == before
