@@ -41,6 +41,7 @@ import math
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -82,13 +83,14 @@ class PreparedGraph:
                 .select("id", "rank", "is_page"))
 
     def release(self) -> None:
-        """Forget the catalog entry of the edge table (its files stay in the
+        """Drop the edge table's cache and catalog entry (its files stay in the
         checkpoint folder, like RDD checkpoints)."""
+        self.wedges.unpersist()
         self.wedges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
-                  partitions: int | None = None) -> PreparedGraph:
+                  partitions: int | None = None, cache_edges: bool = True) -> PreparedGraph:
     """Compact, number, weight and lay out the edges once for all rounds.
 
     * ``pairs(src, dst, mult)``: repeats merged (partial counts per task);
@@ -99,6 +101,9 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
       round joins against it without moving an edge. The bucket count is
       ``partitions``, or derived from the edge count (:func:`bucket_count`),
       not from the session's shuffle partitions, which suit no single size.
+      With ``cache_edges`` the table is also cached (memory, then executors'
+      local disks) on first use, keeping its bucket layout; a lost block is
+      read again from the table.
     """
     if split < 1:
         raise ValueError("split must be at least 1")
@@ -137,7 +142,10 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
          .write.bucketBy(parts, "src_vid", "bucket")
          .option("path", scratch_path(spark, "wedges"))
          .saveAsTable(table))
-    return PreparedGraph(spark.table(table), nodes, n, table, parts)
+    edges = spark.table(table)
+    if cache_edges:
+        edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    return PreparedGraph(edges, nodes, n, table, parts)
 
 
 def initial_ranks(prep: PreparedGraph, n: float, pages_only: bool = False) -> DataFrame:

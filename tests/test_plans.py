@@ -4,6 +4,7 @@ Nodes are counted by walking plan children (the plan text also prints the
 plans inside cached relations, which would over-count).
 """
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkgraph.operators import rank as R
@@ -41,8 +42,9 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in names(top_k(r, 100))
 
 
-def test_round_plan_moves_no_edges_and_broadcasts_nothing(spark):
-    prep = R.prepare_graph(trade_graph(spark, SF))
+@pytest.mark.parametrize("cache", [True, False])
+def test_round_plan_moves_no_edges_and_broadcasts_nothing(spark, cache):
+    prep = R.prepare_graph(trade_graph(spark, SF), cache_edges=cache)
     r0 = R.initial_ranks(prep, float(prep.n_nodes)).checkpoint()
     r1 = R.rank_step(prep, r0, float(prep.n_nodes), delta=0.0)
     nodes = plan_nodes(r1)
@@ -57,8 +59,12 @@ def test_round_plan_moves_no_edges_and_broadcasts_nothing(spark):
     join = next(p for n, p in nodes if n == "ShuffledHashJoin")
     edge_side = [n for n, _ in plan_nodes_of(join.left())]
     assert "Exchange" not in edge_side
-    scans = [p.simpleString(1000) for n, p in plan_nodes_of(join.left()) if n.startswith("Scan")]
-    assert scans and all("Bucketed: true" in s for s in scans)
+    # the edge side reads the bucketed table, directly or through its cache
+    scans = [p.simpleString(1000) for n, p in plan_nodes_of(join.left())
+             if n.startswith("Scan") or n == "InMemoryTableScan"]
+    assert scans
+    if not cache:
+        assert all("Bucketed: true" in s for s in scans)
     # the plan of a later round is the same size: no lineage growth
     r1c = r1.checkpoint()
     r2 = R.rank_step(prep, r1c, float(prep.n_nodes), delta=0.0)
