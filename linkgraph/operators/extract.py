@@ -20,6 +20,7 @@ Two modes:
 
 from __future__ import annotations
 
+import re
 import sys
 
 import pyarrow as pa
@@ -179,11 +180,15 @@ def extract_links(records: DataFrame, mode: str = "strict",
         raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
     tag, attr, value = container
     html = neutralise_entities("html") if mode == "strict" else F.col("html")
-    cols = [F.col("page").cast("string").alias("page")]
-    if "reason" in records.columns:
-        html = F.when(F.col("reason").isNull(), html)
-        cols.append(F.col("reason"))
-    cols.append(html.alias("html"))
+    reason = F.col("reason") if "reason" in records.columns else F.lit(None).cast("string")
+    if mode == "lenient":
+        # A start tag is '<' right before its name, so a page without that text
+        # has no container and no links; lenient mode rejects nothing, so it is
+        # accepted here without a trip through Python.
+        no_container = ~F.col("html").rlike("(?i)<" + re.escape(tag))
+        reason = F.coalesce(reason, F.when(F.col("html").isNotNull() & no_container, F.lit("ok")))
+    cols = [F.col("page").cast("string").alias("page"), reason.alias("reason"),
+            F.when(reason.isNull(), html).alias("html")]
     if "line" in records.columns:
         cols.append(F.col("line"))
     return records.select(*cols).mapInArrow(

@@ -87,3 +87,16 @@ def test_wiki14_graph(wiki14):
     assert g.n_records() == 9
     pairs = {(r.src, r.dst): r.mult for r in G.edge_pairs(g).where(F.col("src") == "A").collect()}
     assert pairs == {("A", "B"): 1, ("A", "C"): 1, ("A", "D"): 1}
+
+
+def test_lenient_pages_without_container_skip_python(spark):
+    from linkgraph.plans.pipeline import ingest_pages
+
+    pages = spark.createDataFrame([
+        ("a", '<html><p><a href="/x">no nav here</a></p></html>'),
+        ("b", '<html><NAV><a href="/y">y</a></NAV></html>'),
+        ("c", None),
+    ], "page string, html string")
+    ing = ingest_pages(pages)
+    assert {r.page: r.reason for r in ing.extracted.collect()} == {"a": "ok", "b": "ok", "c": "ill_formed"}
+    assert [(r.page, r.target) for r in ing.links.collect()] == [("b", "y")]
