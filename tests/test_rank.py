@@ -203,3 +203,18 @@ def test_sized_shuffles_raises_and_restores(spark):
     with sized_shuffles(spark, 100 * (2 << 20)):
         assert spark.conf.get(key) == "100"
     assert spark.conf.get(key, None) == before
+
+
+def test_rank_step_scalar_subquery_delta_matches_measured(wiki14):
+    from linkgraph.operators import rank as R
+
+    prep = R.prepare_graph(wiki14.graph)
+    n = float(prep.n_nodes)
+    r0 = R.initial_ranks(prep, n).checkpoint()
+    measured = R.dangling_mass(r0).first()["dangling_mass"]
+    assert measured == pytest.approx(6 / 11, abs=1e-15)     # six dangling vertices of eleven
+    via_subquery = {r.vid: r.rank for r in R.rank_step(prep, r0, n).collect()}
+    via_literal = {r.vid: r.rank for r in R.rank_step(prep, r0, n, delta=measured).collect()}
+    assert via_subquery == pytest.approx(via_literal, abs=1e-15)
+    assert sum(via_subquery.values()) == pytest.approx(1.0, abs=1e-12)
+    prep.release()
