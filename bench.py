@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from linkgraph.operators.rank import prepare_graph, run_rank  # noqa: E402
 from linkgraph.operators.topk import top_k  # noqa: E402
 from linkgraph.plans.graphs import page_nav, trade_graph, wiki_lines  # noqa: E402
-from linkgraph.plans.pipeline import ingest_lines, ingest_pages  # noqa: E402
+from linkgraph.plans.jobs import ingest_lines, ingest_pages  # noqa: E402
 from linkgraph.operators.rank import rank_nodes  # noqa: E402
 from linkgraph.session import build_session  # noqa: E402
 
@@ -63,7 +63,7 @@ def main() -> None:
     prep.release()
 
     # the reference's whole program on the strict-mode dump
-    timed("pipeline_wiki", lambda: top_k(rank_nodes(wiki.graph), 100).collect())
+    timed("wiki_end_to_end", lambda: top_k(rank_nodes(wiki.graph), 100).collect())
 
     total = round(sum(v for k, v in times.items() if k != "rank_round_avg"), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

@@ -22,7 +22,7 @@ if __package__ in (None, ""):
 from linkgraph.functions import ALPHA, ITERATIONS, TOP_K  # noqa: E402
 from linkgraph.operators.rank import finish, prepare_graph, run_rank  # noqa: E402
 from linkgraph.operators.topk import top_k  # noqa: E402
-from linkgraph.plans.pipeline import ingest_lines  # noqa: E402
+from linkgraph.plans.jobs import ingest_lines  # noqa: E402
 from linkgraph.session import build_session  # noqa: E402
 from linkgraph.sources import read_lines, write_graph, write_ranked_text  # noqa: E402
 

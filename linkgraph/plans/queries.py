@@ -21,7 +21,7 @@ from ..session import scratch_path
 from ..sources import read_graph, write_graph
 from . import oracle
 from .graphs import page_nav, table, trade_graph, wiki_lines
-from .pipeline import ingest_lines, ingest_pages
+from .jobs import ingest_lines, ingest_pages
 
 ROUND = 10
 

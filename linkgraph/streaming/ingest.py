@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import CONTAINER, LINK_TARGET_PATTERN
 from ..operators.extract import extract_links
 from ..operators.records import split_records
-from ..plans.pipeline import Ingested, from_extracted
+from ..plans.jobs import Ingested, from_extracted
 from ..session import scratch_path
 
 

@@ -35,7 +35,7 @@ WIKI14 = [
 
 @pytest.fixture(scope="session")
 def wiki14(spark):
-    from linkgraph.plans.pipeline import ingest_lines
+    from linkgraph.plans.jobs import ingest_lines
 
     lines = spark.createDataFrame([(x,) for x in WIKI14], "value string")
     return ingest_lines(lines)

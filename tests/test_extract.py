@@ -90,7 +90,7 @@ def test_wiki14_graph(wiki14):
 
 
 def test_lenient_pages_without_container_skip_python(spark):
-    from linkgraph.plans.pipeline import ingest_pages
+    from linkgraph.plans.jobs import ingest_pages
 
     pages = spark.createDataFrame([
         ("a", '<html><p><a href="/x">no nav here</a></p></html>'),

@@ -16,7 +16,7 @@ SCRIPT = textwrap.dedent("""
     from linkgraph.session import build_session
     from linkgraph.operators import extract
     from linkgraph.operators.rank import rank_nodes
-    from linkgraph.plans.pipeline import ingest_lines
+    from linkgraph.plans.jobs import ingest_lines
     from conftest import WIKI14
 
     clean = extract._scan_batches

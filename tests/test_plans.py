@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from linkgraph.operators import rank as R
 from linkgraph.operators.topk import top_k
 from linkgraph.plans.graphs import trade_graph, wiki_lines
-from linkgraph.plans.pipeline import ingest_lines
+from linkgraph.plans.jobs import ingest_lines
 
 SF = "/root/testdata/sf0.001"
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkgraph.operators.graph import edge_pairs
 from linkgraph.operators.rank import rank_nodes, run_rank, prepare_graph
 from linkgraph.operators.topk import top_k
-from linkgraph.plans.pipeline import ingest_lines
+from linkgraph.plans.jobs import ingest_lines
 from linkgraph.sources import read_graph, read_lines, write_graph, write_ranked_text
 
 
