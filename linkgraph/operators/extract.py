@@ -63,15 +63,23 @@ def scan_xml(doc: str | None, tag: str, attr: str | None, value: str | None):
         return None
     links: list[str] = []
     depth = 0
+    n_tag = len(tag)
+
+    def same(name: str, want: str) -> bool:
+        # Fast paths for the usual ASCII names; the full rule otherwise.
+        if name.isascii():
+            return name.lower() == want.lower()
+        return equals_ignore_case(name, want)
 
     def start(name, attrs):
         nonlocal depth
-        if (depth == 0 and equals_ignore_case(name, tag)
-                and (attr is None or equals_ignore_case(attrs.get(attr), value))):
-            depth = 1
-        elif depth > 0:
+        if depth == 0:
+            if (len(name) == n_tag and same(name, tag)
+                    and (attr is None or equals_ignore_case(attrs.get(attr), value))):
+                depth = 1
+        else:
             depth += 1
-            if equals_ignore_case(name, "a"):
+            if len(name) == 1 and same(name, "a"):
                 href = attrs.get("href")
                 if href is not None:
                     links.append(href)
