@@ -61,3 +61,36 @@ def test_scope_equals_container_ancestry(forest):
 def test_any_cut_document_is_rejected(forest, cut):
     doc = "<root>" + "".join(render(t) for t in forest) + "</root>"
     assert scan_xml(doc[:-min(cut, len(doc) - 1)], "div", "id", "bodyContent") is None
+
+
+HTML_TAGS = ["nav", "NAV", "a", "A", "p", "span", "div"]
+
+
+@st.composite
+def html_trees(draw, depth=0):
+    tag = draw(st.sampled_from(HTML_TAGS))
+    attrs = {}
+    if tag.lower() == "a" and draw(st.booleans()):
+        attrs[draw(st.sampled_from(["href", "HREF"]))] = draw(st.text(alphabet="abc/~%", max_size=5))
+    kids = [] if depth >= 4 else draw(st.lists(html_trees(depth=depth + 1), max_size=3))
+    return (tag, attrs, kids)
+
+
+def html_expected(node, inside=False) -> list[str]:
+    tag, attrs, kids = node
+    out = []
+    if inside and tag.lower() == "a" and attrs:
+        out.append(next(iter(attrs.values())))
+    for k in kids:
+        out += html_expected(k, inside or tag.lower() == "nav")
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(html_trees(), min_size=1, max_size=4))
+def test_lenient_scope_equals_container_ancestry(forest):
+    from linkgraph.operators.extract import scan_html
+
+    doc = "<html>" + "".join(render(t) for t in forest) + "</html>"
+    want = [h for t in forest for h in html_expected(t)]
+    assert scan_html(doc, "nav", None, None) == want
