@@ -26,6 +26,8 @@ def build_session(master: str | None = None, partitions: int | None = None,
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         # Round checkpoints nobody refers to any more are removed, not kept.
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          # The link extractor ships whole pages through Arrow; keep batches
          # small enough that one batch of large pages stays well inside memory.
          .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2048"))
