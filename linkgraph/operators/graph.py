@@ -55,10 +55,14 @@ def node_table(graph: Graph, pairs: DataFrame | None = None) -> DataFrame:
     and grouped by id, instead of a distinct followed by a join.
     """
     p = edge_pairs(graph) if pairs is None else pairs
+    # Targets straight from the links unless merged pairs are at hand already:
+    # the grouping by id below removes repeats either way.
+    t = pairs if pairs is not None else graph.edges.where(
+        F.col("src").isNotNull() & F.col("dst").isNotNull())
     no_deg = F.lit(None).cast("bigint")
     degs = out_degree(graph, p).select(F.col("src").alias("id"), "out_degree", "n_targets",
                                        F.lit(True).alias("is_page"))
-    targets = p.select(F.col("dst").alias("id"), no_deg.alias("out_degree"),
+    targets = t.select(F.col("dst").alias("id"), no_deg.alias("out_degree"),
                        no_deg.alias("n_targets"), F.lit(False).alias("is_page"))
     parts = degs.unionByName(targets)
     if graph.pages is not None:
