@@ -61,3 +61,21 @@ def test_command_line_writes_all_outputs(spark, capsys):
     assert abs(float(top[0].split(" ")[1]) - 0.325656302036) < 1e-11
     assert spark.read.parquet(f"{d}/ranks").select("iter").distinct().count() == 10
     assert read_graph(spark, f"{d}/graph").edges.count() == 12   # 13 links, one repeat merged
+
+
+def test_snapshot_spreads_a_hot_source(spark):
+    from linkgraph.operators.graph import Graph
+
+    d = tempfile.mkdtemp(prefix="lg-hot-")
+    pairs = [("hub", f"t{i:05d}") for i in range(6000)] + [(f"s{i}", f"t{i:05d}") for i in range(3000)]
+    g = Graph(edges=spark.createDataFrame(pairs, "src string, dst string").repartition(8))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")           # at this size AQE would merge it all into one file
+    try:
+        write_graph(g, f"{d}/g")
+    finally:
+        spark.conf.unset(key)
+    per_file = [r.n for r in spark.read.parquet(f"{d}/g/edges").groupBy(F.input_file_name())
+                .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(per_file) == 9000
+    assert len(per_file) > 1 and max(per_file) < 6000      # the hub's links span several files
