@@ -12,8 +12,9 @@ records, r₀ = 1/N on pages only and δ = 0.
 Preparation, once (:func:`prepare_graph`): repeated links are merged, every
 vertex gets a dense 64-bit id ``vid``, and the weighted edges
 ``(src_vid, bucket, dst_vid, w)`` are written as a table bucketed by
-``(src_vid, bucket)``. Names never travel through the rounds; they are joined
-back once at the end.
+``(src_vid, bucket)`` (bucket count from the edge count) and cached with that
+layout. Names never travel through the rounds; they are joined back once at
+the end.
 
 Plan per round (edges are never shuffled again):
 
