@@ -100,3 +100,11 @@ def test_lenient_pages_without_container_skip_python(spark):
     ing = ingest_pages(pages)
     assert {r.page: r.reason for r in ing.extracted.collect()} == {"a": "ok", "b": "ok", "c": "ill_formed"}
     assert [(r.page, r.target) for r in ing.links.collect()] == [("b", "y")]
+
+
+def test_scan_html_container_with_attribute():
+    doc = ('<div id="side"><a href="/no">x</a></div>'
+           '<DIV ID="MAIN"><div><a href="/a">a</a></div><p>unclosed<a href="/b">b</a></DIV>'
+           '<a href="/after">y</a><div id="main"><a href="/c">c</a></div>')
+    # nested divs count toward the container's depth; attribute names are case-free in HTML
+    assert scan_html(doc, "div", "id", "main") == ["/a", "/b", "/c"]
