@@ -79,3 +79,13 @@ def test_snapshot_spreads_a_hot_source(spark):
                 .agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sum(per_file) == 9000
     assert len(per_file) > 1 and max(per_file) < 6000      # the hub's links span several files
+
+
+def test_run_dump_top_k(spark):
+    from linkgraph import run_dump
+
+    d = tempfile.mkdtemp(prefix="lg-dump-")
+    spark.createDataFrame([(x,) for x in WIKI14], "value string").write.text(f"{d}/dump")
+    top = run_dump(spark, f"{d}/dump", k=3).collect()
+    assert [r.name for r in top] == ["C", "A", "B"]
+    assert abs(top[0].rank - 0.325656302036) < 1e-11
