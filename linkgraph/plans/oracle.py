@@ -245,6 +245,7 @@ def queries() -> dict[str, str]:
             FROM r0 r JOIN nodes v ON v.id = r.id WHERE v.dangling""")
     q["rank_step_parity"] = parity_sql()
     q["rank_10"] = rank_sql(trade_prefix(), "trade_edges")
+    q["rank_10_split"] = q["rank_10"]
     q["rank_10_wiki"] = rank_sql(WIKI_RECORDS, "wiki_edges", "wiki_pages")
     q["rank_10_nav"] = rank_sql(NAV_RECORDS, "nav_edges", "nav_pages")
     q["rank_10_wiki_pages"] = rank_sql(WIKI_RECORDS, "wiki_edges", "wiki_pages", pages_only=True)
