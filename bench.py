@@ -60,6 +60,10 @@ def main() -> None:
 
     # 3. top-100 over the final ranks
     timed("top_100", lambda: top_k(prep.named(result.ranks), 100).collect())
+    sizes = {"trade_links": trade_graph(spark, sf_dir).edges.count(),
+             "trade_compacted_links": prep.wedges.count(),
+             "trade_vertices": prep.n_nodes, "edge_buckets": prep.partitions,
+             "dump_lines": wiki.extracted.count(), "dump_links": wiki.links.count()}
     prep.release()
 
     # the reference's whole program on the strict-mode dump
@@ -68,7 +72,7 @@ def main() -> None:
     total = round(sum(v for k, v in times.items() if k != "rank_round_avg"), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_wall", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus, "sizes": sizes}))
     spark.stop()
 
 
