@@ -76,6 +76,7 @@ class PreparedGraph:
     n_nodes: int
     table: str
     partitions: int
+    n_pairs: int = 0       # compacted edges
 
     def named(self, ranks: DataFrame) -> DataFrame:
         """``(id, rank, is_page)``: vertex names joined back onto ranks by ``vid``."""
@@ -146,7 +147,7 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     edges = spark.table(table)
     if cache_edges:
         edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    return PreparedGraph(edges, nodes, n, table, parts)
+    return PreparedGraph(edges, nodes, n, table, parts, sizes["pairs"])
 
 
 def initial_ranks(prep: PreparedGraph, n: float, pages_only: bool = False) -> DataFrame:
@@ -260,7 +261,9 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
         raise ValueError("n must be 'all' or 'records'")
     rows: list[Row] = []
     done = 0
-    with sized_shuffles(prep.wedges.sparkSession, prep.n_nodes):
+    # Up to E' contributions plus N own rows reach the grouping by vertex
+    # before the per-task sums shrink them; size that exchange for the bound.
+    with sized_shuffles(prep.wedges.sparkSession, prep.n_pairs + prep.n_nodes):
         ranks, m = _materialize(initial_ranks(prep, size))
         for i in range(1, iterations + 1):
             ranks, m = _materialize(rank_step(prep, ranks, size, alpha, delta=m["dangling_mass"]))
