@@ -218,3 +218,15 @@ def test_rank_step_scalar_subquery_delta_matches_measured(wiki14):
     assert via_subquery == pytest.approx(via_literal, abs=1e-15)
     assert sum(via_subquery.values()) == pytest.approx(1.0, abs=1e-12)
     prep.release()
+
+
+def test_raised_initial_partitions_give_same_ranks(wiki14, monkeypatch):
+    import linkgraph.session as session
+
+    whole = as_dict(rank_nodes(wiki14.graph))
+    monkeypatch.setattr(session, "ROWS_PER_SHUFFLE_PARTITION", 1)   # ask for one partition per row
+    raised = as_dict(rank_nodes(wiki14.graph))
+    for k in whole:
+        assert raised[k] == pytest.approx(whole[k], abs=1e-15)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert wiki14.graph.edges.sparkSession.conf.get(key, None) is None    # restored
