@@ -23,6 +23,7 @@ class Graph:
     edges: DataFrame
     pages: DataFrame | None = None     # (id); pages that exist even without links
     records: DataFrame | None = None   # (page); one row per accepted record, repeats kept
+    links_hint: int | None = None      # upper bound on link rows, when known (sizes the first shuffles)
 
     def n_records(self) -> int:
         """A2: the number of accepted records (same-named pages counted apart)."""

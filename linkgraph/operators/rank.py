@@ -115,12 +115,13 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     # Checkpointed rather than cached: it is read twice below, survives a lost
     # executor without redoing the link shuffle, and keeps the partition count
     # adaptive execution chose for its size.
-    pairs = edge_pairs(graph).checkpoint()
     nb = F.when(F.col("n_targets") > 0, F.ceil(F.col("n_targets") / F.lit(split))) \
         .otherwise(F.lit(0)).cast("bigint")
-    nodes = (node_table(graph, pairs).withColumn("nb", nb)
-             .withColumn("vid", F.monotonically_increasing_id())
-             .checkpoint())
+    with sized_shuffles(spark, graph.links_hint or 0):
+        pairs = edge_pairs(graph).checkpoint()
+        nodes = (node_table(graph, pairs).withColumn("nb", nb)
+                 .withColumn("vid", F.monotonically_increasing_id())
+                 .checkpoint())
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"),
                       F.coalesce(F.sum("n_targets"), F.lit(0)).alias("pairs")).first()
     n = sizes["n"]

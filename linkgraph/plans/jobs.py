@@ -43,14 +43,18 @@ class Ingested:
 def from_extracted(extracted: DataFrame, link_pattern: str = LINK_TARGET_PATTERN,
                    decode: bool = True, materialize: bool = True) -> Ingested:
     """Links, graph and report from an extraction table ``(page, reason, hrefs, line)``."""
+    hint = None
     if materialize:
         checkpoint_root(extracted.sparkSession)
         extracted = extracted.checkpoint()
+        # Raw in-scope anchors bound the links from above; one small pass over
+        # the checkpoint lets the graph's first shuffles be sized for them.
+        hint = extracted.agg(F.coalesce(F.sum(F.size("hrefs")), F.lit(0))).first()[0]
     links = link_rows(extracted, link_pattern, decode)
     ok = extracted.where(F.col("reason") == "ok")
     graph = Graph(edges=links.select(F.col("page").alias("src"), F.col("target").alias("dst")),
                   pages=ok.select(F.col("page").alias("id")),
-                  records=ok.select("page"))
+                  records=ok.select("page"), links_hint=hint)
     return Ingested(extracted, links, graph)
 
 

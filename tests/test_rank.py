@@ -230,3 +230,8 @@ def test_raised_initial_partitions_give_same_ranks(wiki14, monkeypatch):
         assert raised[k] == pytest.approx(whole[k], abs=1e-15)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert wiki14.graph.edges.sparkSession.conf.get(key, None) is None    # restored
+
+
+def test_ingest_gives_a_links_hint(wiki14):
+    # 16 raw anchors in scope on accepted pages bound the 13 links from above
+    assert wiki14.graph.links_hint == 16
