@@ -89,3 +89,18 @@ def test_run_dump_top_k(spark):
     top = run_dump(spark, f"{d}/dump", k=3).collect()
     assert [r.name for r in top] == ["C", "A", "B"]
     assert abs(top[0].rank - 0.325656302036) < 1e-11
+
+
+def test_page_table_source(spark):
+    from linkgraph.plans.graphs import page_nav
+    from linkgraph.plans.jobs import ingest_pages
+    from linkgraph.sources import read_page_table
+
+    d = tempfile.mkdtemp(prefix="lg-pages-")
+    src = page_nav(spark, "/root/testdata/sf0.001").withColumnRenamed("page", "name").withColumnRenamed("html", "body")
+    src.write.parquet(f"{d}/pages")
+    table = read_page_table(spark, f"{d}/pages", page_col="name", html_col="body")
+    assert table.columns == ["page", "html"]
+    a = sorted(map(tuple, ingest_pages(table).links.collect()))
+    b = sorted(map(tuple, ingest_pages(page_nav(spark, "/root/testdata/sf0.001")).links.collect()))
+    assert a == b and len(a) == 281
