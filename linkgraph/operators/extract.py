@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import CONTAINER, LINK_TARGET_PATTERN, decode_href, link_target, neutralise_entities
+from .records import ILL_FORMED, OK
 
 EXTRACTED_SCHEMA = "page string, reason string, hrefs array<string>, line string"
 
@@ -154,12 +155,12 @@ def _scan_batches(batches, mode: str, tag: str, attr: str | None, value: str | N
         reasons, hrefs = [], []
         for doc, why in zip(docs, given):
             found = None if why is not None else scan(doc, tag, attr, value)
-            reasons.append(why if why is not None else ("ok" if found is not None else "ill_formed"))
+            reasons.append(why if why is not None else (OK if found is not None else ILL_FORMED))
             hrefs.append(found if found is not None else [])
         reason = pa.array(reasons, pa.string())
         if "line" in names:
             # Keep the raw line for rejects only.
-            line = pc.if_else(pc.equal(reason, "ok"), pa.scalar(None, pa.string()),
+            line = pc.if_else(pc.equal(reason, OK), pa.scalar(None, pa.string()),
                               batch.column(names.index("line")))
         else:
             line = pa.nulls(len(docs), pa.string())
@@ -194,7 +195,7 @@ def extract_links(records: DataFrame, mode: str = "strict",
         # has no container and no links; lenient mode rejects nothing, so it is
         # accepted here without a trip through Python.
         no_container = ~F.col("html").rlike("(?i)<" + re.escape(tag))
-        reason = F.coalesce(reason, F.when(F.col("html").isNotNull() & no_container, F.lit("ok")))
+        reason = F.coalesce(reason, F.when(F.col("html").isNotNull() & no_container, F.lit(OK)))
     cols = [F.col("page").cast("string").alias("page"), reason.alias("reason"),
             F.when(reason.isNull(), html).alias("html")]
     if "line" in records.columns:
@@ -210,7 +211,7 @@ def link_rows(extracted: DataFrame, pattern: str = LINK_TARGET_PATTERN,
     ``pos`` is the href's 0-based place among the page's in-scope anchors.
     Decoding comes before matching (P10 then P11), both JVM-side.
     """
-    rows = (extracted.where(F.col("reason") == "ok")
+    rows = (extracted.where(F.col("reason") == OK)
             .select("page", F.posexplode("hrefs").alias("pos", "href")))
     link = decode_href("href") if decode else F.col("href")
     return (rows.select("page", F.col("pos").cast("bigint").alias("pos"), "href",

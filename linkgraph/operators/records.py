@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import delimiter_pos, name_ok, record_body, record_name
 
-# Reject reasons, in the order the tests are applied.
+# Record outcomes; the reject reasons are tested in this order.
+OK = "ok"
 NO_DELIMITER = "no_delimiter"
 BAD_NAME = "bad_name"
 ILL_FORMED = "ill_formed"
-OK = "ok"
-REASONS = (NO_DELIMITER, BAD_NAME, ILL_FORMED)
 
 
 def split_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
@@ -29,16 +28,6 @@ def split_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
                         record_body(line).alias("html"), reason.alias("reason"))
 
 
-def candidates(split: DataFrame) -> DataFrame:
-    """Rows that pass P2 and P4: ``(page, html)``, to be parsed."""
-    return split.where(F.col("reason").isNull()).select("page", "html")
-
-
-def early_rejects(split: DataFrame) -> DataFrame:
-    """Rows rejected before parsing: ``(line, reason)``."""
-    return split.where(F.col("reason").isNotNull()).select("line", "reason")
-
-
 def reject_report(status: DataFrame) -> DataFrame:
     """``(reason, n)`` over a status table with a ``reason`` column
     (``ok`` for accepted records). Partial counts per task, one small exchange."""

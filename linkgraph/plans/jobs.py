@@ -18,7 +18,7 @@ from ..functions import (ALPHA, CONTAINER, ITERATIONS, LINK_TARGET_PATTERN, NAV_
 from ..operators.extract import extract_links, link_rows
 from ..operators.graph import Graph
 from ..operators.rank import DEFAULT_SPLIT, rank_nodes
-from ..operators.records import reject_report, split_records
+from ..operators.records import OK, reject_report, split_records
 from ..operators.topk import top_k
 from ..session import checkpoint_root
 from ..sources import read_lines
@@ -37,7 +37,7 @@ class Ingested:
     def rejects(self) -> DataFrame:
         """``(page, line, reason)`` of every rejected record (``line`` is null
         when the ingest did not keep rejected lines)."""
-        return self.extracted.where(F.col("reason") != "ok").select("page", "line", "reason")
+        return self.extracted.where(F.col("reason") != OK).select("page", "line", "reason")
 
 
 def from_extracted(extracted: DataFrame, link_pattern: str = LINK_TARGET_PATTERN,
@@ -51,7 +51,7 @@ def from_extracted(extracted: DataFrame, link_pattern: str = LINK_TARGET_PATTERN
         # the checkpoint lets the graph's first shuffles be sized for them.
         hint = extracted.agg(F.coalesce(F.sum(F.size("hrefs")), F.lit(0))).first()[0]
     links = link_rows(extracted, link_pattern, decode)
-    ok = extracted.where(F.col("reason") == "ok")
+    ok = extracted.where(F.col("reason") == OK)
     graph = Graph(edges=links.select(F.col("page").alias("src"), F.col("target").alias("dst")),
                   pages=ok.select(F.col("page").alias("id")),
                   records=ok.select("page"), links_hint=hint)
