@@ -252,6 +252,10 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
     it. ``snapshots``: also write every round, named, as parquet under
     ``<snapshots>/iter=<i>`` (S4).
     """
+    if not 0.0 <= alpha <= 1.0:
+        raise ValueError("alpha must lie in [0, 1]")
+    if iterations < 0:
+        raise ValueError("iterations must not be negative")
     if n == "all":
         size = float(prep.n_nodes)
     elif n == "records":

@@ -16,6 +16,8 @@ def top_k(ranks: DataFrame, k: int = TOP_K, exclude: list[str] | tuple[str, ...]
     two-stage bounded top-k, with at most k rows per task ever moved.
     ``exclude`` drops names before ranking (P13); fewer than k rows → all rows.
     """
+    if k < 0:
+        raise ValueError("k must not be negative")
     named = ranks.select(F.col("id").alias("name"), "rank") if "id" in ranks.columns else ranks
     if exclude:
         named = named.where(~F.col("name").isin(list(exclude)))

@@ -235,3 +235,19 @@ def test_raised_initial_partitions_give_same_ranks(wiki14, monkeypatch):
 def test_ingest_gives_a_links_hint(wiki14):
     # 16 raw anchors in scope on accepted pages bound the 13 links from above
     assert wiki14.graph.links_hint == 16
+
+
+def test_parameters_are_checked(wiki14):
+    from linkgraph.operators import rank as R
+
+    prep = R.prepare_graph(wiki14.graph)
+    with pytest.raises(ValueError):
+        R.run_rank(prep, alpha=1.5)
+    with pytest.raises(ValueError):
+        R.run_rank(prep, iterations=-1)
+    with pytest.raises(ValueError):
+        R.run_rank(prep, n="pages")
+    with pytest.raises(ValueError):
+        top_k(prep.named(R.initial_ranks(prep, 11.0)), -1)
+    assert R.run_rank(prep, iterations=0).iterations == 0
+    prep.release()
