@@ -25,6 +25,9 @@ def top_k(ranks: DataFrame, k: int = TOP_K, exclude: list[str] | tuple[str, ...]
 
 
 def format_ranked(ranked: DataFrame, decimals: int | None = None) -> DataFrame:
-    """``(value)`` lines ``name rank``, ordered as given by rank."""
+    """``(value)`` lines ``name rank``, ordered by rank (then name).
+    Takes a top-k ``(name, rank)`` or a whole rank table ``(id, rank)``."""
+    if "name" not in ranked.columns:
+        ranked = ranked.withColumnRenamed("id", "name")
     return (ranked.orderBy(F.desc("rank"), F.asc("name"))
             .select(ranked_line("name", "rank", decimals).alias("value")))

@@ -75,6 +75,8 @@ def write_ranked_text(ranked: DataFrame, path: str, decimals: int | None = None,
     make one ordered listing whether ``ranked`` is a top-k or a whole table;
     no single task has to hold it all.
     """
+    if "name" not in ranked.columns:
+        ranked = ranked.withColumnRenamed("id", "name")     # a whole rank table (id, rank)
     (ranked.orderBy(F.desc("rank"), F.asc("name"))
      .select(ranked_line("name", "rank", decimals).alias("value"))
      .write.mode(mode).text(path))

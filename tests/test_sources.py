@@ -104,3 +104,24 @@ def test_page_table_source(spark):
     a = sorted(map(tuple, ingest_pages(table).links.collect()))
     b = sorted(map(tuple, ingest_pages(page_nav(spark, "/root/testdata/sf0.001")).links.collect()))
     assert a == b and len(a) == 281
+
+
+def test_ranked_text_of_a_whole_table_is_globally_ordered(spark):
+    import glob
+
+    from linkgraph.plans.graphs import trade_graph
+
+    d = tempfile.mkdtemp(prefix="lg-order-")
+    ranks = rank_nodes(trade_graph(spark, "/root/testdata/sf0.001"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")            # keep several part files at this size
+    try:
+        write_ranked_text(ranks, f"{d}/all", decimals=12)
+    finally:
+        spark.conf.unset(key)
+    parts = sorted(glob.glob(f"{d}/all/part-*"))
+    assert len(parts) > 1
+    lines = [line.rstrip("\n") for p in parts for line in open(p)]
+    assert len(lines) == ranks.count()
+    values = [float(x.split(" ")[1]) for x in lines]
+    assert values == sorted(values, reverse=True)
