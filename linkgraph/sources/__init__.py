@@ -63,6 +63,8 @@ def write_rank_snapshot(ranks: DataFrame, prefix: str, iteration: int,
                         mode: str = "overwrite") -> str:
     """One round of ranks under ``<prefix>/iter=<i>``."""
     out = f"{prefix}/iter={iteration}"
+    if "id" not in ranks.columns:
+        ranks = ranks.withColumnRenamed("name", "id")       # a top-k (name, rank)
     ranks.select("id", "rank").write.mode(mode).parquet(out)
     return out
 
