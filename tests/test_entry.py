@@ -9,6 +9,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from compare import compare, duck  # noqa: E402
+from linkgraph.plans import oracle  # noqa: E402
+from linkgraph.plans.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +25,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracle.queries())
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +33,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     problems, n, _, _ = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF)
     assert not problems, problems
