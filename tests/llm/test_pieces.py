@@ -1,0 +1,58 @@
+import pytest
+import sentencepiece
+
+import brute
+from linkgraph.llm import pieces
+from linkgraph.llm.queries import op10_sentencepiece, tokenizer_path
+
+TEXTS = ["", " ", "  ", "a", " a", "a ", "a  b   c", "a\nb", "\n", " \n ", "▁", "a▁b", "▁▁a ▁", "é𝕏 漢字 仮名", "<s> </s> <unk>", "x" * 500,
+         "tab\tand\rmore\x0b", "　 wide space", "\u0000nul", "the the the", "a" + " " * 300 + "b", "end \n\n", "123 4567", "\u00a0nbsp \u200b"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+
+
+@pytest.fixture(scope="module")
+def table():
+    with open(tokenizer_path(), "rb") as f:
+        return pieces.ChunkTable(f.read())
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_ids_are_the_librarys(library, table, text):
+    assert table.splits
+    assert table.encode(text) == library.encode(text, add_bos=True, add_eos=True)
+
+
+def test_table_is_bounded(library, table, monkeypatch):
+    monkeypatch.setattr(pieces, "TABLE_CHUNKS", 10)
+    text = " ".join(f"w{i}" for i in range(500)) + " " + "long" * 50
+    table.ids.clear()
+    assert table.encode(text) == library.encode(text, add_bos=True, add_eos=True)
+    assert len(table.ids) <= 10 and all(len(c) <= pieces.LONG_CHUNK for c in table.ids)
+
+
+def test_whole_texts_without_the_property(library, table, monkeypatch):
+    monkeypatch.setattr(table, "splits", False)
+    assert [table.encode(t) for t in TEXTS] == [library.encode(t, add_bos=True, add_eos=True) for t in TEXTS]
+
+
+def test_rows(spark, library):
+    rows = [(i, t, "x", None) for i, t in enumerate(TEXTS)] + [(None, "same", None, None), (3, None, "x", None), (3, "a", "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded int")
+    got = sorted(repr((r["doc_id"], r["ids"], r["decoded"])) for r in pieces.encode_decode(df, tokenizer_path()).collect())
+    ids = [library.encode(t or "", add_bos=True, add_eos=True) for _, t, *_ in rows]
+    assert got == sorted(repr((r[0], x, library.decode(x))) for r, x in zip(rows, ids))
+    assert pieces.encode_decode(df.limit(0), tokenizer_path()).collect() == []
+
+
+def test_query_on_the_test_table(spark, library):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = op10_sentencepiece(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]] or "", add_bos=True, add_eos=True)
+        raw = b"".join(i.to_bytes(4, "little") for i in ids)
+        assert tuple(r)[1:] == (len(ids), __import__("hashlib").sha256(raw).hexdigest(), brute.sha(library.decode(ids)))

@@ -1,0 +1,52 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from linkgraph.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>, id string, score int"
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return sorted(tuple(r) for r in topk.top_k(df, F.col("id") % 5 == 0, **options).collect())
+
+
+def whole(v):
+    return [math.floor(64 * x) for x in v]
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0])
+def test_equals_brute_force(spark, spread):
+    rng = random.Random(7)
+    vectors = [(i, [rng.gauss(0, 1) * math.exp(spread * rng.gauss(0, 1)) for _ in range(6)]) for i in range(150)]
+    vectors += [(200 + i, vectors[3][1]) for i in range(40)]  # one common vector: ties
+    vectors = [(i, [float(F32) for F32 in __import__("numpy").float32(v)]) for i, v in vectors]
+    got = run(spark, [(i, v, "x", 0) for i, v in vectors], k=7, seed=10, stripe=32, block=8)
+    assert got == sorted(brute.top_k([(i, whole(v)) for i, v in vectors], 7, lambda q: q % 5 == 0))
+
+
+def test_few_candidates_and_odd_vectors(spark):
+    rows = [(0, [1.0, 0.5]), (1, [1.0]), (2, []), (3, None), (4, [1.0, None]), (5, [float("nan"), 1.0]),
+            (6, [float("inf"), 1.0]), (None, [9.0, 9.0]), (10, [-0.001, 1.0]), (11, [0.0, 0.0])]
+    got = run(spark, [(i, v, None, None) for i, v in rows])
+    fine = [(i, (whole(v) + [0, 0])[:2]) for i, v in rows if i in (0, 1, 2, 10, 11)]
+    assert got == sorted(brute.top_k(fine, 20, lambda q: q % 5 == 0))
+
+
+def test_repeated_rows_are_candidates_each(spark):
+    got = run(spark, [(0, [1.0], "a", 0), (1, [2.0], "a", 0), (1, [2.0], "a", 0), (2, [1.0], "a", 0)], k=3)
+    assert got == [(0, 1, 1, 8192), (0, 2, 1, 8192), (0, 3, 2, 4096)]
+
+
+def test_huge_components_count_as_the_limit(spark):
+    got = run(spark, [(0, [1.0], "a", 0), (1, [1e30], "a", 0), (2, [-1e30], "a", 0)])
+    assert got == [(0, 1, 1, 64 << 24), (0, 2, 2, -(64 << 24))]
+
+
+def test_empty(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(1, [1.0], "a", 0)]) == []
