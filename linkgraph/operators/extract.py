@@ -13,13 +13,15 @@ Two modes:
   error drops the whole page. ``&`` is first rewritten to ``@amp;`` (P3), in
   Spark, before the page reaches Python. The container is entered at depth 0
   only; every start tag inside adds one level, every end tag removes one.
-* ``lenient``: real web HTML through stdlib ``html.parser`` (never fails,
-  entities decoded). Depth counts the container tag only, as pages leave
-  other tags open.
+* ``lenient``: real web HTML, read in one forward pass that accepts any text
+  and takes time linear in its length (entities in attributes decoded). Depth
+  counts the container tag only, as pages leave other tags open.
 """
 
 from __future__ import annotations
 
+import html
+import html.entities
 import re
 import sys
 
@@ -102,45 +104,93 @@ def scan_xml(doc: str | None, tag: str, attr: str | None, value: str | None):
     return links
 
 
+_ATTRIBUTE = r"""[ \t\n\f\r/]*+([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"([^"]*+)"|'([^']*+)'|([^ \t\n\f\r"'>][^ \t\n\f\r>]*+)|(?=>)))?+"""
+_TAG_NAME = r"<([a-zA-Z][^ \t\n\f\r/>]*+)"
+# A whole start tag. Every loop is possessive: a tag is tried once, left to right.
+_START_TAG = re.compile(_TAG_NAME + "((?:" + re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE) + r")*+)[ \t\n\f\r/]*+>")
+_ATTRIBUTES, _NAME = re.compile(_ATTRIBUTE), re.compile(_TAG_NAME)
+_END_NAME = re.compile(r"</([a-zA-Z][^ \t\n\f\r/>]*+)")
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*+[;=]?)")
+# Elements whose content is text up to their own end tag.
+_TEXT_ELEMENTS = {name: re.compile(rf"</{name}(?=[ \t\n\f\r/>])", re.IGNORECASE | re.ASCII)
+                  for name in ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes")}
+
+
+def _decoded(value: str) -> str:
+    """An attribute value with its character references replaced. A name without
+    a semicolon counts only if it is known as such and no ``=`` or letter follows."""
+    def one(m: re.Match) -> str:
+        ref = m[0]
+        if ref[1] == "#" or ref[-1] == ";":
+            return html.unescape(ref)
+        return html.unescape(ref) if ref[-1] != "=" and ref[1:] in html.entities.html5 else ref
+
+    return _REFERENCE.sub(one, value) if "&" in value else value
+
+
+def _attribute(text: str, key: str) -> str | None:
+    """The first attribute named ``key`` in the attributes of a start tag."""
+    for m in _ATTRIBUTES.finditer(text):
+        if m[1].lower() == key:
+            value = next((v for v in m.groups()[1:] if v is not None), None)
+            return None if value is None else _decoded(value)
+    return None
+
+
 def scan_html(doc: str | None, tag: str, attr: str | None, value: str | None):
     """Lenient mode for one page: raw ``href`` values of anchors inside the
-    container (entities decoded); depth follows the container tag only."""
-    from html.parser import HTMLParser
+    container (entities decoded); depth follows the container tag only.
 
+    Any text is accepted. Comments run to ``-->``, or to the next ``>`` if there
+    is none; other ``<!`` and ``<?`` sections run to the next ``>``. A quote that
+    hides the end of a tag hides it from the whole rest of the page: from there
+    on, tags end at the next ``>``, whatever is quoted. Every step goes forward,
+    and a search that fails is not repeated, so the time is linear.
+    """
     if doc is None:
         return None
     tag_l = tag.lower()
     attr_l = attr.lower() if attr else None
-
-    def first(attrs, key):
-        # A repeated attribute counts once, by its first occurrence.
-        return next((v for k, v in attrs if k == key), None)
-
-    class Scanner(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.depth = 0
-            self.links: list[str] = []
-
-        def handle_starttag(self, name, attrs):
-            if name == tag_l:
-                if self.depth > 0:
-                    self.depth += 1
-                elif attr_l is None or equals_ignore_case(first(attrs, attr_l), value):
-                    self.depth = 1
-            elif name == "a" and self.depth > 0:
-                href = first(attrs, "href")
-                if href is not None:
-                    self.links.append(href)
-
-        def handle_endtag(self, name):
-            if name == tag_l and self.depth > 0:
-                self.depth -= 1
-
-    s = Scanner()
-    s.feed(doc)
-    s.close()
-    return s.links
+    depth, pos, links = 0, 0, []
+    comments, quotes = True, True
+    while (lt := doc.find("<", pos)) >= 0:
+        gt = doc.find(">", lt)
+        if gt < 0:
+            break                                   # no later tag has an end
+        kind = doc[lt + 1]
+        if kind in "!?":
+            pos = gt + 1
+            if comments and doc.startswith("<!--", lt) and not doc.startswith((">", "->"), lt + 4):
+                close = doc.find("-->", lt + 4)
+                comments = close >= 0
+                pos = close + 3 if comments else pos
+        elif kind == "/":
+            name = _END_NAME.match(doc, lt)
+            pos = gt + 1
+            if name and name[1].lower() == tag_l and depth > 0:
+                depth -= 1
+        elif name := _NAME.match(doc, lt):
+            whole = _START_TAG.match(doc, lt) if quotes else None
+            quotes = quotes and whole is not None
+            pos = whole.end() if whole else gt + 1
+            found = name[1].lower()
+            if found == tag_l or found == "a" and depth > 0:
+                attrs = whole[2] if whole else doc[name.end():gt] + " "
+                if found == tag_l:
+                    if depth > 0:
+                        depth += 1
+                    elif attr_l is None or equals_ignore_case(_attribute(attrs, attr_l), value):
+                        depth = 1
+                elif (href := _attribute(attrs, "href")) is not None:
+                    links.append(href)
+            elif found in _TEXT_ELEMENTS:
+                end = _TEXT_ELEMENTS[found].search(doc, pos)
+                if end is None:
+                    break                           # the rest of the page is its text
+                pos = end.start()
+        else:
+            pos = lt + 1
+    return links
 
 
 def _scan_batches(batches, mode: str, tag: str, attr: str | None, value: str | None):
@@ -188,7 +238,7 @@ def extract_links(records: DataFrame, mode: str = "strict",
     if mode not in ("strict", "lenient"):
         raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
     tag, attr, value = container
-    html = neutralise_entities("html") if mode == "strict" else F.col("html")
+    body = neutralise_entities("html") if mode == "strict" else F.col("html")
     reason = F.col("reason") if "reason" in records.columns else F.lit(None).cast("string")
     if mode == "lenient":
         # A start tag is '<' right before its name, so a page without that text
@@ -197,7 +247,7 @@ def extract_links(records: DataFrame, mode: str = "strict",
         no_container = ~F.col("html").rlike("(?i)<" + re.escape(tag))
         reason = F.coalesce(reason, F.when(F.col("html").isNotNull() & no_container, F.lit(OK)))
     cols = [F.col("page").cast("string").alias("page"), reason.alias("reason"),
-            F.when(reason.isNull(), html).alias("html")]
+            F.when(reason.isNull(), body).alias("html")]
     if "line" in records.columns:
         cols.append(F.col("line"))
     return records.select(*cols).mapInArrow(

@@ -3,8 +3,8 @@
 * ``trade``: orders ⋈ lineitem on the order key; customer → supplier for
   non-returned lines, supplier → customer for returned ones, supplier → part
   for every line item. Repeats kept. Ids are prefixed ``C``/``S``/``P``.
-* ``wiki_lines``: one strict-mode dump line per row of ``pages``, built so
-  that all four ingest outcomes occur (recipe in FIXTURES.md §4).
+* ``wiki_lines``: one strict-mode dump line per row of ``pages``, with all of
+  its html, built so that every ingest outcome and container rule occurs.
 * ``page_nav``: the raw ``pages`` as a page table for lenient mode,
   names ``p<page_id>``, links ``href="/X"`` inside ``<nav>``.
 
@@ -50,20 +50,47 @@ def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
     return Graph(edges=trade_edges(spark, sf_dir))
 
 
+# The recipe of ``wiki_lines``, keyed by page_id (FIXTURES.md §4). Containers
+# cycle every three pages, so that they meet every name, delimiter and defect.
+CONTAINERS = [
+    '<div id="bodyContent">', '<DIV id="BODYCONTENT">', '<div ID="bodyContent">',
+    '<div id="bodyContent"><div id="bodyContent"><a href="../articles/in.html">i</a></div>',
+    '<div id="bodyContent"><a href="../articles/first.html"/></div><p><a href="../articles/between.html">b</a></p><div id="bodyContent">',
+    '<div id="bodyContent"><A href="../articles/up.html">u</A><a>none</a><a HREF="../articles/no.html">n</a>',
+    '<div id="bodyContent">', '<div id="other">']
+DOCTYPE_AT = 6
+DEFECTS = ["<br>", "<b><i>x</b></i>", '<p x="1" x="2"></p>']
+
+
+def _pick(key: F.Column, options: list[str]) -> F.Column:
+    return F.element_at(F.array(*[F.lit(o) for o in options]), (key + 1).cast("int"))
+
+
+def xml_body(html: F.Column) -> F.Column:
+    """A page's whole html as well-formed content: its anchors ``<a href="/X">``
+    become ``<a href="../articles/X.html">``, all other markup becomes text."""
+    marked = F.regexp_replace(html, r'<a href="/([^"<>]*)">([^<]*)</a>', "\uE000$1\uE001$2\uE002")
+    for a, b in (("<", "&lt;"), ("]]>", "]]&gt;"), ("\uE000", '<a href="../articles/'), ("\uE001", '.html">'), ("\uE002", "</a>"), ("\n", " ")):
+        marked = F.replace(marked, F.lit(a), F.lit(b))
+    return marked
+
+
 def wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(value)``: strict-mode lines, one per page (recipe in FIXTURES.md §4)."""
+    """``(value)``: strict-mode lines, one per page, each with the page's whole
+    html in its container (recipe in FIXTURES.md §4)."""
     p = table(spark, sf_dir, "pages").select("page_id", "html")
     pid = F.col("page_id")
-    name = F.concat(F.when(pid % 10 == 9, F.lit("User~")).otherwise(F.lit("")),
-                    F.lit("p"), pid.cast("string"))
-    delim = F.when(pid % 25 == 24, F.lit("")).otherwise(F.lit(":"))
-    nav = F.regexp_extract("html", r"<nav>.*?</nav>", 0)
-    nav = F.regexp_replace(nav, r'href="/([^"]*)"', 'href="../articles/$1.html"')
-    own = F.concat(F.lit('<a href="../articles/p'), ((pid * 7 + 1) % 50).cast("string"),
-                   F.lit('.html">n</a>'))
-    br = F.when(pid % 7 == 6, F.lit("<br>")).otherwise(F.lit(""))
-    line = F.concat(name, delim, F.lit('<html><body><div id="bodyContent">'), nav, own, br,
-                    F.lit('</div><a href="./p0.html">out</a></body></html>'))
+    name = F.concat(F.when(pid % 10 == 9, F.lit("User~")).otherwise(F.lit("")), F.lit("p"),
+                    F.when(pid % 15 == 13, pid - 1).otherwise(pid).cast("string"))
+    third = F.floor(pid / 3) % len(CONTAINERS)
+    doctype = F.when(third == DOCTYPE_AT, F.lit('<!DOCTYPE html SYSTEM "http://nowhere.invalid/x.dtd">')).otherwise(F.lit(""))
+    own = F.concat(F.lit('<a href="../articles/p'), ((pid * 7 + 1) % 50).cast("string"), F.lit('.html">n</a>'))
+    defect = F.when(pid % 7 == 6, _pick(F.floor(pid / 7) % len(DEFECTS), DEFECTS)).otherwise(F.lit(""))
+    close = F.when(third == 1, F.lit("</DIV>")).otherwise(F.lit("</div>"))
+    rest = F.concat(doctype, F.lit("<html><body>"), _pick(third, CONTAINERS), xml_body(F.col("html")), own, defect, close,
+                    F.lit('<a href="./p0.html">out</a></body></html>'))
+    # Some lines have no delimiter at all.
+    line = F.when(pid % 25 == 24, F.replace(F.concat(name, rest), F.lit(":"), F.lit(" "))).otherwise(F.concat(name, F.lit(":"), rest))
     return p.select(line.alias("value"))
 
 

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (ALPHA, CONTAINER, ITERATIONS, LINK_TARGET_PATTERN, NAV_CONTAINER,
-                         NAV_LINK_PATTERN, TOP_K)
+                         NAV_LINK_PATTERN, TOP_K, name_ok)
 from ..operators.extract import extract_links, link_rows
 from ..operators.graph import Graph
 from ..operators.rank import DEFAULT_SPLIT, rank_nodes
-from ..operators.records import OK, reject_report, split_records
+from ..operators.records import BAD_NAME, OK, reject_report, split_records
 from ..operators.topk import top_k
 from ..session import checkpoint_root
 from ..sources import read_lines
@@ -77,9 +77,12 @@ def ingest_lines(lines: DataFrame, mode: str = "strict", container=CONTAINER,
 def ingest_pages(pages: DataFrame, mode: str = "lenient", container=NAV_CONTAINER,
                  link_pattern: str = NAV_LINK_PATTERN, decode: bool = True,
                  materialize: bool = True) -> Ingested:
-    """A page table ``(page, html)`` → links and graph; no line format, so no
-    name split (names are taken as given)."""
-    extracted = extract_links(pages.select("page", "html"), mode, container)
+    """A page table ``(page, html)`` → links and graph. There is no line to
+    split, but names follow the same rule as in a dump: rows with a null, empty
+    or tilde-holding name are rejected (``bad_name``)."""
+    named = pages.select(F.col("page").cast("string").alias("page"), "html",
+                         F.when(~name_ok("page"), F.lit(BAD_NAME)).alias("reason"))
+    extracted = extract_links(named, mode, container)
     return from_extracted(extracted, link_pattern, decode, materialize)
 
 

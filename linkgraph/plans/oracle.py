@@ -9,6 +9,8 @@ the code it checks.
 
 from __future__ import annotations
 
+# Fixed values, which must stay as they are: damping, and the patterns of page
+# names and of link targets.
 ALPHA = 0.15
 ROUND = 10
 NAME_RE = "^([^~]+)$"
@@ -24,16 +26,32 @@ TRADE_EDGES = """
     UNION ALL
     SELECT 'S' || CAST(l_suppkey AS VARCHAR), 'P' || CAST(l_partkey AS VARCHAR) FROM lineitem"""
 
-WIKI_LINES = """
-    SELECT CASE WHEN page_id % 10 = 9 THEN 'User~' ELSE '' END || 'p' || CAST(page_id AS VARCHAR)
-        || CASE WHEN page_id % 25 = 24 THEN '' ELSE ':' END
-        || '<html><body><div id="bodyContent">'
-        || regexp_replace(regexp_extract(html, '<nav>.*?</nav>', 0), 'href="/([^"]*)"',
-                          'href="../articles/\\1.html"', 'g')
-        || '<a href="../articles/p' || CAST((page_id * 7 + 1) % 50 AS VARCHAR) || '.html">n</a>'
-        || CASE WHEN page_id % 7 = 6 THEN '<br>' ELSE '' END
-        || '</div><a href="./p0.html">out</a></body></html>' AS value
-    FROM pages"""
+# The recipe of the dump lines, as strings: containers by (page_id // 3) % 8,
+# defects by (page_id // 7) % 3, and the links that a container adds by itself.
+_CONTAINERS = """['<div id="bodyContent">', '<DIV id="BODYCONTENT">', '<div ID="bodyContent">',
+    '<div id="bodyContent"><div id="bodyContent"><a href="../articles/in.html">i</a></div>',
+    '<div id="bodyContent"><a href="../articles/first.html"/></div><p><a href="../articles/between.html">b</a></p><div id="bodyContent">',
+    '<div id="bodyContent"><A href="../articles/up.html">u</A><a>none</a><a HREF="../articles/no.html">n</a>',
+    '<div id="bodyContent">', '<div id="other">']"""
+_OWN_LINKS = "[[], [], [], ['../articles/in.html'], ['../articles/first.html'], ['../articles/up.html'], [], []]"
+_DEFECTS = """['<br>', '<b><i>x</b></i>', '<p x="1" x="2"></p>']"""
+# A page's html with its anchors kept and all other markup as text.
+_BODY = ("replace(replace(replace(replace(replace(replace("
+         "regexp_replace(html, '<a href=\"/([^\"<>]*)\">([^<]*)</a>', chr(57344) || '\\1' || chr(57345) || '\\2' || chr(57346), 'g'),"
+         " '<', '&lt;'), ']]>', ']]&gt;'), chr(57344), '<a href=\"../articles/'), chr(57345), '.html\">'), chr(57346), '</a>'), chr(10), ' ')")
+
+WIKI_LINES = f"""
+    SELECT page_id, body, third, own,
+        CASE WHEN page_id % 25 = 24 THEN replace(name || rest, ':', ' ') ELSE name || ':' || rest END AS value
+    FROM (SELECT *, CASE WHEN page_id % 10 = 9 THEN 'User~' ELSE '' END || 'p'
+                || CAST(page_id - CASE WHEN page_id % 15 = 13 THEN 1 ELSE 0 END AS VARCHAR) AS name,
+            CASE WHEN third = 6 THEN '<!DOCTYPE html SYSTEM "http://nowhere.invalid/x.dtd">' ELSE '' END
+                || '<html><body>' || {_CONTAINERS}[third + 1] || body || '<a href="' || own || '">n</a>'
+                || CASE WHEN page_id % 7 = 6 THEN {_DEFECTS}[(page_id // 7) % 3 + 1] ELSE '' END
+                || CASE WHEN third = 1 THEN '</DIV>' ELSE '</div>' END
+                || '<a href="./p0.html">out</a></body></html>' AS rest
+          FROM (SELECT page_id, {_BODY} AS body, (page_id // 3) % 8 AS third,
+                       '../articles/p' || CAST((page_id * 7 + 1) % 50 AS VARCHAR) || '.html' AS own FROM pages))"""
 
 
 def decode(h: str) -> str:
@@ -46,29 +64,28 @@ def capture(link: str, pattern: str = TARGET_RE) -> str:
     return f"CASE WHEN regexp_matches({link}, '{pattern}') THEN regexp_extract({link}, '{pattern}', 1) END"
 
 
-# --- ingest of the wiki lines, as the fixture builds them ---------------------------------
-# Only the '<br>' the recipe inserts makes a fixture line ill-formed XML, and the
-# container runs from the bodyContent div to the closing '</div>' before the outside link.
+# --- ingest of the wiki lines, from the recipe's keys --------------------------------------
+# A defect makes a line ill-formed. Containers 2 and 7 are none (attribute name, value); the
+# others hold their own links, the page's anchors and the line's own link, in this order.
 WIKI_RECORDS = f"""
     lines AS ({WIKI_LINES}),
     recs AS (
-        SELECT value,
+        SELECT value, page_id, body, third, own,
                CASE WHEN instr(value, ':') > 0 THEN substr(value, 1, instr(value, ':') - 1) END AS page,
                CASE WHEN instr(value, ':') > 0 THEN substr(value, instr(value, ':') + 1) END AS html
         FROM lines),
     status AS (
-        SELECT page, html,
-               CASE WHEN page IS NULL THEN 'no_delimiter'
+        SELECT *, CASE WHEN page IS NULL THEN 'no_delimiter'
                     WHEN NOT regexp_matches(page, '{NAME_RE}') THEN 'bad_name'
-                    WHEN contains(html, '<br>') THEN 'ill_formed'
+                    WHEN page_id % 7 = 6 THEN 'ill_formed'
                     ELSE 'ok' END AS reason
         FROM recs),
-    acc AS (SELECT page, replace(html, '&', '@amp;') AS html FROM status WHERE reason = 'ok'),
+    acc AS (SELECT page, body, third, own FROM status WHERE reason = 'ok'),
     hrefs AS (
         SELECT page, unnest(hs) AS href, unnest(generate_series(0, len(hs) - 1)) AS pos
-        FROM (SELECT page, regexp_extract_all(
-                  regexp_extract(html, '<div id="bodyContent">(.*)</div><a href="\\./p0\\.html">', 1),
-                  'href="([^"]*)"', 1) AS hs FROM acc)),
+        FROM (SELECT page, list_concat(list_concat({_OWN_LINKS}[third + 1],
+                  regexp_extract_all(replace(body, '&', '@amp;'), '<a href="([^"]*)">', 1)), [own]) AS hs
+              FROM acc WHERE third NOT IN (2, 7))),
     wlinks AS (
         SELECT page, pos, href, {capture(decode('href'))} AS target FROM hrefs),
     wiki_edges AS (SELECT page AS src, target AS dst FROM wlinks WHERE target IS NOT NULL),
@@ -187,12 +204,11 @@ def trade_select(select: str) -> str:
 
 
 def link_variants() -> str:
-    """Nav words of every page turned into test hrefs of nine shapes."""
+    """Link words of every page turned into test hrefs of nine shapes."""
     return """
     words AS (
         SELECT page_id, unnest(ws) AS w, unnest(generate_series(0, len(ws) - 1)) AS pos
-        FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>.*?</nav>', 0),
-                                                 'href="/([^"]*)"', 1) AS ws FROM pages))"""
+        FROM (SELECT page_id, regexp_extract_all(html, 'href="/([^"]*)"', 1) AS ws FROM pages))"""
 
 
 TARGET_SHAPES = ["'./' || w || '.html'", "'../x/' || w || '.html'", "'../u~v/' || w || '.html'",
@@ -226,6 +242,7 @@ def queries() -> dict[str, str]:
         SELECT page, pos, href, target FROM wlinks WHERE target IS NOT NULL"""
     q["lenient_link_extract"] = f"""WITH {NAV_RECORDS}
         SELECT page, pos, href, target FROM nlinks WHERE target IS NOT NULL"""
+    q["dump_scan"] = q["strict_link_extract"]
     q["ingest_report"] = f"""WITH {WIKI_RECORDS}
         SELECT reason, count(*) AS n FROM status GROUP BY reason"""
     q["adjacency_merge"] = trade_select("SELECT src, dst, mult FROM pairs")
@@ -235,7 +252,7 @@ def queries() -> dict[str, str]:
         "SELECT n.id FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.src = n.id)")
     q["initial_rank"] = first_round_sql(f"SELECT id, round(rank, {r}) AS rank FROM r0")
     q["edge_contributions"] = first_round_sql(
-        f"""SELECT pr.src, pr.dst, round((pr.mult / o.out_degree) * r.rank, {r}) AS contribution
+        f"""SELECT pr.src, pr.dst, round((pr.mult / o.out_degree) * r.rank * (SELECT n FROM nn), {r}) AS contribution
             FROM pairs pr JOIN outs o ON o.src = pr.src JOIN r0 r ON r.id = pr.src""")
     q["contribution_sum"] = first_round_sql(
         f"""SELECT v.id, round(coalesce(c.s, 0.0), {r}) AS contrib_sum
@@ -258,6 +275,10 @@ def queries() -> dict[str, str]:
                     f"SELECT name, round(rank, {r}) AS rank FROM ({top})")
     q["top_100_text"] = (f"WITH {trade_prefix()}, {graph_ctes('trade_edges')}, {rank_ctes(10)}\n"
                          f"SELECT name || ' ' || printf('%.{r}f', rank) AS value FROM ({top})")
+    q["ranked_text_roundtrip"] = q["top_100_text"]
+    q["top_100_exclude"] = (f"WITH {trade_prefix()}, {graph_ctes('trade_edges')}, {rank_ctes(10)}\n"
+                            f"SELECT id AS name, round(rank, {r}) AS rank FROM r10 "
+                            f"WHERE id NOT IN ('S1', 'S2', 'S3', 'S10', 'C1') ORDER BY r10.rank DESC, id LIMIT 100")
     return q
 
 

@@ -16,15 +16,17 @@ from ..functions import CONTAINER, LINK_TARGET_PATTERN
 from ..operators.extract import extract_links
 from ..operators.records import split_records
 from ..plans.jobs import Ingested, from_extracted
-from ..session import scratch_path
 
 
 def start_ingest(spark: SparkSession, source_dir: str, out_dir: str, mode: str = "strict",
                  container=CONTAINER, checkpoint_location: str | None = None,
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream: ``source_dir`` (text files) → ``out_dir`` (parquet of
-    ``(page, reason, hrefs, line)``). The query's own checkpoint goes under the
-    shared checkpoint folder unless given; each file is processed exactly once.
+    ``(page, reason, hrefs, line)``). The query's own checkpoint lies in
+    ``out_dir``, next to the rows it accounts for, unless given elsewhere: a
+    later call goes on where the last one stopped, so each file is processed
+    exactly once. Readers of the table pass over it, as its name begins with
+    an underscore.
 
     ``available_now`` processes what is there and stops; otherwise the stream
     keeps running and picks up new files.
@@ -34,7 +36,7 @@ def start_ingest(spark: SparkSession, source_dir: str, out_dir: str, mode: str =
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     extracted = extract_links(split_records(reader.load(source_dir)), mode, container)
     writer = (extracted.writeStream.format("parquet").option("path", out_dir)
-              .option("checkpointLocation", checkpoint_location or scratch_path(spark, "ingest-stream"))
+              .option("checkpointLocation", checkpoint_location or f"{out_dir}/_ingest_checkpoint")
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
