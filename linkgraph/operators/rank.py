@@ -10,7 +10,7 @@ Ranks total 1 in every round. The parity step is one round with N = accepted
 records, r₀ = 1/N on pages only and δ = 0.
 
 Preparation, once (:func:`prepare_graph`): repeated links are merged, every
-vertex gets a dense 64-bit id ``vid``, and the weighted edges
+vertex gets a unique 64-bit id ``vid``, and the weighted edges
 ``(src_vid, bucket, dst_vid, w)`` are written as a table bucketed by
 ``(src_vid, bucket)`` (bucket count from the edge count) and cached with that
 layout. Names never travel through the rounds; they are joined back once at
@@ -43,11 +43,11 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import ALPHA, ITERATIONS
-from ..session import checkpoint_root, scratch_path, sized_shuffles
+from ..session import checkpoint_root, remove_path, scratch_path, sized_shuffles, written
 from ..sources import write_rank_snapshot
 from .graph import Graph, edge_pairs, node_table
 
@@ -57,6 +57,10 @@ DEFAULT_SPLIT = 1 << 16
 # first; small graphs get at most one bucket per core, none below the second.
 EDGES_PER_BUCKET = 8 << 20
 MIN_EDGES_PER_BUCKET = 256 << 10
+# A vertex with more than 1/HOT_VERTICES of all merged links at either end (and
+# more than MIN_HOT_LINKS) is looked up apart when links get their vertex ids.
+HOT_VERTICES = 10_000
+MIN_HOT_LINKS = 1 << 12
 
 
 def bucket_count(n_pairs: int, parallelism: int) -> int:
@@ -72,11 +76,12 @@ class PreparedGraph:
     """Edges weighted and laid out once; vertices with their attributes."""
 
     wedges: DataFrame      # (src_vid, bucket, dst_vid, w) bucketed by (src_vid, bucket)
-    nodes: DataFrame       # (id, out_degree, n_targets, dangling, is_page, nb, vid), checkpointed
+    nodes: DataFrame       # (id, out_degree, n_targets, n_sources, dangling, is_page, nb, vid), written
     n_nodes: int
     table: str
     partitions: int
     n_pairs: int = 0       # compacted edges
+    paths: tuple[str, ...] = ()    # what this preparation wrote
 
     def named(self, ranks: DataFrame) -> DataFrame:
         """``(id, rank, is_page)``: vertex names joined back onto ranks by ``vid``."""
@@ -85,10 +90,34 @@ class PreparedGraph:
                 .select("id", "rank", "is_page"))
 
     def release(self) -> None:
-        """Drop the edge table's cache and catalog entry (its files stay in the
-        checkpoint folder, like RDD checkpoints)."""
+        """Drop the edge table's cache and catalog entry, and delete the edge,
+        link and vertex tables that the preparation wrote. Results must have
+        been materialized before (:func:`finish` does)."""
+        spark = self.wedges.sparkSession
         self.wedges.unpersist()
-        self.wedges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+        spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        for path in self.paths:
+            remove_path(spark, path)
+
+
+def _with_vids(links: DataFrame, end: str, other: str, nodes: DataFrame, hot: DataFrame,
+               columns: list[Column]) -> DataFrame:
+    """``links`` with the columns ``columns`` of the vertex at ``end``.
+
+    A vertex with a large share of the links would send them all to one task of
+    a join by name. The few ``hot`` vertices (a bounded table, so it is
+    broadcast) are looked up first; their links then pass through the join under
+    a salt of their other end, spread over all tasks, and match nothing there.
+    """
+    # One letter tells names from salts, so that a salt is never a vertex's name.
+    info = nodes.select(F.concat(F.lit("v"), "id").alias("__key"), F.struct(*columns).alias("__cold"))
+    known = hot.select(F.col("id").alias(end), F.struct(*columns).alias("__hot"))
+    looked = links.join(F.broadcast(known), end, "left")
+    salt = F.concat(F.lit("h"), F.xxhash64(other).cast("string"))
+    keyed = looked.withColumn("__key", F.when(F.col("__hot").isNotNull(), salt).otherwise(F.concat(F.lit("v"), end)))
+    joined = keyed.join(info.hint("shuffle_hash"), "__key", "left")
+    found = F.coalesce("__hot", "__cold")
+    return joined.withColumn("__found", found).select(*links.columns, "__found.*")
 
 
 def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
@@ -96,8 +125,8 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     """Compact, number, weight and lay out the edges once for all rounds.
 
     * ``pairs(src, dst, mult)``: repeats merged (partial counts per task);
-    * vertices with degree, bucket count ``nb`` and dense id ``vid``,
-      checkpointed (the checkpoint fixes the ids for good);
+    * vertices with degree, bucket count ``nb`` and unique id ``vid``,
+      written (which fixes the ids for good);
     * ``wedges(src_vid, bucket, dst_vid, w = mult/d(src))`` written as a table
       bucketed by ``(src_vid, bucket)`` into the checkpoint folder, so each
       round joins against it without moving an edge. The bucket count is
@@ -112,16 +141,20 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     spark = graph.edges.sparkSession
     checkpoint_root(spark)
 
-    # Checkpointed rather than cached: it is read twice below, survives a lost
-    # executor without redoing the link shuffle, and keeps the partition count
-    # adaptive execution chose for its size.
+    # Written rather than cached: links are read twice below, and vertices in
+    # every step; both survive a lost executor, and their columns are pruned.
     nb = F.when(F.col("n_targets") > 0, F.ceil(F.col("n_targets") / F.lit(split))) \
         .otherwise(F.lit(0)).cast("bigint")
     with sized_shuffles(spark, graph.links_hint or 0):
-        pairs = edge_pairs(graph).checkpoint()
-        nodes = (node_table(graph, pairs).withColumn("nb", nb)
-                 .withColumn("vid", F.monotonically_increasing_id())
-                 .checkpoint())
+        if graph.merged:
+            pairs, paths = edge_pairs(graph), []
+        else:
+            pairs, path = written(edge_pairs(graph), "pairs")
+            paths = [path]
+    with sized_shuffles(spark, graph.links_hint or pairs.count()):
+        nodes, path = written(node_table(graph, pairs).withColumn("nb", nb)
+                              .withColumn("vid", F.monotonically_increasing_id()), "nodes")
+        paths.append(path)
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"),
                       F.coalesce(F.sum("n_targets"), F.lit(0)).alias("pairs")).first()
     n = sizes["n"]
@@ -130,25 +163,28 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     else:
         parts = bucket_count(sizes["pairs"], spark.sparkContext.defaultParallelism)
 
-    src_info = (nodes.where(F.col("nb") > 0)
-                .select(F.col("id").alias("src"), F.col("vid").alias("src_vid"), "out_degree", "nb"))
-    dst_info = nodes.select(F.col("id").alias("dst"), F.col("vid").alias("dst_vid"))
-    wedges = (pairs.join(src_info.hint("shuffle_hash"), "src")
-              .join(dst_info.hint("shuffle_hash"), "dst")
-              .select("src_vid",
-                      F.pmod(F.xxhash64("dst_vid"), F.col("nb")).cast("bigint").alias("bucket"),
-                      "dst_vid",
-                      (F.col("mult") / F.col("out_degree")).alias("w")))
+    # At most 2 * HOT_VERTICES vertices reach this share of all links.
+    heavy = max(sizes["pairs"] // HOT_VERTICES, MIN_HOT_LINKS)
+    hot = nodes.where((F.col("n_targets") > heavy) | (F.col("n_sources") > heavy))
+    wedges = pairs.select("src", "dst", "mult")
+    wedges = _with_vids(wedges, "src", "dst", nodes.where(F.col("nb") > 0), hot,
+                        [F.col("vid").alias("src_vid"), F.col("out_degree"), F.col("nb")]).drop("src")
+    wedges = _with_vids(wedges, "dst", "src_vid", nodes, hot, [F.col("vid").alias("dst_vid")])
+    wedges = wedges.select("src_vid",
+                           F.pmod(F.xxhash64("dst_vid"), F.col("nb")).cast("bigint").alias("bucket"),
+                           "dst_vid",
+                           (F.col("mult") / F.col("out_degree")).alias("w"))
     table = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}"
+    paths.append(scratch_path(spark, "wedges"))
     with sized_shuffles(spark, sizes["pairs"]):
         (wedges.repartition(parts, "src_vid", "bucket")
          .write.bucketBy(parts, "src_vid", "bucket")
-         .option("path", scratch_path(spark, "wedges"))
+         .option("path", paths[-1])
          .saveAsTable(table))
     edges = spark.table(table)
     if cache_edges:
         edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    return PreparedGraph(edges, nodes, n, table, parts, sizes["pairs"])
+    return PreparedGraph(edges, nodes, n, table, parts, sizes["pairs"], tuple(paths))
 
 
 def initial_ranks(prep: PreparedGraph, n: float, pages_only: bool = False) -> DataFrame:
@@ -289,7 +325,8 @@ def finish(prep: PreparedGraph, ranks: DataFrame, universe: str = "all") -> Data
     out = prep.named(ranks)
     if universe == "pages":
         out = out.where("is_page")
-    return out.select("id", "rank").checkpoint()
+    with sized_shuffles(prep.wedges.sparkSession, prep.n_nodes):
+        return out.select("id", "rank").checkpoint()
 
 
 def rank_nodes(graph: Graph, alpha: float = ALPHA, iterations: int = ITERATIONS,
@@ -332,6 +369,8 @@ def parity_step(graph: Graph, alpha: float = ALPHA, split: int = DEFAULT_SPLIT,
     try:
         size = float(graph.n_records())
         r1 = rank_step(prep, initial_ranks(prep, size, pages_only=True), size, alpha, delta=0.0)
-        return finish(prep, r1.checkpoint())
+        with sized_shuffles(prep.wedges.sparkSession, prep.n_pairs + prep.n_nodes):
+            r1 = r1.checkpoint()
+        return finish(prep, r1)
     finally:
         prep.release()

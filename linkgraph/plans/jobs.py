@@ -2,8 +2,9 @@
 
 One ingest pass reads the dump once: lines are split and name-checked in the
 scan's stage, pages are parsed in the same stage by the Arrow extractor, and
-the result — status, raw links and reject lines — is checkpointed once. The
-graph, the record count, the report and the rejects all read that checkpoint.
+the result — status, raw links and reject lines — is written once, as parquet.
+The graph, the record count, the report and the rejects each read the columns
+they need of it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from ..operators.graph import Graph
 from ..operators.rank import DEFAULT_SPLIT, rank_nodes
 from ..operators.records import BAD_NAME, OK, reject_report, split_records
 from ..operators.topk import top_k
-from ..session import checkpoint_root
+from ..session import written
 from ..sources import read_lines
 
 
@@ -43,13 +44,11 @@ class Ingested:
 def from_extracted(extracted: DataFrame, link_pattern: str = LINK_TARGET_PATTERN,
                    decode: bool = True, materialize: bool = True) -> Ingested:
     """Links, graph and report from an extraction table ``(page, reason, hrefs, line)``."""
-    hint = None
     if materialize:
-        checkpoint_root(extracted.sparkSession)
-        extracted = extracted.checkpoint()
-        # Raw in-scope anchors bound the links from above; one small pass over
-        # the checkpoint lets the graph's first shuffles be sized for them.
-        hint = extracted.agg(F.coalesce(F.sum(F.size("hrefs")), F.lit(0))).first()[0]
+        extracted, _ = written(extracted, "extracted")
+    # Raw in-scope anchors bound the links from above; one pass over that
+    # column lets the graph's first shuffles be sized for them.
+    hint = extracted.agg(F.coalesce(F.sum(F.size("hrefs")), F.lit(0))).first()[0]
     links = link_rows(extracted, link_pattern, decode)
     ok = extracted.where(F.col("reason") == OK)
     graph = Graph(edges=links.select(F.col("page").alias("src"), F.col("target").alias("dst")),

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, partitions: int | None = None,
@@ -66,6 +66,21 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{kind}-{uuid.uuid4().hex[:12]}")
 
 
+def written(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
+    """``df`` written once as parquet under the checkpoint root and read back,
+    with its path: columns are pruned on reading, and a lost executor costs
+    nothing that is written. :func:`remove_path` deletes it."""
+    path = scratch_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table this library wrote, on whatever file system it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 # Rows per shuffle partition the rank jobs aim for before adaptive coalescing.
 ROWS_PER_SHUFFLE_PARTITION = 2 << 20
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"

@@ -36,18 +36,21 @@ def write_graph(graph, path: str, mode: str = "overwrite") -> None:
     Edges are written as ``(src, dst, mult)`` sorted by ``(src, dst)``: the same
     information as per-page link lists, without gathering any one page's links
     into a single row (a hub page may hold a large share of all links). The
-    vertex table ``(id, out_degree, n_targets, dangling, is_page)`` keeps pages
+    vertex table ``(id, out_degree, n_targets, n_sources, dangling, is_page)`` keeps pages
     without links.
     """
     from ..operators.graph import edge_pairs, node_table
-    from ..session import checkpoint_root
+    from ..session import sized_shuffles
 
-    checkpoint_root(graph.edges.sparkSession)
-    pairs = edge_pairs(graph).checkpoint()       # read twice below
+    spark = graph.edges.sparkSession
     # A global sort range-partitions on (src, dst): the files stay clustered by
     # source, and a source with a huge share of links spans several tasks.
-    pairs.orderBy("src", "dst").write.mode(mode).parquet(f"{path}/edges")
-    node_table(graph, pairs).write.mode(mode).parquet(f"{path}/nodes")
+    with sized_shuffles(spark, graph.links_hint or 0):
+        edge_pairs(graph).orderBy("src", "dst").write.mode(mode).parquet(f"{path}/edges")
+    # The vertices come from the merged links just written, not from another merge.
+    pairs = spark.read.parquet(f"{path}/edges")
+    with sized_shuffles(spark, pairs.count()):
+        node_table(graph, pairs).write.mode(mode).parquet(f"{path}/nodes")
 
 
 def read_graph(spark: SparkSession, path: str):
@@ -56,7 +59,8 @@ def read_graph(spark: SparkSession, path: str):
 
     edges = spark.read.parquet(f"{path}/edges").select("src", "dst", "mult")
     pages = spark.read.parquet(f"{path}/nodes").where("is_page").select("id")
-    return Graph(edges=edges, pages=pages)
+    # Merged links; their number, from the files' footers, sizes later shuffles.
+    return Graph(edges=edges, pages=pages, links_hint=edges.count(), merged=True)
 
 
 def write_rank_snapshot(ranks: DataFrame, prefix: str, iteration: int,

@@ -108,3 +108,57 @@ def test_scan_html_container_with_attribute():
            '<a href="/after">y</a><div id="main"><a href="/c">c</a></div>')
     # nested divs count toward the container's depth; attribute names are case-free in HTML
     assert scan_html(doc, "div", "id", "main") == ["/a", "/b", "/c"]
+
+
+def test_scan_html_accepts_any_text():
+    import random
+
+    rng = random.Random(1)
+    parts = ["<", ">", "/", "!", "--", "[", "<nav>", "</nav>", '<a href="/x">', '"', "'", "=", " ", "a", "href", "&amp;", "<![",
+             "CDATA[", "]]>", "<!", "<?", "<script>", "</script>", "\n", "<title>", "&#x110000;", "\x00"]
+    for _ in range(100_000):
+        scan_html("".join(rng.choices(parts, k=rng.randrange(1, 12))), "nav", None, None)
+
+
+def test_scan_html_is_linear():
+    import time
+
+    for unit in ("<a ", "<!--", "<a x='", '<a x="', "<", "</", "<![", "&", "<a '=\"'", '<a x="\'>', "<a x='>' ", "<title", "<!-->"):
+        start = time.perf_counter()
+        scan_html("<nav>" + unit * 300_000, "nav", None, None)
+        assert time.perf_counter() - start < 10, unit
+
+
+def test_scan_html_keeps_links_around_bad_sections():
+    assert scan_html('<nav><a href="/a">x</a><![foo[ x</nav><nav><a href="/b">', "nav", None, None) == ["/a", "/b"]
+    assert scan_html('<nav><a href="/a"><!-- open ><a href="/b">', "nav", None, None) == ["/a", "/b"]
+    assert scan_html('<nav><a href="/a"><p title="open><a href=\'/b\'>', "nav", None, None) == ["/a", "/b"]
+    assert scan_html("<nav><a href=/u?x=1&y=2&copy=3&copyx&copy;&#65;>", "nav", None, None) == ["/u?x=1&y=2&copy=3&copyx©A"]
+    assert scan_html('<nav><a x=">" href="/a"><!--<a href="/no">--><a/href=/b><A HREF = "/c" href="/d"><a href>', "nav", None, None) == ["/a", "/b", "/c"]
+
+
+def test_ill_formed_pages_do_not_end_a_lenient_job(spark):
+    from linkgraph.plans.jobs import ingest_pages
+
+    pages = spark.createDataFrame([("a", '<nav><a href="/x"><![foo[ x</nav>'), ("b", '<nav><a href="/y">')], "page string, html string")
+    assert sorted(r.target for r in ingest_pages(pages).links.collect()) == ["x", "y"]
+
+
+def test_page_tables_follow_the_name_rule(spark):
+    from linkgraph.operators.rank import rank_nodes
+    from linkgraph.plans.jobs import ingest_pages
+
+    link = '<nav><a href="/p2">x</a></nav>'
+    pages = spark.createDataFrame([(None, link), ("", link), ("a~b", link), ("p1", link), ("p1", None)], "page string, html string")
+    ing = ingest_pages(pages)
+    assert dict(ing.report().collect()) == {"bad_name": 3, "ok": 1, "ill_formed": 1}
+    ranks = {r.id: r.rank for r in rank_nodes(ing.graph).collect()}
+    assert set(ranks) == {"p1", "p2"} and abs(sum(ranks.values()) - 1) < 1e-12
+
+
+def test_pages_without_a_name_are_no_vertices(spark):
+    from linkgraph.operators.graph import Graph, node_table, node_universe
+
+    edges = spark.createDataFrame([("a", "b"), (None, "c"), ("d", None)], "src string, dst string")
+    graph = Graph(edges, pages=spark.createDataFrame([(None,), ("p",)], "id string"))
+    assert sorted(r.id for r in node_table(graph).collect()) == sorted(r.id for r in node_universe(graph).collect()) == ["a", "b", "p"]

@@ -101,3 +101,67 @@ def test_scans_read_only_needed_columns(spark):
     assert orders and all("o_totalprice" not in s for s in orders)
     wiki = [p.simpleString(1000) for n, p in plan_nodes(wiki_lines(spark, SF)) if "Scan" in n]
     assert wiki and all("url" not in s.split("ReadSchema")[1] for s in wiki)
+
+
+def _hash_exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_vertex_queries_shuffle_once(spark):
+    from linkgraph.operators.graph import Graph, dangling_nodes, node_universe
+
+    edges = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
+    for graph in (Graph(edges), Graph(edges, pages=edges.select("src").withColumnRenamed("src", "id"))):
+        assert _hash_exchanges(node_universe(graph)) == _hash_exchanges(dangling_nodes(graph)) == 1
+
+
+def test_report_reads_the_reason_only(wiki14):
+    plan = wiki14.report()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<reason:string>" in plan
+
+
+def test_merged_links_are_not_merged_again(spark, tmp_path):
+    from linkgraph.operators.graph import Graph, edge_pairs
+    from linkgraph.sources import read_graph, write_graph
+
+    edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "c")], "src string, dst string")
+    write_graph(Graph(edges), str(tmp_path / "g"))
+    pairs = edge_pairs(read_graph(spark, str(tmp_path / "g")))
+    assert _hash_exchanges(pairs) == 0
+    assert sorted(map(tuple, pairs.collect())) == [("a", "b", 2), ("b", "c", 1)]
+
+
+def test_hot_target_is_spread_without_adaptive_execution(spark):
+    from pyspark.sql import functions as F
+    from linkgraph.operators import rank as R
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        n = 40_000
+        links = spark.range(n).select(F.concat(F.lit("s"), "id").alias("src"),
+                                      F.when(F.col("id") % 10 < 6, F.lit("hub")).otherwise(F.concat(F.lit("t"), "id")).alias("dst"))
+        ids = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct().withColumn("vid", F.xxhash64("id"))
+        hot = ids.where("id = 'hub'")
+        out = R._with_vids(links, "dst", "src", ids, hot, [F.col("vid").alias("dst_vid")])
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("dst_vid").alias("n")).collect()]
+        assert len(sizes) == 16
+        assert sum(sizes) == n and max(sizes) <= 3 * n / 16
+        assert out.where(F.col("dst_vid") != F.xxhash64("dst")).count() == out.where("dst_vid is null").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_release_removes_what_the_preparation_wrote(spark):
+    import os
+    from linkgraph.operators.graph import Graph
+    from linkgraph.operators.rank import prepare_graph
+
+    prep = prepare_graph(Graph(spark.createDataFrame([("a", "b")], "src string, dst string")))
+    local = [p.removeprefix("file:") for p in prep.paths]
+    assert len(local) == 3 and all(map(os.path.isdir, local))
+    prep.release()
+    assert not any(map(os.path.exists, local))
