@@ -44,6 +44,13 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def slices(parts: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, for work that holds them as Python objects."""
+    for part in parts:
+        for at in range(0, part.num_rows, rows):
+            yield part.slice(at, rows)
+
+
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Row tuples as Arrow batches of bounded length."""
     held: list[tuple] = []

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkgraph.llm.common import batches, byte_texts, run_hashes, saved, word_hashes
+from linkgraph.llm.common import batches, byte_texts, run_hashes, saved, slices, word_hashes
 
 WINDOW = 50
 ANCHOR = 16
@@ -70,16 +70,14 @@ def anchor_table(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     schema = pa.schema([("ah", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for at in range(0, part.num_rows, 1000):
-                some = part.slice(at, 1000)
-                hashes, ids, places = [], [], []
-                for doc_id, text in zip(some.column(0).to_pylist(), byte_texts(some.column(1))):
-                    position, found, _, _ = anchors(word_hashes(text)[2], window, anchor)
-                    hashes.append(found.view(np.int64))
-                    places.append(position.astype(np.int32))
-                    ids.append(np.full(len(position), doc_id, np.int64))
-                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (hashes, ids, places)], schema=schema)
+        for part in slices(parts):
+            hashes, ids, places = [], [], []
+            for doc_id, text in zip(part.column(0).to_pylist(), byte_texts(part.column(1))):
+                position, found, _, _ = anchors(word_hashes(text)[2], window, anchor)
+                hashes.append(found.view(np.int64))
+                places.append(position.astype(np.int32))
+                ids.append(np.full(len(position), doc_id, np.int64))
+            yield pa.record_batch([pa.array(np.concatenate(x)) for x in (hashes, ids, places)], schema=schema)
 
     return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, "ah long, doc_id long, pos int")
 
@@ -92,7 +90,8 @@ def sharers(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     found = saved(anchor_table(docs, window, anchor), "substrings-anchors")
     first = (found.groupBy("ah").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("last"), F.min_by("pos", "doc_id").alias("at"))
              .where("ref < last").select("ah", "ref", "at"))
-    seeds = found.select("ah", "doc_id").join(first, "ah")
+    # Written, so that both sides of the join are plain: a hot anchor's rows can be split.
+    seeds = found.select("ah", "doc_id").join(saved(first, "substrings-first"), "ah")
     per_doc = seeds.groupBy("doc_id").agg(F.collect_set(F.struct("ah", "ref", "at")).alias("seeds"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").join(per_doc, "doc_id")
     return saved(rows, "substrings-sharers")
@@ -115,7 +114,7 @@ def reference_blocks(rows: DataFrame, window: int, anchor: int, block: int) -> D
                 yield doc_id, b, start, b" ".join(words[start:(b + 1) * block + window])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             yield from batches(blocks(part), schema, 5000)
 
     own = rows.select("doc_id", "text", F.filter("seeds", lambda s: s["ref"] == F.col("doc_id")).alias("own")).where(F.size("own") > 0)
@@ -158,7 +157,7 @@ def segments(rows: DataFrame, window: int, anchor: int, block: int) -> DataFrame
         return (*key, doc_id, th, start, b" ".join(words[start:held[-1][3] + window]), *map(list, zip(*held)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             yield from batches(cut(part), schema, 5000)
 
     return rows.select("doc_id", "th", "text", "seeds").mapInArrow(
@@ -215,7 +214,7 @@ def factors(rows: DataFrame, window: int, anchor: int, block: int) -> DataFrame:
                     yield doc_id, th, w, w + window, int(h1[w - start]), int(h2[w - start])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             yield from batches(parsed(part), schema)
 
     blocks = reference_blocks(rows, window, anchor, block)
@@ -235,6 +234,7 @@ def changed_documents(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     found = factors(rows, window, anchor, block)
     left = found.where("h1 is not null")
     again = left.groupBy("h1", "h2").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("last_id")).where("ref < last_id").drop("last_id")
+    again = saved(again, "substrings-again")
     spans = found.where("h1 is null").select("doc_id", "th", "start", "end").unionByName(
         left.join(again, ["h1", "h2"]).where("doc_id > ref").select("doc_id", "th", "start", "end"))
     per_doc = spans.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
@@ -250,7 +250,7 @@ def changed_documents(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
             yield doc_id, th, len(words), len(words) - len(stay), b" ".join([words[i] for i in stay]).decode()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             yield from batches(cut(part), schema, 1000)
 
     texts = rows.select("doc_id", "th", "text").join(per_doc, ["doc_id", "th"])
