@@ -15,19 +15,20 @@ def components(links: DataFrame) -> DataFrame:
     ("small star"), until the links form stars. The number of rounds grows with
     the logarithm of the longest chain. A round shuffles links by id; an id with
     very many neighbours is never gathered: its minimum is a partial aggregate,
-    and the join back can be split. Each round is written to the shared folder.
+    written before it is joined back, so that the join is plain and its hot side
+    can be split. Each round is written to the shared folder.
     """
     edges = saved(_oriented(links.select("src", "dst")), "components")
     mark = _mark(edges)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         # Large star: src's smallest neighbour (or itself) gets the larger ones.
-        least = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("root"))
+        least = saved(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("root")), "components-least")
         large = (both.where("dst > src").join(least, "src")
                  .select(F.col("dst").alias("src"), F.col("root").alias("dst")))
         edges = saved(_oriented(large), "components")
         # Small star: src's smaller neighbours, and src, hook to the smallest.
-        least = edges.groupBy("src").agg(F.min("dst").alias("root"))
+        least = saved(edges.groupBy("src").agg(F.min("dst").alias("root")), "components-least")
         hooked = edges.join(least, "src").select(
             F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("root").alias("b")),
                               F.struct(F.col("dst").alias("a"), F.col("root").alias("b")))).alias("e"))

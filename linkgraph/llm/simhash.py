@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.llm.common import byte_texts, saved
 from linkgraph.llm.components import components
@@ -63,15 +63,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``; fp holds the 64 bits as a long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(doc_id, th, fp) per row of ``docs``: ``th`` is xxhash64 of the text, fp
+    holds the 64 bits as a long."""
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("fp", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            fps = np.array([fingerprint(t, shingle) for t in byte_texts(part.column(1))], dtype=np.uint64)
-            yield pa.record_batch([part.column(0), pa.array(fps.view(np.int64))], schema=schema)
+            fps = np.array([fingerprint(t, shingle) for t in byte_texts(part.column(2))], dtype=np.uint64)
+            yield pa.record_batch([part.column(0), part.column(1), pa.array(fps.view(np.int64))], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def masks(kept_out: int, radius: int = RADIUS) -> list[int]:
@@ -88,28 +89,20 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _buckets(rows: DataFrame, free: Column | None, radius: int) -> DataFrame:
-    """A row per fingerprint and table: (bucket key, free bits, fp).
+def _buckets(rows: DataFrame, radius: int) -> DataFrame:
+    """A row per fingerprint and table: (bucket, free, fp).
 
-    ``rows`` has fp and, for a split, its bucket's key, and ``free``: the bits
-    that no earlier mask has fixed. A bucket key is the text of the masked bits
+    ``rows`` has fp, the ``bucket`` it comes from and its ``free`` bits, those
+    that no mask on its path has fixed. A bucket is the text of the masked bits
     on its path of tables, exact, so that unlike buckets never meet.
     """
-    if free is None:
-        rows, options = rows.withColumn("bucket", F.lit("")), [(1 << BITS) - 1]
-    else:
-        options = [r[0] % (1 << BITS) for r in rows.select("free").distinct().collect()]  # tables**depth values
-    out = None
-    for option in options:
-        cut = rows if free is None else rows.where(F.col("free") == _signed(option))
-        tables = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(_signed(m)).alias("mask"),
-                                    F.lit(_signed(option & ~m)).alias("free"))
-                           for v, m in enumerate(masks(option, radius))])
-        one = (cut.select("bucket", "fp", F.explode(tables).alias("t"))
-               .select(F.concat_ws(",", "bucket", F.concat("t.v", F.lit(":"), F.hex(F.col("fp").bitwiseAND(F.col("t.mask"))))).alias("bucket"),
-                       F.col("t.free").alias("free"), "fp"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    # As many values as paths of tables: a table per path and depth, whatever the input.
+    paths = [r[0] % (1 << BITS) for r in rows.select("free").distinct().collect()]
+    tables = [(_signed(free), v, _signed(mask), _signed(free & ~mask))
+              for free in paths for v, mask in enumerate(masks(free, radius))]
+    tables = rows.sparkSession.createDataFrame(tables, "free long, v int, mask long, rest long")
+    key = F.concat_ws(",", "bucket", F.concat("v", F.lit(":"), F.hex(F.col("fp").bitwiseAND(F.col("mask")))))
+    return rows.join(F.broadcast(tables), "free").select(key.alias("bucket"), F.col("rest").alias("free"), "fp")
 
 
 def bucket_links(fps: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
@@ -142,7 +135,8 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: in
                     dst.append(fps[j])
             yield pa.record_batch([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], schema=schema)
 
-    found, rows = [], saved(_buckets(distinct, None, radius), "simhash-buckets")
+    whole = distinct.select("fp", F.lit("").alias("bucket"), F.lit(-1).cast("long").alias("free"))
+    found, rows = [], saved(_buckets(whole, radius), "simhash-buckets")
     while True:
         sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         hot = saved(sizes.where(F.col("n") > bucket_rows).select("bucket"), "simhash-hot")
@@ -153,7 +147,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: in
         if not some_hot:
             break
         # Fingerprints of one bucket differ in their free bits only.
-        rows = saved(_buckets(rows.join(hot, "bucket", "left_semi"), F.col("free"), radius), "simhash-buckets")
+        rows = saved(_buckets(rows.join(hot, "bucket", "left_semi"), radius), "simhash-buckets")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -162,7 +156,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: in
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id) per row of ``docs``."""
+    """(doc_id, th, fp, component_id) per row of ``docs``."""
     rows = saved(fingerprints(docs, shingle), "simhash-fps")
     classes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
     links = fingerprint_links(classes.select("fp"), radius, bucket_rows)
@@ -172,16 +166,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     named = first.select("fp", "first_id", root.alias("root"))
     by_root = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = named.join(by_root, "root").select("fp", "component_id")
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(ids, "fp").select("doc_id", "th", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names its component; the rest go.
+    """The rows of ``docs`` whose ``doc_id`` names their component; the rest go.
 
     Rows with a null ``doc_id`` stay only where no member has an id.
     """
     kept = (near_duplicates(docs, shingle, radius)
             .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select("doc_id").distinct())
-    keep = kept.withColumnRenamed("doc_id", "__kept_id")
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["__kept_id"]), "left_semi")
+            .select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct())
+    same = docs["doc_id"].eqNullSafe(kept["__id"]) & (F.xxhash64(docs["text"]) == kept["__th"])
+    return docs.join(kept, same, "left_semi")

@@ -78,10 +78,12 @@ def test_null_ids_and_empty(spark):
 
 
 def test_drop_keeps_one_of_each_group(spark):
-    docs = [(3, "a b c d", "x", 1, 2), (1, "a b c d", "x", 1, 2), (2, "other text here", "x", 1, 2), (5, None, None, None, None)]
+    docs = [(3, "a b c d", "x", 1, 2), (1, "a b c d", "x", 1, 2), (2, "other text here", "x", 1, 2), (5, None, None, None, None),
+            (3, "its own text though", "x", 1, 2)]  # an id twice: one text is a copy, one is not
     kept = simhash.drop_near_duplicates(spark.createDataFrame(docs, SCHEMA))
     assert kept.columns == ["doc_id", "text", "fp", "bucket", "root"]
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5]
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [
+        (1, "a b c d"), (2, "other text here"), (3, "its own text though"), (5, None)]
 
 
 def test_components_of_chains_and_stars(spark):
