@@ -44,6 +44,7 @@ K = 20
 SCALE = 64
 SEED_VECTORS = 2048
 STRIPE, BLOCK, STEP = 16384, 512, 2048
+PAIRS = 1 << 15
 LIMIT = 1 << 24
 #: Share of the squared length that the first dimensions of the rotation carry.
 ENERGY = 0.7
@@ -51,12 +52,26 @@ ENERGY = 0.7
 
 def quantised(rows: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
     """(id, v array<int>, len2) of the rows that take part."""
-    v = F.col(vec_col)
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
-    whole = F.transform(v, lambda x: F.least(F.greatest(F.floor(x.cast("double") * scale), F.lit(-LIMIT)), F.lit(LIMIT)).cast("int"))
-    taken = rows.where(F.col(id_col).isNotNull() & v.isNotNull() & fine).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
-    len2 = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x.cast("long") * x.cast("long"))
-    return taken.withColumn("len2", len2)
+    schema = pa.schema([("id", pa.int64()), ("v", pa.list_(pa.int32())), ("len2", pa.int64())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            vectors = part.column(1)
+            ends = np.asarray(vectors.offsets).astype(np.int64)
+            x = vectors.values.to_numpy(zero_copy_only=False).astype(np.float64)  # null becomes NaN
+            fine = np.isfinite(x)
+            bad = np.concatenate(([0], np.cumsum(~fine)))
+            whole = np.clip(np.floor(np.where(fine, x, 0.0) * scale), -LIMIT, LIMIT).astype(np.int64)
+            squares = np.concatenate(([0], np.cumsum(whole * whole)))
+            taken = np.flatnonzero(bad[ends[1:]] == bad[ends[:-1]])
+            starts, sizes = ends[taken], ends[taken + 1] - ends[taken]
+            at = np.concatenate([np.arange(a, a + n) for a, n in zip(starts, sizes)] or [np.empty(0, np.int64)])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(whole[at], pa.int32()))
+            yield pa.record_batch([part.column(0).take(pa.array(taken)), lists, pa.array(squares[starts + sizes] - squares[starts])], schema=schema)
+
+    given = rows.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull())
+    return given.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).mapInArrow(
+        run, "id long, v array<int>, len2 long")
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
@@ -165,7 +180,9 @@ class Matcher:
             full = head[np.ix_(some_q, some_c)] + qr[rows, h:] @ cr[cols, h:].T
             i, j = np.nonzero(full >= need[some_q])
             i, j = rows[i], cols[j]
-            exact = np.einsum("ij,ij->i", q[i], part[j])
+            # Pairs in parts: what is gathered for their scores stays small.
+            exact = np.concatenate([np.einsum("ij,ij->i", q[i[a:a + PAIRS]], part[j[a:a + PAIRS]]) for a in range(0, len(i), PAIRS)]
+                                   or [np.empty(0, np.int64)])
             right = (exact >= floor[i]) & (c_ids[at + j] != q_ids[i])
             own, ids = np.concatenate((own, i[right])), np.concatenate((ids, c_ids[at + j[right]]))
             score = np.concatenate((score, exact[right]))
