@@ -93,7 +93,8 @@ def sharers(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     # Written, so that both sides of the join are plain: a hot anchor's rows can be split.
     seeds = found.select("ah", "doc_id").join(saved(first, "substrings-first"), "ah")
     per_doc = seeds.groupBy("doc_id").agg(F.collect_set(F.struct("ah", "ref", "at")).alias("seeds"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").join(per_doc, "doc_id")
+    # The narrow side is hashed, so that texts need no sort.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").join(per_doc.hint("shuffle_hash"), "doc_id")
     return saved(rows, "substrings-sharers")
 
 
@@ -218,7 +219,7 @@ def factors(rows: DataFrame, window: int, anchor: int, block: int) -> DataFrame:
             yield from batches(parsed(part), schema)
 
     blocks = reference_blocks(rows, window, anchor, block)
-    meets = segments(rows, window, anchor, block).join(blocks, ["ref", "block"])
+    meets = segments(rows, window, anchor, block).join(blocks.hint("shuffle_hash"), ["ref", "block"])
     columns = ["ref", "ref_start", "ref_text", "doc_id", "th", "start", "text", "p", "q", "first", "last"]
     return saved(meets.select(*columns).mapInArrow(run, "doc_id long, th long, start int, end int, h1 long, h2 long"), "substrings-factors")
 
@@ -253,7 +254,7 @@ def changed_documents(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
         for part in slices(parts):
             yield from batches(cut(part), schema, 1000)
 
-    texts = rows.select("doc_id", "th", "text").join(per_doc, ["doc_id", "th"])
+    texts = rows.select("doc_id", "th", "text").join(per_doc.hint("shuffle_hash"), ["doc_id", "th"])
     cleaned = texts.mapInArrow(run, "doc_id long, th long, n_words long, n_removed long, kept string")
     return cleaned.dropDuplicates(["doc_id", "th"])
 
