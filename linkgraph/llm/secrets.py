@@ -2,8 +2,9 @@
 
 The patterns find literal shapes (``assign``, ``access``, ``hex``). The lexer
 reads source and configuration syntax as name-literal pairs: ``name = "x"``,
-``name: 'x'``, ``"name": "x"``, ``name := x``, ``name => "x"``, ``NAME=x``. It
-propagates constants (a name stands for the literals last assigned to it, also
+``name: 'x'``, ``"name": "x"``, ``name := x``, ``name => "x"``, ``NAME=x``, with a
+type after the name (``name: str = "x"``, ``var name string = "x"``) and with a
+key in brackets (``a["name"] = "x"``, ``a[:name] = "x"``). It propagates constants (a name stands for the literals last assigned to it, also
 inside ``a + "x"`` and ``${a}``), and scores the literals that reach a target
 by the words of the target's name. A literal that reaches a sensitive name is a
 span of kind ``pair``, at the place where the literal stands.
@@ -62,7 +63,7 @@ _PLACEHOLDER = re.compile(r"(?:your|my|change|example|dummy|sample|placeholder|r
 
 def name_score(name: str) -> int:
     """How sensitive a target's name is: the sum over its distinct words."""
-    last = re.split(r"[.\[\]]", name.rstrip(".]"))[-1] or name
+    last = next((x for x in reversed(re.split(r"[.\[\]]", name)) if _WORDS.search(x) and not x.isdigit()), name)
     return sum(NAME_SCORES.get(w, 0) for w in {w.lower() for w in _WORDS.findall(last)})
 
 
@@ -130,17 +131,65 @@ _JOIN = re.compile(r"[ \t]*(?:\+|\.\.|\|\|)(?![=+])[ \t]*")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 
 
+#: A type between ':' and '=': ``str``, ``Optional[str]``, ``string | null``,
+#: ``&'static str``, ``std::string``. Before an unspaced '=' only a string makes
+#: it a type, since bare values may hold '='.
+_PLAIN_TYPE = r"(?:&(?:'\w++[ \t]++)?+(?:mut[ \t]++)?+)?+\*?+[A-Za-z_]\w*+(?:(?:\.|::)[A-Za-z_]\w*+)*+(?>[\[<][^=\n:;]*[\]>])?+[?!]?+"
+_TYPED = re.compile(rf"""[ \t]*+(?P<type>{_PLAIN_TYPE}(?:[ \t]*+\|[ \t]*+{_PLAIN_TYPE})*+)
+    (?:[ \t]++=(?![=>~])(?=[ \t]*+(?P<quoted>[rbuf]{{0,2}}["'`])?)(?![ \t]*+(?:\n|\Z)) | =(?=[rbuf]{{0,2}}["'`]))""", re.X)
+#: Types that follow a name without a colon (Go), and words that are no name.
+_TYPES_AFTER = {"string", "byte", "rune", "any", "error", "bool", "int", "int64", "uint64", "float64"}
+_KEYWORDS = {"var", "const", "let", "val", "def", "public", "private", "protected", "static", "final", "readonly", "my", "our", "local",
+             "export", "type", "internal", "virtual", "override", "auto", "mut", "new", "return", "abstract", "extern", "volatile"}
+
+
+def _word_before(text: str, end: int, since: int) -> tuple[str, int]:
+    """The identifier before ``end``, blanks skipped, and where it starts."""
+    while end > since and text[end - 1] in " \t":
+        end -= 1
+    start = end
+    while start > since and (text[start - 1].isalnum() or text[start - 1] == "_"):
+        start -= 1
+    return text[start:end], start
+
+
 def _name_before(text: str, at: int, since: int) -> str:
-    """The assigned name that ends before an operator, quotes taken off."""
+    """The assigned name that ends before an operator, quotes taken off.
+
+    A quoted key in brackets gives ``["key``, which is no variable's name.
+    """
     end = at
     while end > since and text[end - 1] in " \t":
         end -= 1
+    if end > since + 1 and text[end - 1] in "?!" and text[at] == ":" and _NAME_CHAR.match(text[end - 2]):
+        end -= 1  # an optional member
     if end > since and text[end - 1] in "\"'`":
         end -= 1
+    key = end
+    while key > since and text[key - 1] == "]":
+        close = key - 1
+        while close > since and text[close - 1] in " \t":
+            close -= 1
+        if close > since and text[close - 1] in "\"'`":
+            start = text.rfind(text[close - 1], since, close - 1)
+            return '["' + text[start + 1:close - 1] if start > since else ""
+        while close > since and text[close - 1].isdigit():
+            close -= 1  # a[0]: what a is
+        if close == since or text[close - 1] != "[":
+            break
+        key = close - 1
     start = end
     while start > since and _NAME_CHAR.match(text[start - 1]):
         start -= 1
-    return text[start:end].strip("-.")
+    name = text[start:end].strip("-.")
+    if text[at] == "=":
+        while start > since and text[start - 1] == "*":
+            start -= 1
+        before, first = _word_before(text, start, since)
+        if before and first < start and text[start - 1:start] in (" ", "\t", "*", "[") and not before[0].isdigit() and before not in _KEYWORDS:
+            if name.replace("[]", "") in _TYPES_AFTER or _word_before(text, first, since)[0] == "var":
+                return before
+    return name
 
 
 def pairs(text: str) -> Iterator[tuple[str, Value]]:
@@ -152,10 +201,17 @@ def pairs(text: str) -> Iterator[tuple[str, Value]]:
         if text[pos:pos + 1] == "=" or op.start() and text[op.start() - 1] in "!<>=+-*/%|&":
             pos = since = pos + (text[pos:pos + 1] == "=")  # a comparison or an update
             continue
+        if op[0] == ":" and text[op.start() - 1:op.start()] == "[":
+            continue  # a symbol as key, or a slice
         name = _name_before(text, op.start(), since)
         since = pos
-        if not name or not (name[0].isalpha() or name[0] == "_"):
+        if not name or not (name[0].isalpha() or name[0] == "_" or name.startswith('["')):
             continue
+        if op[0] == ":" and (typed := _TYPED.match(text, pos)) is not None:
+            word = typed["type"]
+            # A bare value that looks like a secret is no type, unless a string follows.
+            if typed["quoted"] or text[typed.end() - 2] not in " \t" or not Value.literal(word, 0, 0).secret:
+                pos = typed.end()
         parts: list[Value] = []
         at, constant = pos, True
         while (term := _TERM.match(text, at)) is not None:

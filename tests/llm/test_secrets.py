@@ -53,6 +53,25 @@ def test_pairs(text, literals):
     assert found(text) == literals or sorted(found(text)) == sorted(literals)
 
 
+@pytest.mark.parametrize("text", [
+    f'pwd: str = "{A}"', f'def f(n: int, pwd: str="{A}"):', f'self.pwd: Optional[str] = "{A}"', f'pwd: str | None = "{A}"',
+    f"const dbPwd: string = '{A}'", f"pwd?: string = '{A}'", f"let pwd: string | null = '{A}'", f'let pwd: &\'static str = "{A}"',
+    f'var pwd string = "{A}"', f'var (\n\tuser string = "u"\n\tpwd string = "{A}"\n)', f'const pwd string = "{A}"', f'var pwd Hidden = "{A}"',
+    f'config["db_pwd"] = "{A}"', f"os.environ['API_KEY'] = '{A}'", f'$c["a"][ "pwd" ] = "{A}"', f'c[:pwd] = "{A}"', f'c["pwd"][0] = "{A}"',
+    f'char pwd[32] = "{A}"', f'const string pwd = "{A}"', f'part: str = "{A}"\npwd: str = part', f"private_key: {A} = note",
+])
+def test_types_and_subscripts(text):
+    assert found(text) == [A]
+
+
+@pytest.mark.parametrize("text", [
+    f'user: str = "{A}"', f'pwd: str\nother = "{A}"', f'c["name"] = "{A}"', f'c["pwd"] == "{A}"', f'c["part"] = "{A}"\npwd = part',
+    f'var user string = "{A}"', f'{{ pwd: string; other: string }}\nx = "{A}"',
+])
+def test_types_and_subscripts_of_other_names(text):
+    assert found(text) == []
+
+
 def test_pairs_inside_base_spans_add_nothing():
     text = f'password = "{A}"\nsession_token_key = "{A} "'
     assert [s[2] for s in secrets.secret_spans(text)] == ["assign"]
@@ -83,3 +102,11 @@ def test_query_on_the_test_table(spark):
         assert r["base_sha256"] == brute.sha(want)
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(want.count(k) for k in ("assign", "access", "hex"))
         assert [x for x in r["spans"].split(",") if x and not x.startswith("pair")] == [x for x in want.split(",") if x]
+
+
+@pytest.mark.parametrize("unit", ["a::a", "x: a<b>|a<b>|", "x: a<", '"]', '["a"] = ', "a b =", "[0]", "a?:", "x: a["])
+def test_long_types_and_subscripts_are_linear(unit):
+    import time
+    start = time.time()
+    secrets.secret_spans("x: " + unit * (400_000 // len(unit)) + " = 'x'")
+    assert time.time() - start < 10
