@@ -48,23 +48,38 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 #: literal that reaches it counts as a secret.
 NAME_SCORES = {
     "password": 3, "passwd": 3, "passphrase": 3, "passcode": 3, "pwd": 3, "secret": 3, "credential": 3,
-    "credentials": 3, "token": 3, "apikey": 3, "privatekey": 3, "bearer": 2, "auth": 2, "authorization": 2,
+    "credentials": 3, "token": 3, "apikey": 3, "privatekey": 3, "pass": 3, "cred": 3, "creds": 3, "cookie": 3, "cookies": 3,
+    "auth": 3, "authorization": 3, "accesskey": 3, "secretkey": 3, "sshkey": 3, "sessionkey": 3, "bearer": 2,
     "key": 1, "access": 1, "api": 2, "private": 2, "signing": 2, "encryption": 2, "client": 1, "session": 1,
     "connection": 1, "webhook": 1, "salt": 2, "pin": 1,
     "public": -4, "name": -3, "count": -4, "length": -4, "max": -3, "min": -3, "limit": -4, "type": -3,
     "field": -3, "label": -3, "path": -3, "file": -3, "url": -2, "id": -2, "expiry": -4, "ttl": -4,
     "placeholder": -4, "example": -4, "hint": -4, "prompt": -4, "policy": -4, "regex": -4, "pattern": -4,
 }
+#: Words that make a key in the same name a secret one: ``ssh_key``, not ``sort_key``.
+KEY_OF = {"access", "account", "admin", "aes", "client", "deploy", "encryption", "gpg", "hmac", "host", "license", "master",
+          "pgp", "root", "rsa", "server", "service", "session", "shared", "signing", "ssh", "ssl", "storage", "tls", "webhook"}
 SENSITIVE = 3
 MIN_LENGTH, MIN_DISTINCT = 8, 5
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_PLACEHOLDER = re.compile(r"(?:your|my|change|example|dummy|sample|placeholder|redacted|none|null|todo|xxx|\*\*\*|<)", re.I)
+#: Literals that stand for a secret: whole ones, masks included, or with a whole
+#: word that says so where all words are plain (``your-password-1``).
+_PLACEHOLDER = re.compile(r"<[^<>]*+>|\*{3,}+\w{0,4}|x{3,}+\w{0,4}", re.I | re.ASCII)
+_PLACEHOLDER_WORD = re.compile(r"(?:your|my|change|changeme|example|dummy|sample|placeholder|redacted|none|null|todo|x{3,})[0-9]{0,4}", re.I)
+_PLAIN_WORD = re.compile(r"(?:[a-z]+|[A-Z]+|[A-Z][a-z]+)[0-9]{0,4}|[0-9]{1,4}")
+
+
+def placeholder(text: str) -> bool:
+    words = re.findall(r"[^\W_]+", text)
+    return _PLACEHOLDER.fullmatch(text) is not None or (
+        any(_PLACEHOLDER_WORD.fullmatch(w) for w in words) and all(_PLAIN_WORD.fullmatch(w) for w in words))
 
 
 def name_score(name: str) -> int:
     """How sensitive a target's name is: the sum over its distinct words."""
     last = next((x for x in reversed(re.split(r"[.\[\]]", name)) if _WORDS.search(x) and not x.isdigit()), name)
-    return sum(NAME_SCORES.get(w, 0) for w in {w.lower() for w in _WORDS.findall(last)})
+    words = {w.lower() for w in _WORDS.findall(last)}
+    return sum(NAME_SCORES.get(w, 0) for w in words) + (2 if "key" in words and words & KEY_OF else 0)
 
 
 # --- values -----------------------------------------------------------------
@@ -86,7 +101,7 @@ class Value:
         for c in set(text):
             letters |= 1 << (ord(c) & 127)
         strong = any(c.isdigit() for c in text) or (text.lower() != text and text.upper() != text and not text.istitle())
-        plain = _PLACEHOLDER.match(text) is not None or any(c in text for c in " \t")
+        plain = any(c in text for c in " \t") or strong and placeholder(text)
         return cls(len(text), letters, strong and not plain, (start, end))
 
     @classmethod

@@ -72,6 +72,30 @@ def test_types_and_subscripts_of_other_names(text):
     assert found(text) == []
 
 
+@pytest.mark.parametrize("literal", ["MyS3cretPw99", "YourS3cretPw99", "Change4Zx9Qw7", "none4Zx9Qw7Lm", "nullZx9Qw7Lm2", "todoZx9Qw7Lm2", "exampleZx9Qw7",
+                                     "xxxZx9Qw7Lm2Pk4", "***Zx9Qw7Lm2", "<Zx9Qw7Lm2Pk4", "my-Zx9Qw7Lm2Pk4", "sampleZx9Qw7"])
+def test_a_secret_may_start_like_a_placeholder(literal):
+    assert found(f'db_pwd = "{literal}"') == [literal]
+
+
+@pytest.mark.parametrize("literal", ["your-password-1", "changeme123", "CHANGE_ME_123", "my-api-key-1", "example_token_1", "<your-Token-1>", "****ab12",
+                                     "xxxxxxxx1234", "REDACTED-2024", "todo:set-1", "Dummy-Pass-12"])
+def test_placeholders(literal):
+    assert found(f'db_pwd = "{literal}"') == []
+
+
+@pytest.mark.parametrize("name", ["db_pass", "pass", "dbPass", "aws_creds", "cookie", "session_cookie", "auth", "basic_auth", "authorization",
+                                  "access_key", "accessKey", "ssh_key", "session_key", "master_key", "client_key", "deploy_key", "sshkey"])
+def test_sensitive_names(name):
+    assert found(f'{name} = "{A}"') == found(f'{name}: "{A}"') == [A]
+
+
+@pytest.mark.parametrize("name", ["sort_key", "primary_key", "public_key", "ssh_public_key", "access_key_id", "auth_type", "author", "bypass", "access_count",
+                                  "session_id", "cookie_name"])
+def test_other_names(name):
+    assert found(f'{name} = "{A}"') == []
+
+
 def test_pairs_inside_base_spans_add_nothing():
     text = f'password = "{A}"\nsession_token_key = "{A} "'
     assert [s[2] for s in secrets.secret_spans(text)] == ["assign"]
