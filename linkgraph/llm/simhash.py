@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linkgraph.llm.common import byte_texts, saved
 from linkgraph.llm.components import components
@@ -62,17 +62,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *carried: Column) -> DataFrame:
     """(doc_id, th, fp) per row of ``docs``: ``th`` is xxhash64 of the text, fp
-    holds the 64 bits as a long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("fp", pa.int64())])
+    holds the 64 bits as a long; then ``row``, if a column is carried."""
+    names = ["doc_id", "th", "fp", *("row" for _ in carried)]
+    schema = pa.schema([(n, pa.int64()) for n in names])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             fps = np.array([fingerprint(t, shingle) for t in byte_texts(part.column(2))], dtype=np.uint64)
-            yield pa.record_batch([part.column(0), part.column(1), pa.array(fps.view(np.int64))], schema=schema)
+            yield pa.record_batch([part.column(0), part.column(1), pa.array(fps.view(np.int64)), *part.columns[3:]], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(run, "doc_id long, th long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text", *carried).mapInArrow(
+        run, ", ".join(f"{n} long" for n in names))
 
 
 def masks(kept_out: int, radius: int = RADIUS) -> list[int]:
@@ -154,28 +156,37 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: in
     return out.distinct()
 
 
+def _rooted(classes: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
+    """``classes``, a row per distinct ``fp``, with their component's ``root`` fingerprint."""
+    links = fingerprint_links(classes.select("fp"), radius, bucket_rows)
+    label = components(links)  # (id, root) for linked fingerprints only
+    return classes.join(label.withColumnRenamed("id", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, th, fp, component_id) per row of ``docs``."""
     rows = saved(fingerprints(docs, shingle), "simhash-fps")
     classes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    links = fingerprint_links(classes.select("fp"), radius, bucket_rows)
-    label = components(links)  # (id, root) for linked fingerprints only
-    first = classes.join(label.withColumnRenamed("id", "fp"), "fp", "left")
-    root = F.coalesce("root", "fp")
-    named = first.select("fp", "first_id", root.alias("root"))
+    named = _rooted(classes, radius, bucket_rows)
     by_root = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = named.join(by_root, "root").select("fp", "component_id")
     return rows.join(ids, "fp").select("doc_id", "th", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names their component; the rest go.
+    """One row of ``docs`` per component; the rest go.
 
-    Rows with a null ``doc_id`` stay only where no member has an id.
+    The row with the smallest ``doc_id`` stays, a null one only where no member
+    has an id; among equal ids the smallest text hash, then the first row. Rows
+    are numbered in a written copy of ``docs``, so that the one that stays is
+    the same whatever is computed again.
     """
-    kept = (near_duplicates(docs, shingle, radius)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct())
-    same = docs["doc_id"].eqNullSafe(kept["__id"]) & (F.xxhash64(docs["text"]) == kept["__th"])
-    return docs.join(kept, same, "left_semi")
+    number = "__row"
+    while number.lower() in (c.lower() for c in docs.columns):
+        number += "_"
+    rows = saved(docs.withColumn(number, F.monotonically_increasing_id()), "simhash-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "row")
+    classes = saved(fingerprints(rows, shingle, F.col(number)).groupBy("fp").agg(F.min(place).alias("first")), "simhash-classes")
+    stay = _rooted(classes, radius, BUCKET_ROWS).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(stay.select(F.col("first.row").alias(number)), number, "left_semi").drop(number)

@@ -86,6 +86,19 @@ def test_drop_keeps_one_of_each_group(spark):
         (1, "a b c d"), (2, "other text here"), (3, "its own text though"), (5, None)]
 
 
+def test_drop_keeps_one_row_of_null_ids_repeated_rows_and_shared_ids(spark):
+    docs = [(None, "null id copies here", "x", i, 2) for i in range(50)] + [(None, "NULL id copies here", "x", 1, 2)]
+    docs += [(None, "another null id text", "x", 1, 2)] * 3 + [(7, "the same row again", "x", 1, 2)] * 20 + [(8, "the same row again", "x", 1, 2)]
+    docs += [(9, "linked texts of one id", "x", 1, 2), (9, "Linked Texts of one id", "x", 1, 2), (10, "LINKED texts of one id", "x", 1, 2)]
+    docs += [(None, "an id goes before null", "x", 1, 2), (11, "an id goes before null", "x", 1, 2)]
+    df = spark.createDataFrame(docs, SCHEMA).withColumnRenamed("root", "__row").repartition(5)
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"].lower()) for r in kept.collect()), key=repr) == sorted([
+        (None, "null id copies here"), (None, "another null id text"), (7, "the same row again"), (9, "linked texts of one id"),
+        (11, "an id goes before null")], key=repr)
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 40)] + [(500, 400), (400, 450)]
