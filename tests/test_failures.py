@@ -17,7 +17,7 @@ SCRIPT = textwrap.dedent("""
     from linkgraph.operators import extract
     from linkgraph.operators.rank import rank_nodes
     from linkgraph.plans.jobs import ingest_lines
-    from conftest import WIKI14
+    from wiki14 import WIKI14
 
     clean = extract._scan_batches
 

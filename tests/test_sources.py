@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import WIKI14
+from wiki14 import WIKI14
 from pyspark.sql import functions as F
 
 from linkgraph.operators.graph import edge_pairs

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import WIKI14
+from wiki14 import WIKI14
 
 from linkgraph.streaming import ingested_from, start_ingest
 
