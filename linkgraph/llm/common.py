@@ -44,6 +44,16 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+#: Bytes that belong to a term (0-9, a-z, A-Z as a-z, and all past ASCII); others end it.
+_TERM_BYTES = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b > 127 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
+
+
+def terms(text: bytes) -> list[bytes]:
+    """The search terms of a text: runs of letters, digits and characters past
+    U+007F, only A-Z lower-cased."""
+    return text.translate(_TERM_BYTES).split()
+
+
 def slices(parts: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, for work that holds them as Python objects."""
     for part in parts:

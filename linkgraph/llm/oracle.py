@@ -112,5 +112,78 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM first
 """
 
+# Terms: letters, digits and characters past U+007F, only A-Z lower-cased.
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+# CRC-32 of a word's bytes, from its table of 256 remainders.
+OP11 = f"""
+WITH remainders AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS rest
+  FROM (SELECT unnest(range(256)) AS i)),
+worded AS (SELECT doc_id, {_TERMS} AS words FROM documents),
+spoken AS (SELECT unnest(words) AS word, 1 AS s, 0 AS t FROM worded UNION ALL SELECT unnest({_TERMS}), 0, 1 FROM benchmark),
+bytes AS (
+  SELECT word, s, t, [('0x' || substr(h, 2 * i + 1, 2))::BIGINT for i in range(len(h) // 2)] AS b
+  FROM (SELECT word, sum(s) AS s, sum(t) AS t, hex(word) AS h FROM spoken GROUP BY word)),
+hashed AS (
+  SELECT word, s, t, xor(list_reduce(b, lambda c, x: xor(c >> 8, r.rest[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM bytes, remainders r),
+totals AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM spoken),
+buckets AS (SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM hashed GROUP BY bucket),
+gained AS (SELECT bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM buckets, totals),
+weighed AS (
+  SELECT doc_id, sum(gain)::BIGINT AS weight FROM (SELECT doc_id, unnest(words) AS word FROM worded) w
+  JOIN hashed USING (word) JOIN gained USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM worded d LEFT JOIN weighed USING (doc_id)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n THEN place END AS rank FROM ranked
+"""
+
+OP12 = f"""
+WITH worded AS (SELECT doc_id, {_TERMS} AS words FROM documents),
+sized AS (SELECT doc_id, len(words)::BIGINT AS n FROM worded WHERE len(words) > 0),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sized),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+held AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM worded) GROUP BY ALL),
+weighed AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM held WHERE term IN (SELECT term FROM asked) GROUP BY term), totals),
+factors AS (SELECT doc_id, 100 - 25 + ((25 * n * n_docs) // n_terms) AS m FROM sized, totals),
+scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN factors USING (doc_id) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
+# The 128 smallest distinct hashes of the text's 5-word runs.
+_LOWEST = ("list_sort(list_distinct([substr(md5(concat_ws(' ', z[1], z[2], z[3], z[4], z[5])), 1, 16) for z in "
+           "list_zip(words, words[2:], words[3:], words[4:], words[5:])[1:greatest(len(words) - 4, 1)]]))[1:128]")
+OP13 = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+following AS (
+  SELECT *, len(text)::BIGINT AS n_chars, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next FROM texts),
+changed AS (
+  SELECT *, left(text, n_chars - n_chars // 4) || left(next, n_chars // 4) AS edited FROM following),
+kinds AS (SELECT doc_id, 'own' AS kind, text FROM changed UNION ALL SELECT doc_id, 'edited', edited FROM changed UNION ALL SELECT doc_id, 'next', next FROM changed),
+sketched AS (SELECT doc_id, kind, {_LOWEST} AS s FROM (SELECT doc_id, kind, {_WORDS} AS words FROM kinds)),
+sketches AS (SELECT doc_id, first(s) FILTER (kind = 'own') AS own, first(s) FILTER (kind = 'edited') AS edited, first(s) FILTER (kind = 'next') AS following
+             FROM sketched GROUP BY doc_id),
+unions AS (SELECT *, list_sort(list_distinct(own || edited))[1:128] AS u, list_sort(list_distinct(own || following))[1:128] AS v FROM sketches)
+SELECT c.doc_id, n_chars, sha256(c.edited) AS edited_sha256, array_to_string(own, '') AS fingerprint, array_to_string(z.edited, '') AS edited_fingerprint,
+  CASE WHEN len(u) = 0 THEN 1 ELSE len(list_intersect(list_intersect(u, own), z.edited))::DOUBLE / len(u) END AS near_edited,
+  CASE WHEN len(v) = 0 THEN 1 ELSE len(list_intersect(list_intersect(v, own), following))::DOUBLE / len(v) END AS near_next,
+  CASE WHEN len(list_intersect(u, own)) = 0 THEN 1 ELSE
+    len(list_intersect(list_intersect(u, own), z.edited))::DOUBLE / len(list_intersect(u, own)) END AS in_edited,
+  round(CASE WHEN len(own) < 128 THEN len(own)::DOUBLE ELSE 127 * pow(2::DOUBLE, 64) / ('0x' || own[128])::UBIGINT::DOUBLE END, 3) AS distinct_shingles
+FROM changed c JOIN unions z USING (doc_id)
+"""
+
 ORACLE = {"op1_topk_search": OP1, "op3_source_mix": OP3, "op5_substring_dedup": OP5, "op7_chat_format": OP7,
-          "op8_line_dedup": OP8, "op9_warc": OP9}
+          "op8_line_dedup": OP8, "op9_warc": OP9, "op11_importance_resampling": OP11, "op12_ranked_search": OP12,
+          "op13_fingerprints": OP13}

@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkgraph.llm import chat, lines, mixing, pieces, quality, secrets, simhash, substrings, topk, warc
+from linkgraph.llm import (chat, fingerprints, lines, mixing, pieces, quality, ranking, resampling, secrets, simhash,
+                           substrings, topk, warc)
 from linkgraph.llm.common import SPACES, WORD_GAP, table, word_count
 from linkgraph.session import scratch_path
 
@@ -101,6 +102,25 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 then=(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.with_edits(table(spark, sf_dir, "documents"))
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.array_join(own, "").alias("fingerprint"), F.array_join(edited, "").alias("edited_fingerprint"),
+        fingerprints.resemblance(own, edited).alias("near_edited"), fingerprints.resemblance(own, following).alias("near_next"),
+        fingerprints.containment(own, edited).alias("in_edited"), F.round(fingerprints.distinct_shingles(own), 3).alias("distinct_shingles"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,4 +129,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_topk_search, op2_secret_scan, op3_source_mix, op4_quality_rules, op5_substring_dedup, op6_simhash,
-    op7_chat_format, op8_line_dedup, op9_warc, op10_sentencepiece, pipeline)}
+    op7_chat_format, op8_line_dedup, op9_warc, op10_sentencepiece, op11_importance_resampling, op12_ranked_search,
+    op13_fingerprints, pipeline)}
