@@ -33,6 +33,9 @@ from pyspark.sql import functions as F
 from ..functions import CONTAINER, LINK_TARGET_PATTERN, decode_href, link_target, neutralise_entities
 from .records import ILL_FORMED, OK
 
+# Characters of a page that the strict parser is fed at a time.
+PIECE = 1 << 18
+
 EXTRACTED_SCHEMA = "page string, reason string, hrefs array<string>, line string"
 
 
@@ -98,7 +101,10 @@ def scan_xml(doc: str | None, tag: str, attr: str | None, value: str | None):
     parser.StartElementHandler = start
     parser.EndElementHandler = end
     try:
-        parser.Parse(doc.encode("utf-8", "surrogatepass"), True)
+        # Piece by piece, so that a very long page is never held encoded as a whole.
+        for at in range(0, len(doc), PIECE):
+            parser.Parse(doc[at:at + PIECE].encode("utf-8", "surrogatepass"), False)
+        parser.Parse(b"", True)
     except (expat.ExpatError, ValueError):
         return None
     return links
@@ -109,6 +115,8 @@ _TAG_NAME = r"<([a-zA-Z][^ \t\n\f\r/>]*+)"
 # A whole start tag. Every loop is possessive: a tag is tried once, left to right.
 _START_TAG = re.compile(_TAG_NAME + "((?:" + re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE) + r")*+)[ \t\n\f\r/]*+>")
 _ATTRIBUTES, _NAME = re.compile(_ATTRIBUTE), re.compile(_TAG_NAME)
+# A '<' that can begin a tag or a section; any other is text.
+_OPENING = re.compile(r"<(?=[a-zA-Z/!?])")
 _END_NAME = re.compile(r"</([a-zA-Z][^ \t\n\f\r/>]*+)")
 _REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*+[;=]?)")
 # Elements whose content is text up to their own end tag.
@@ -144,18 +152,19 @@ def scan_html(doc: str | None, tag: str, attr: str | None, value: str | None):
     Any text is accepted. Comments run to ``-->``, or to the next ``>`` if there
     is none; other ``<!`` and ``<?`` sections run to the next ``>``. A quote that
     hides the end of a tag hides it from the whole rest of the page: from there
-    on, tags end at the next ``>``, whatever is quoted. Every step goes forward,
-    and a search that fails is not repeated, so the time is linear.
+    on, tags end at the next ``>``, whatever is quoted. Every step goes forward:
+    the next ``>`` is kept until it has been passed, and a search that fails is
+    not repeated, so the time is linear.
     """
     if doc is None:
         return None
     tag_l = tag.lower()
     attr_l = attr.lower() if attr else None
     depth, pos, links = 0, 0, []
-    comments, quotes = True, True
-    while (lt := doc.find("<", pos)) >= 0:
-        gt = doc.find(">", lt)
-        if gt < 0:
+    comments, quotes, gt = True, True, -1
+    while opening := _OPENING.search(doc, pos):
+        lt = opening.start()
+        if gt < lt and (gt := doc.find(">", lt)) < 0:
             break                                   # no later tag has an end
         kind = doc[lt + 1]
         if kind in "!?":
@@ -169,7 +178,8 @@ def scan_html(doc: str | None, tag: str, attr: str | None, value: str | None):
             pos = gt + 1
             if name and name[1].lower() == tag_l and depth > 0:
                 depth -= 1
-        elif name := _NAME.match(doc, lt):
+        else:
+            name = _NAME.match(doc, lt)
             whole = _START_TAG.match(doc, lt) if quotes else None
             quotes = quotes and whole is not None
             pos = whole.end() if whole else gt + 1
@@ -188,8 +198,6 @@ def scan_html(doc: str | None, tag: str, attr: str | None, value: str | None):
                 if end is None:
                     break                           # the rest of the page is its text
                 pos = end.start()
-        else:
-            pos = lt + 1
     return links
 
 

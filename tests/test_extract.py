@@ -1,5 +1,6 @@
 """Link extraction: the per-page scanners and the strict ingest of the fixture."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkgraph.functions import decode_href, link_target
@@ -129,6 +130,96 @@ def test_scan_html_is_linear():
         assert time.perf_counter() - start < 10, unit
 
 
+@pytest.mark.parametrize("unit", ["<", "<1", "< ", "<<a", "</", "</1", "<!", "<?", "<=>"])
+def test_scan_html_many_openings_before_one_end(unit):
+    """The next '>' is found once, not anew at every '<'."""
+    import time
+
+    start = time.perf_counter()
+    assert scan_html("<nav>" + unit * (2_000_000 // (1 + unit.count("<"))) + "><a href='/x'>", "nav", None, None) is not None
+    assert time.perf_counter() - start < 2, unit
+
+
+def test_scan_html_time_grows_with_the_length_only():
+    """Random units from the characters that steer the scanner: four times the text, about four times the time."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    for _ in range(25):
+        unit = "".join(rng.choice(["<", ">", "a", "nav", "/", "!", "--", "?", "=", "'", '"', " ", "<a href=/x", "title", "script"])
+                       for _ in range(rng.randrange(1, 7)))
+        times = []
+        for n in (15_000, 60_000):
+            text = "<nav>" + unit * n
+            start = time.perf_counter()
+            scan_html(text, "nav", None, None)
+            times.append(time.perf_counter() - start)
+        assert times[1] < 12 * times[0] + 0.1, (unit, times)
+
+
+def test_strict_parse_of_a_very_long_page_holds_no_encoded_copy():
+    """200 M characters: the parser is fed pieces, so memory stays near the page's own."""
+    import resource
+
+    page = '<div id="x">' + "text " * 40_000_000 + '<a href="./X.html"/></div>'
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert scan_xml(page, "div", "id", "x") == ["./X.html"]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 50_000     # KB
+
+
+def test_strict_parse_cuts_anywhere(monkeypatch):
+    from linkgraph.operators import extract
+
+    page = '<div id="bodyContent"><a href="./\u00e9\u65e5\U0001f600.html">x</a><!-- c --><![CDATA[<a href="no">]]></div>'
+    want = scan_xml(page, "div", "id", "bodyContent")
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(extract, "PIECE", size)
+        assert scan_xml(page, "div", "id", "bodyContent") == want == ["./\u00e9\u65e5\U0001f600.html"]
+        assert scan_xml(page[:-1], "div", "id", "bodyContent") is None
+
+
+# What this parser says of documents at the edges of XML, next to what the XML 1.0 recommendation
+# (and so a conforming XML parser) says. README names the rows where they differ.
+CONFORMANCE = [
+    ("empty text", "", False, False),
+    ("white space only", " \n", False, False),
+    ("text after the root", "<a/>x", False, False),
+    ("two roots", "<a/><b/>", False, False),
+    ("comment after the root", "<a/><!-- c -->", True, True),
+    ("double hyphen in a comment", "<a><!-- x -- y --></a>", False, False),
+    ("CDATA end in text", "<a>]]></a>", False, False),
+    ("less-than in an attribute", '<a b="<"/>', False, False),
+    ("repeated attribute", '<a b="1" b="2"/>', False, False),
+    ("attributes without space between", '<a b="1"c="2"/>', False, False),
+    ("unquoted attribute", "<a b=1/>", False, False),
+    ("attribute without value", "<a b/>", False, False),
+    ("declaration not at the start", ' <?xml version="1.0"?><a/>', False, False),
+    ("declaration without version", '<?xml encoding="UTF-8"?><a/>', False, False),
+    ("processing instruction named xml", "<a><?xml x?></a>", False, False),
+    ("control character", "<a>\x01</a>", False, False),
+    ("U+0085 in text", "<a>\x85</a>", True, True),
+    ("U+FFFF in text", "<a>\uffff</a>", False, False),
+    ("undefined entity", "<a>&nope;</a>", False, False),
+    ("external DTD not loaded", '<!DOCTYPE a SYSTEM "http://h/x.dtd"><a/>', True, True),
+    ("undefined entity, external DTD", '<!DOCTYPE a SYSTEM "http://h/x.dtd"><a>&nope;</a>', True, True),
+    ("internal entity", '<!DOCTYPE a [<!ENTITY e "v">]><a>&e;</a>', True, True),
+    ("entity that names itself", '<!DOCTYPE a [<!ENTITY e "&e;">]><a>&e;</a>', False, False),
+    ("name that starts with a digit", "<1a/>", False, False),
+    ("name of the fifth edition only", "<\u0220/>", False, True),
+    ("unbound prefix", "<p:a/>", True, True),
+    ("declared as XML 1.1", '<?xml version="1.1"?><a/>', True, True),
+    ("XML 1.1 control reference", '<?xml version="1.1"?><a>&#1;</a>', False, True),
+    ("unknown declared encoding", '<?xml version="1.0" encoding="x-none"?><a/>', True, True),
+    ("carriage return in an attribute", '<a b="x\ry"/>', True, True),
+]
+
+
+@pytest.mark.parametrize("what,doc,ours,standard", CONFORMANCE, ids=[c[0] for c in CONFORMANCE])
+def test_conformance_table(what, doc, ours, standard):
+    assert (scan_xml(doc, "a", None, None) is not None) == ours
+
+
 def test_scan_html_keeps_links_around_bad_sections():
     assert scan_html('<nav><a href="/a">x</a><![foo[ x</nav><nav><a href="/b">', "nav", None, None) == ["/a", "/b"]
     assert scan_html('<nav><a href="/a"><!-- open ><a href="/b">', "nav", None, None) == ["/a", "/b"]
