@@ -25,9 +25,12 @@ class Graph:
     records: DataFrame | None = None   # (page); one row per accepted record, repeats kept
     links_hint: int | None = None      # upper bound on link rows, when known (sizes the first shuffles)
     merged: bool = False               # edges are (src, dst, mult) already, one row per (src, dst)
+    record_count: int | None = None    # accepted records, where they are known but not kept (a snapshot)
 
     def n_records(self) -> int:
         """A2: the number of accepted records (same-named pages counted apart)."""
+        if self.record_count is not None:
+            return self.record_count
         if self.records is None:
             raise ValueError("this graph carries no record table")
         return self.records.count()

@@ -10,6 +10,8 @@ tasks are retried later.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,10 @@ from ..session import written
 
 # ``monotonically_increasing_id`` keeps the partition above these bits, the place below.
 _PLACE_BITS = 33
+PLACE = "__place"
 
 
-def numbered(df: DataFrame, name: str, *order: Column, kind: str = "numbered") -> tuple[DataFrame, str]:
+def numbered(df: DataFrame, name: str, *order: Column, kind: str = "numbered", path: str | None = None) -> tuple[DataFrame, str]:
     """``df`` with a column ``name`` of 0 … n-1, and the path it was written to.
 
     With ``order`` the numbers follow that order (rows that tie in all of it
@@ -28,14 +31,19 @@ def numbered(df: DataFrame, name: str, *order: Column, kind: str = "numbered") -
     """
     if order:
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed, path = written(df.withColumn("__place", F.monotonically_increasing_id()), kind)
-    part = F.shiftright("__place", _PLACE_BITS)
-    counts = sorted(tuple(r) for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1))).collect())
+    placed, path = written(df.withColumn(PLACE, F.monotonically_increasing_id()), kind, path)
+    return with_numbers(placed, name), path
+
+
+def with_numbers(placed: DataFrame, name: str) -> DataFrame:
+    """The numbers of rows that :func:`numbered` wrote (again, from the same places)."""
+    part = F.shiftright(PLACE, _PLACE_BITS)
+    counts = dict(tuple(r) for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1))).collect())
     offsets, total = [], 0
-    for p, n in counts:
-        offsets.append((p, total))
-        total += n
-    known = df.sparkSession.createDataFrame(offsets, "__part bigint, __offset bigint")
-    place = F.col("__place").bitwiseAND((1 << _PLACE_BITS) - 1)
-    return (placed.withColumn("__part", part).join(F.broadcast(known), "__part")
-            .select(*df.columns, (F.col("__offset") + place).alias(name))), path
+    for p in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(p, 0)
+    # A literal of the plan: a number for each partition of the write.
+    offset = F.get(F.from_json(F.lit(json.dumps(offsets)), "array<bigint>"), part.cast("int"))
+    place = F.col(PLACE).bitwiseAND((1 << _PLACE_BITS) - 1)
+    return placed.select(*[c for c in placed.columns if c != PLACE], (offset + place).alias(name))

@@ -66,11 +66,11 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{kind}-{uuid.uuid4().hex[:12]}")
 
 
-def written(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
-    """``df`` written once as parquet under the checkpoint root and read back,
-    with its path: columns are pruned on reading, and a lost executor costs
-    nothing that is written. :func:`remove_path` deletes it."""
-    path = scratch_path(df.sparkSession, kind)
+def written(df: DataFrame, kind: str, path: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` written once as parquet under the checkpoint root (or at ``path``)
+    and read back, with its path: columns are pruned on reading, and a lost
+    executor costs nothing that is written. :func:`remove_path` deletes it."""
+    path = path or scratch_path(df.sparkSession, kind)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
