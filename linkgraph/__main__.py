@@ -6,7 +6,8 @@
 INPUT is a page dump (``name:html`` lines, plain or bz2). Writes the merged
 graph (S2) to GRAPH_OUT, every round's ranks (S4) under RANKS_OUT/iter=<i>, and
 the top K as ``name rank`` text (S5) to TOP_OUT; prints the ingest report and
-the wall time of each step.
+the wall time of each step. With ``--state DIR`` a run that was ended is taken up
+again by the same command: what GRAPH_OUT and DIR hold whole is not done anew.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ if __package__ in (None, ""):
 
 from linkgraph.functions import (ALPHA, CONTAINER, ITERATIONS, LINK_TARGET_PATTERN, NAV_CONTAINER,  # noqa: E402
                                  NAV_LINK_PATTERN, TOP_K)
-from linkgraph.operators.rank import finish, prepare_graph, run_rank  # noqa: E402
+from linkgraph.operators.rank import DEFAULT_SPLIT, finish, prepare_graph, prepared, run_rank  # noqa: E402
 from linkgraph.operators.topk import top_k  # noqa: E402
 from linkgraph.plans.jobs import ingest_lines  # noqa: E402
 from linkgraph.session import build_session  # noqa: E402
@@ -49,6 +50,10 @@ def main(argv: list[str] | None = None) -> int:
                     help="element whose anchors count (default: div:id=bodyContent, in lenient mode nav)")
     ap.add_argument("--link-pattern", default=None, help="links that count; group 1 is the target (Java regular expression)")
     ap.add_argument("--universe", choices=["all", "pages"], default="all", help="vertices in the top K")
+    ap.add_argument("--n", choices=["all", "records"], default="all",
+                    help="N in the formula: all vertices, or the accepted records (their total then grows from round to round)")
+    ap.add_argument("--split", type=int, default=DEFAULT_SPLIT, help="most distinct targets of a vertex in one bucket of links")
+    ap.add_argument("--state", default=None, metavar="DIR", help="folder that keeps the prepared graph and the last rounds, to resume from")
     ap.add_argument("--tol", type=float, default=None, help="stop after the round whose L1 change is below this")
     ap.add_argument("--exclude", action="append", default=[], metavar="NAME", help="leave a name out of the top K (repeatable)")
     ap.add_argument("--drop-rejected-lines", action="store_true", help="keep no text of rejected lines")
@@ -61,18 +66,23 @@ def main(argv: list[str] | None = None) -> int:
     lenient = args.mode == "lenient"
     container = parse_container(args.container) if args.container else (NAV_CONTAINER if lenient else CONTAINER)
     pattern = args.link_pattern or (NAV_LINK_PATTERN if lenient else LINK_TARGET_PATTERN)
-    ing = ingest_lines(read_lines(spark, args.input), mode=args.mode, container=container, link_pattern=pattern,
-                       keep_rejected_lines=not args.drop_rejected_lines)
-    write_graph(ing.graph, args.graph_out)
-    for r in ing.report().orderBy("reason").collect():
-        print(f"{r['reason']}: {r['n']}")
+    if args.state and prepared(spark, args.state):
+        print(f"resuming from {args.state}")
+    else:
+        ing = ingest_lines(read_lines(spark, args.input), mode=args.mode, container=container, link_pattern=pattern,
+                           keep_rejected_lines=not args.drop_rejected_lines)
+        write_graph(ing.graph, args.graph_out)
+        for r in ing.report().orderBy("reason").collect():
+            print(f"{r['reason']}: {r['n']}")
     t1 = time.perf_counter()
     print(f"ingest took {t1 - t0:.3f} s")
 
-    prep = prepare_graph(read_graph(spark, args.graph_out))     # as the snapshot has it: links merged once
+    graph = read_graph(spark, args.graph_out)                   # as the snapshot has it: links merged once
+    prep = prepare_graph(graph, split=args.split, state=args.state)
     try:
-        run = run_rank(prep, alpha=args.alpha, iterations=args.iterations, trace=True,
-                       tol=args.tol, snapshots=args.ranks_out)
+        run = run_rank(prep, alpha=args.alpha, iterations=args.iterations, trace=True, n=args.n,
+                       n_records=graph.n_records() if args.n == "records" else None,
+                       tol=args.tol, snapshots=args.ranks_out, state=args.state)
         ranks = finish(prep, run.ranks, args.universe)
     finally:
         prep.release()

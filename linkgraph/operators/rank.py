@@ -22,7 +22,7 @@ Plan per round (edges are never shuffled again):
    shuffled to the bucketed edge table's layout and joined to it
    (shuffled hash join, ranks as the build side; never broadcast, as ranks
    grow with the graph);
-2. contributions ``w·rank`` are summed per target inside each task, then one
+2. contributions ``w·rank`` are summed per target inside each task (exactly, see below), then one
    exchange by vertex id brings them together with every vertex's own row
    (so vertices without in-links stay, at 0) — a co-group, without a join;
 3. the new ranks are checkpointed to the shared checkpoint folder, which cuts
@@ -30,6 +30,10 @@ Plan per round (edges are never shuffled again):
    round only; one small aggregate over that checkpoint gives the round's
    metrics, including the next δ.
 
+Sums are exact: a share of rank is cut into two whole numbers (units of 2^-60
+and of 2^-86 of the total), which are summed, so neither the order in which rows
+arrive nor the number of partitions changes a bit of any rank.
+
 Skew: a vertex with very many distinct targets is split into
 ``ceil(targets / split)`` buckets by a hash of the target, so its edges spread
 over many tasks; its rank row is repeated once per bucket. A vertex with very
@@ -48,8 +52,10 @@ from pyspark.sql import functions as F
 
 from ..functions import ALPHA, ITERATIONS
 from ..session import checkpoint_root, remove_path, scratch_path, sized_shuffles, written
-from ..sources import write_rank_snapshot
+from ..sources import manifest, write_rank_snapshot
 from .graph import Graph, edge_pairs, node_table
+from .numbering import numbered, with_numbers
+from .rounds import Checkpoints, RoundLog
 
 # Most distinct targets one (source, bucket) group holds before the source is split.
 DEFAULT_SPLIT = 1 << 16
@@ -61,6 +67,11 @@ MIN_EDGES_PER_BUCKET = 256 << 10
 # more than MIN_HOT_LINKS) is looked up apart when links get their vertex ids.
 HOT_VERTICES = 10_000
 MIN_HOT_LINKS = 1 << 12
+# Rows per bucket of the name table that snapshots are joined with.
+NAMES_PER_BUCKET = 2 << 20
+# Binary places of the two whole numbers that a share of rank is cut into. Sums
+# of up to 8 in all, of up to 2^37 shares each, fit 64 bits.
+UNIT_BITS, REST_BITS = 60, 26
 
 
 def bucket_count(n_pairs: int, parallelism: int) -> int:
@@ -82,6 +93,26 @@ class PreparedGraph:
     partitions: int
     n_pairs: int = 0       # compacted edges
     paths: tuple[str, ...] = ()    # what this preparation wrote
+    state: str | None = None       # folder that keeps it for later sessions
+    _names: tuple[DataFrame, str, str] | None = None   # bucketed name table, its catalog name and path
+
+    def names(self) -> DataFrame:
+        """``(vid, id, is_page)`` written once, bucketed by ``vid``: names that
+        many rounds are joined with stay where they are."""
+        if self._names is None:
+            spark = self.wedges.sparkSession
+            parts = max(1, math.ceil(self.n_nodes / NAMES_PER_BUCKET),
+                        min(spark.sparkContext.defaultParallelism, math.ceil(self.n_nodes / MIN_EDGES_PER_BUCKET)))
+            table, path = f"linkgraph_names_{uuid.uuid4().hex[:12]}", scratch_path(spark, "names")
+            (self.nodes.select("vid", "id", "is_page").repartition(parts, "vid")
+             .write.bucketBy(parts, "vid").option("path", path).saveAsTable(table))
+            self._names = (spark.table(table), table, path)
+        return self._names[0]
+
+    def named_in_place(self, ranks: DataFrame) -> DataFrame:
+        """``(id, rank, is_page)``, for every round's ranks: numbers move, names do not."""
+        return (self.names().join(ranks.select("vid", "rank").hint("shuffle_hash"), "vid")
+                .select("id", "rank", "is_page"))
 
     def named(self, ranks: DataFrame) -> DataFrame:
         """``(id, rank, is_page)``: vertex names joined back onto ranks by ``vid``."""
@@ -91,12 +122,16 @@ class PreparedGraph:
 
     def release(self) -> None:
         """Drop the edge table's cache and catalog entry, and delete the edge,
-        link and vertex tables that the preparation wrote. Results must have
-        been materialized before (:func:`finish` does)."""
+        link and vertex tables that the preparation wrote, unless a state folder
+        keeps them. Results must have been materialized before (:func:`finish` does)."""
         spark = self.wedges.sparkSession
         self.wedges.unpersist()
         spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        for path in self.paths:
+        if self._names:
+            spark.sql(f"DROP TABLE IF EXISTS {self._names[1]}")
+            remove_path(spark, self._names[2])
+            self._names = None
+        for path in () if self.state else self.paths:
             remove_path(spark, path)
 
 
@@ -120,13 +155,35 @@ def _with_vids(links: DataFrame, end: str, other: str, nodes: DataFrame, hot: Da
     return joined.withColumn("__found", found).select(*links.columns, "__found.*")
 
 
+def prepared(spark, state: str) -> bool:
+    """Whether ``state`` holds a whole preparation."""
+    return bool(manifest.numbers(spark, f"{state}/graph"))
+
+
+def reopen(spark, state: str, cache_edges: bool = True) -> PreparedGraph:
+    """The preparation that :func:`prepare_graph` committed to ``state``, in this or an earlier session."""
+    found = manifest.read(spark, f"{state}/graph")
+    if found is None:
+        raise FileNotFoundError(f"no prepared graph was committed to {state}")
+    checkpoint_root(spark)
+    at = {kind: f"{state}/graph/{found['folder']}/{kind}" for kind in ("nodes", "wedges")}
+    nodes = with_numbers(spark.read.schema(found["node_schema"]).parquet(at["nodes"]), "vid")
+    table, parts = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}", found["partitions"]
+    spark.sql(f"CREATE TABLE {table} (src_vid BIGINT, bucket BIGINT, dst_vid BIGINT, w DOUBLE) USING parquet "
+              f"CLUSTERED BY (src_vid, bucket) INTO {parts} BUCKETS LOCATION '{at['wedges']}'")
+    edges = spark.table(table)
+    if cache_edges:
+        edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    return PreparedGraph(edges, nodes, found["n_nodes"], table, parts, found["n_pairs"], (), state)
+
+
 def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
-                  partitions: int | None = None, cache_edges: bool = True) -> PreparedGraph:
+                  partitions: int | None = None, cache_edges: bool = True, state: str | None = None) -> PreparedGraph:
     """Compact, number, weight and lay out the edges once for all rounds.
 
     * ``pairs(src, dst, mult)``: repeats merged (partial counts per task);
-    * vertices with degree, bucket count ``nb`` and unique id ``vid``,
-      written (which fixes the ids for good);
+    * vertices with degree, bucket count ``nb`` and a dense number ``vid``
+      (0 … N-1), written (which fixes the numbers for good);
     * ``wedges(src_vid, bucket, dst_vid, w = mult/d(src))`` written as a table
       bucketed by ``(src_vid, bucket)`` into the checkpoint folder, so each
       round joins against it without moving an edge. The bucket count is
@@ -135,11 +192,21 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
       With ``cache_edges`` the table is also cached (memory, then executors'
       local disks) on first use, keeping its bucket layout; a lost block is
       read again from the table.
+
+    With ``state``, a folder for one graph, the preparation is kept there for
+    later sessions and committed as a whole; if it is there already, it is
+    opened and ``graph`` is not read.
     """
     if split < 1:
         raise ValueError("split must be at least 1")
     spark = graph.edges.sparkSession
+    if state and prepared(spark, state):
+        return reopen(spark, state, cache_edges)
     checkpoint_root(spark)
+    folder = f"prepared-{uuid.uuid4().hex[:8]}"
+
+    def place(kind: str) -> str:
+        return f"{state}/graph/{folder}/{kind}" if state else scratch_path(spark, kind)
 
     # Written rather than cached: links are read twice below, and vertices in
     # every step; both survive a lost executor, and their columns are pruned.
@@ -152,8 +219,7 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
             pairs, path = written(edge_pairs(graph), "pairs")
             paths = [path]
     with sized_shuffles(spark, graph.links_hint or pairs.count()):
-        nodes, path = written(node_table(graph, pairs).withColumn("nb", nb)
-                              .withColumn("vid", F.monotonically_increasing_id()), "nodes")
+        nodes, path = numbered(node_table(graph, pairs).withColumn("nb", nb), "vid", path=place("nodes"))
         paths.append(path)
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"),
                       F.coalesce(F.sum("n_targets"), F.lit(0)).alias("pairs")).first()
@@ -175,16 +241,22 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
                            "dst_vid",
                            (F.col("mult") / F.col("out_degree")).alias("w"))
     table = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}"
-    paths.append(scratch_path(spark, "wedges"))
+    paths.append(place("wedges"))
     with sized_shuffles(spark, sizes["pairs"]):
         (wedges.repartition(parts, "src_vid", "bucket")
          .write.bucketBy(parts, "src_vid", "bucket")
          .option("path", paths[-1])
          .saveAsTable(table))
+    if state:
+        manifest.commit(spark, f"{state}/graph", 1, {
+            "folder": folder, "partitions": parts, "n_nodes": n, "n_pairs": sizes["pairs"], "split": split,
+            "node_schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(paths[-2]).schema)})
+        for path in paths[:-2]:     # the merged links are not needed any more
+            remove_path(spark, path)
     edges = spark.table(table)
     if cache_edges:
         edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    return PreparedGraph(edges, nodes, n, table, parts, sizes["pairs"], tuple(paths))
+    return PreparedGraph(edges, nodes, n, table, parts, sizes["pairs"], tuple(paths), state)
 
 
 def initial_ranks(prep: PreparedGraph, n: float, pages_only: bool = False) -> DataFrame:
@@ -195,10 +267,33 @@ def initial_ranks(prep: PreparedGraph, n: float, pages_only: bool = False) -> Da
     return prep.nodes.select("vid", "nb", rank.alias("rank"), rank.alias("prev"))
 
 
-def dangling_mass(ranks: DataFrame) -> DataFrame:
+def unit_bits(mass: float) -> int:
+    """Binary places at which whole-number sums of up to ``mass`` fit 64 bits."""
+    return UNIT_BITS - max(0, math.ceil(math.log2(mass))) if mass > 0 else UNIT_BITS
+
+
+def _units(share: Column, bits: int) -> tuple[Column, Column]:
+    """``share`` (not negative) in units of 2^-bits, and what is left in units of 2^-(bits + REST_BITS).
+    Scaling by powers of two and cutting are exact, so both depend on the share alone."""
+    scaled = share * F.lit(2.0 ** bits)
+    units = F.floor(scaled)
+    return units, F.floor((scaled - units) * F.lit(2.0 ** REST_BITS))
+
+
+def _of_units(units: Column, rest: Column, bits: int) -> Column:
+    return (units + rest / F.lit(2.0 ** REST_BITS)) / F.lit(2.0 ** bits)
+
+
+def exact_sum(share: Column, bits: int = UNIT_BITS) -> Column:
+    """A sum of doubles that does not depend on their order; 0 without rows."""
+    units, rest = _units(share, bits)
+    none = F.lit(0).cast("bigint")
+    return _of_units(F.coalesce(F.sum(units), none), F.coalesce(F.sum(rest), none), bits)
+
+
+def dangling_mass(ranks: DataFrame, bits: int = UNIT_BITS) -> DataFrame:
     """A5: one row ``dangling_mass``: total rank held by vertices without out-links."""
-    return ranks.where(F.col("nb") == 0).agg(
-        F.coalesce(F.sum("rank"), F.lit(0.0)).alias("dangling_mass"))
+    return ranks.where(F.col("nb") == 0).agg(exact_sum(F.col("rank"), bits).alias("dangling_mass"))
 
 
 def _rank_rows_by_bucket(ranks: DataFrame) -> DataFrame:
@@ -225,25 +320,28 @@ def contributions(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
             .select("src", "dst", F.col("c").alias("contribution")))
 
 
-def contribution_sums(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
+def contribution_sums(prep: PreparedGraph, ranks: DataFrame, bits: int = UNIT_BITS) -> DataFrame:
     """``(vid, contrib_sum, nb, prev)`` for every vertex: the rank
-    reaching it (0 without in-links) next to its bucket count and previous rank."""
+    reaching it (0 without in-links) next to its bucket count and previous rank.
+    ``bits``: :func:`unit_bits` of the ranks' total."""
+    units, rest = _units(F.col("c"), bits)
     contrib = _carried(prep, ranks).select(
-        F.col("dst_vid").alias("vid"), "c",
+        F.col("dst_vid").alias("vid"), units.alias("u"), rest.alias("f"),
         F.lit(None).cast("bigint").alias("nb"), F.lit(None).cast("double").alias("prev"))
-    own = ranks.select("vid", F.lit(0.0).alias("c"), "nb", F.col("rank").alias("prev"))
+    none = F.lit(0).cast("bigint")
+    own = ranks.select("vid", none.alias("u"), none.alias("f"), "nb", F.col("rank").alias("prev"))
     return (contrib.unionByName(own).groupBy("vid")
-            .agg(F.sum("c").alias("contrib_sum"), F.max("nb").alias("nb"),
-                 F.max("prev").alias("prev")))
+            .agg(F.sum("u").alias("u"), F.sum("f").alias("f"), F.max("nb").alias("nb"), F.max("prev").alias("prev"))
+            .select("vid", _of_units(F.col("u"), F.col("f"), bits).alias("contrib_sum"), "nb", "prev"))
 
 
 def rank_step(prep: PreparedGraph, ranks: DataFrame, n: float, alpha: float = ALPHA,
-              delta: float | None = None) -> DataFrame:
+              delta: float | None = None, bits: int = UNIT_BITS) -> DataFrame:
     """One round, ``(vid, nb, rank, prev)``. ``delta=None`` takes δ from
     ``ranks`` as a scalar subquery; a number fixes it (the loop passes the
     measured value; the parity step passes 0). Lazy: nothing runs here."""
-    d = dangling_mass(ranks).scalar() if delta is None else F.lit(float(delta))
-    sums = contribution_sums(prep, ranks)
+    d = dangling_mass(ranks, bits).scalar() if delta is None else F.lit(float(delta))
+    sums = contribution_sums(prep, ranks, bits)
     new = (F.lit(alpha / n) + F.lit(1.0 - alpha) * (d / F.lit(float(n)) + F.col("contrib_sum"))) \
         if n else F.lit(0.0)
     return sums.select("vid", "nb", new.alias("rank"), "prev")
@@ -256,28 +354,21 @@ class RankRun:
     trace: list[Row] = field(default_factory=list)
 
 
-def _round_metrics() -> list[F.Column]:
+def _metrics(ranks: DataFrame, mass: float) -> dict:
+    """One small aggregate over a round's N rows, never the edges; exact
+    whatever tasks were retried. Its dangling mass is the next round's δ.
+    ``mass`` bounds the ranks' total."""
+    bits = unit_bits(2 * mass)
     change = F.abs(F.col("rank") - F.col("prev"))
-    return [F.coalesce(F.sum("rank"), F.lit(0.0)).alias("rank_sum"),
-            F.coalesce(F.sum(F.when(F.col("nb") == 0, F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
-            F.coalesce(F.max(change), F.lit(0.0)).alias("max_change"),
-            F.coalesce(F.sum(change), F.lit(0.0)).alias("l1_change")]
-
-
-def _materialize(ranks: DataFrame) -> tuple[DataFrame, Row]:
-    """Checkpoint one round (reliable, into the shared checkpoint folder) and
-    read its metrics with one small aggregate over the checkpointed rows.
-
-    The aggregate scans N rank rows, never the edges, and is exact whatever
-    tasks were retried. Its dangling mass is the next round's δ.
-    """
-    out = ranks.checkpoint()
-    return out, out.agg(*_round_metrics()).first()
+    return ranks.agg(exact_sum(F.col("rank"), bits).alias("rank_sum"),
+                     exact_sum(F.when(F.col("nb") == 0, F.col("rank")), bits).alias("dangling_mass"),
+                     F.coalesce(F.max(change), F.lit(0.0)).alias("max_change"),
+                     exact_sum(change, bits).alias("l1_change")).first().asDict()
 
 
 def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERATIONS,
              n: str = "all", n_records: int | None = None, tol: float | None = None,
-             trace: bool = False, snapshots: str | None = None) -> RankRun:
+             trace: bool = False, snapshots: str | None = None, state: str | None = None) -> RankRun:
     """The fixed-count loop, with per-round trace and optional early stop.
 
     ``n='all'``: N = |V|; ``n='records'``: N = accepted records (``n_records``),
@@ -286,7 +377,12 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
     the single parity step (:func:`parity_step`). δ of each round is the dangling mass measured on the previous round's
     checkpoint. ``tol``: stop after the first round whose L1 change is below
     it. ``snapshots``: also write every round, named, as parquet under
-    ``<snapshots>/iter=<i>`` (S4).
+    ``<snapshots>/iter=<i>`` (S4). At most two rounds are kept at a time.
+
+    ``state``: the folder of a preparation that is kept (:func:`prepare_graph`
+    with ``state``). Every round is then committed to a log in it, and a run
+    that finds a log of the same parameters goes on after its last round, with
+    the same ranks as an unbroken run. More iterations than logged go on too.
     """
     if not 0.0 <= alpha <= 1.0:
         raise ValueError("alpha must lie in [0, 1]")
@@ -300,21 +396,41 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
         size = float(n_records)
     else:
         raise ValueError("n must be 'all' or 'records'")
-    rows: list[Row] = []
-    done = 0
+    spark = prep.wedges.sparkSession
+    if state and prep.state != state:
+        raise ValueError("a logged run needs the graph that this state folder keeps")
+    log = RoundLog(spark, f"{state}/rounds") if state else Checkpoints()
+    given = {"alpha": alpha, "size": size}
+    rows: list[dict] = []
+    mass = prep.n_nodes / size if size else 0.0      # bounds the ranks' total
+
+    def kept(i: int, ranks: DataFrame) -> DataFrame:
+        ranks = log.keep(i, ranks)
+        rows.append({"iteration": i, **_metrics(ranks, mass)})
+        if snapshots and i:
+            write_rank_snapshot(prep.named_in_place(ranks), snapshots, i)
+        log.commit(i, {**given, "rounds": rows}, spark)
+        return ranks
+
     # Up to E' contributions plus N own rows reach the grouping by vertex
     # before the per-task sums shrink them; size that exchange for the bound.
-    with sized_shuffles(prep.wedges.sparkSession, prep.n_pairs + prep.n_nodes):
-        ranks, m = _materialize(initial_ranks(prep, size))
-        for i in range(1, iterations + 1):
-            ranks, m = _materialize(rank_step(prep, ranks, size, alpha, delta=m["dangling_mass"]))
-            done = i
-            rows.append(Row(iteration=i, **m.asDict()))
-            if snapshots:
-                write_rank_snapshot(prep.named(ranks), snapshots, i)
-            if tol is not None and m["l1_change"] < tol:
-                break
-    return RankRun(ranks, done, rows if trace or tol is not None else [])
+    with sized_shuffles(spark, prep.n_pairs + prep.n_nodes):
+        found = log.last()
+        if found is None:
+            done, ranks = 0, kept(0, initial_ranks(prep, size))
+        else:
+            done, was, ranks = found
+            if {k: was[k] for k in given} != given or done > iterations:
+                raise ValueError(f"the log in {state} is of another run: {done} rounds with {({k: was[k] for k in given})}")
+            rows = was["rounds"]
+        while done < iterations and not (tol is not None and done and rows[-1]["l1_change"] < tol):
+            delta, total = rows[-1]["dangling_mass"], rows[-1]["rank_sum"]
+            if size:
+                mass = alpha * prep.n_nodes / size + (1 - alpha) * (prep.n_nodes * delta / size + total)
+            ranks = kept(done + 1, rank_step(prep, ranks, size, alpha, delta, unit_bits(total)))
+            done += 1
+    traced = [Row(**r) for r in rows[1:]]
+    return RankRun(ranks, done, traced if trace or tol is not None else [])
 
 
 def finish(prep: PreparedGraph, ranks: DataFrame, universe: str = "all") -> DataFrame:

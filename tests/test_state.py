@@ -1,0 +1,228 @@
+"""Committed snapshots, the restart log, names that stay in place, reproducible sums."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkgraph.operators import rank as R
+from linkgraph.operators.graph import Graph
+from linkgraph.sources import manifest, read_graph, write_graph
+from test_plans import plan_nodes, plan_nodes_of
+
+
+def links(spark, n=400, vertices=90, seed=3):
+    rnd = random.Random(seed)
+    pairs = [(f"v{rnd.randrange(vertices)}", f"v{rnd.randrange(vertices + 30)}") for _ in range(n)]
+    return spark.createDataFrame(pairs, "src string, dst string")
+
+
+def ranked(df, key="id"):
+    return {r[key]: r["rank"] for r in df.collect()}
+
+
+def edges_of(graph):
+    return sorted(tuple(r) for r in graph.edges.collect())
+
+
+# --- snapshots ---------------------------------------------------------------------------
+
+def test_record_count_survives_a_snapshot(spark, wiki14, tmp_path):
+    write_graph(wiki14.graph, str(tmp_path / "g"))
+    back = read_graph(spark, str(tmp_path / "g"))
+    assert back.n_records() == 9
+    parity = ranked(R.parity_step(back))
+    assert parity["C"] == pytest.approx(0.221296296296, abs=1e-11)
+    assert ranked(R.rank_nodes(back, n="records", iterations=2)) == ranked(R.rank_nodes(wiki14.graph, n="records", iterations=2))
+    unknown = Graph(links(spark))
+    write_graph(unknown, str(tmp_path / "u"))
+    with pytest.raises(ValueError):
+        read_graph(spark, str(tmp_path / "u")).n_records()
+
+
+def test_a_killed_write_leaves_the_last_snapshot(spark, tmp_path, monkeypatch):
+    import linkgraph.operators.graph as G
+
+    path = str(tmp_path / "g")
+    write_graph(Graph(links(spark, seed=1)), path)
+    before = edges_of(read_graph(spark, path))
+    monkeypatch.setattr(G, "node_table", lambda *a: 1 / 0)     # dies between the two tables
+    with pytest.raises(ZeroDivisionError):
+        write_graph(Graph(links(spark, seed=2)), path)
+    assert len([x for x in os.listdir(path) if x.startswith("version-")]) == 2
+    assert edges_of(read_graph(spark, path)) == before
+    monkeypatch.undo()
+    assert write_graph(Graph(links(spark, seed=2)), path) == 2
+    assert edges_of(read_graph(spark, path)) != before and edges_of(read_graph(spark, path, version=1)) == before
+    # what the killed write left is gone, the version before stays readable
+    assert sorted(int(x.split("-")[1]) for x in os.listdir(path) if x.startswith("version-")) == [1, 2]
+    with pytest.raises(FileExistsError):
+        write_graph(Graph(links(spark)), path, mode="error")
+
+
+def test_lost_files_and_missing_snapshots_are_errors(spark, tmp_path):
+    path = str(tmp_path / "g")
+    with pytest.raises(FileNotFoundError):
+        read_graph(spark, path)
+    write_graph(Graph(links(spark)), path)
+    folder = manifest.read(spark, path)["folder"]
+    part = next(x for x in os.listdir(f"{path}/{folder}/edges") if x.startswith("part-"))
+    os.remove(f"{path}/{folder}/edges/{part}")
+    with pytest.raises((OSError, Exception), match="manifest lists|Unable to infer|does not exist"):
+        read_graph(spark, path)
+
+
+def test_one_of_two_writers_of_a_number_is_told(spark, tmp_path):
+    manifest.commit(spark, str(tmp_path), 1, {"x": 1})
+    with pytest.raises(Exception, match="already exists"):
+        manifest.commit(spark, str(tmp_path), 1, {"x": 2})
+    assert manifest.read(spark, str(tmp_path))["x"] == 1 and manifest.numbers(spark, str(tmp_path)) == [1]
+
+
+# --- restart log -------------------------------------------------------------------------
+
+def rounds_on_disk(state):
+    return [x for x in os.listdir(f"{state}/rounds") if x.startswith("round-")]
+
+
+def test_a_killed_run_goes_on_with_the_same_ranks(spark, tmp_path, monkeypatch):
+    state, graph = str(tmp_path / "s"), Graph(links(spark))
+    prep = R.prepare_graph(graph)
+    whole = R.run_rank(prep, iterations=8, trace=True)
+    want = ranked(R.finish(prep, whole.ranks))
+    prep.release()
+
+    step, calls, most = R.rank_step, [], []
+
+    def dying(*a, **k):
+        calls.append(1)
+        most.append(len(rounds_on_disk(state)))
+        if len(calls) == 6:
+            raise RuntimeError("killed in round 6")
+        return step(*a, **k)
+
+    monkeypatch.setattr(R, "rank_step", dying)
+    prep = R.prepare_graph(graph, state=state)
+    with pytest.raises(RuntimeError):
+        R.run_rank(prep, iterations=8, state=state)
+    prep.release()
+    monkeypatch.setattr(R, "rank_step", lambda *a, **k: (calls.append(1), step(*a, **k))[1])
+    # a later session has the folder, not the graph
+    again = R.prepare_graph(Graph(spark.createDataFrame([], "src string, dst string")), state=state)
+    run = R.run_rank(again, iterations=8, trace=True, state=state)
+    assert len(calls) == 6 + 3 and max(most) <= 2 and len(rounds_on_disk(state)) == 2
+    assert ranked(R.finish(again, run.ranks)) == want          # to the bit
+    assert [r.asDict() for r in run.trace] == [r.asDict() for r in whole.trace] and run.iterations == 8
+    with pytest.raises(ValueError):
+        R.run_rank(again, alpha=0.2, state=state)
+    with pytest.raises(ValueError):
+        R.run_rank(again, iterations=7, state=state)
+    assert R.run_rank(again, iterations=9, tol=10.0, state=state).iterations == 8
+    again.release()
+    assert R.prepared(spark, state)
+
+
+def test_state_belongs_to_its_preparation(spark, tmp_path):
+    prep = R.prepare_graph(Graph(links(spark)))
+    with pytest.raises(ValueError):
+        R.run_rank(prep, state=str(tmp_path / "s"))
+    prep.release()
+
+
+def test_two_round_checkpoints_at_most(spark, monkeypatch):
+    from linkgraph.operators import rounds
+
+    seen = []
+    commit = rounds.Checkpoints.commit
+
+    def counted(self, *a):
+        commit(self, *a)
+        seen.append([os.path.isdir(f.removeprefix("file:")) for f in self.files])
+
+    monkeypatch.setattr(rounds.Checkpoints, "commit", counted)
+    prep = R.prepare_graph(Graph(links(spark)))
+    files = []
+    run = R.run_rank(prep, iterations=4)
+    assert [len(s) for s in seen] == [1, 2, 2, 2, 2] and all(all(s) for s in seen)
+    assert run.ranks.count() == prep.n_nodes
+    prep.release()
+
+
+# --- layout ------------------------------------------------------------------------------
+
+def test_names_stay_in_place(spark):
+    prep = R.prepare_graph(Graph(links(spark)))
+    r0 = R.initial_ranks(prep, float(prep.n_nodes)).checkpoint()
+    named = prep.named_in_place(r0)
+    join = next(p for n, p in plan_nodes(named) if n == "ShuffledHashJoin")
+    names_side = plan_nodes_of(join.left())
+    assert "Exchange" not in [n for n, _ in names_side]
+    assert any("Bucketed: true" in p.simpleString(1000) for n, p in names_side if n.startswith("Scan"))
+    assert [n for n, _ in plan_nodes(named)].count("Exchange") == 1     # the numbers move
+    assert ranked(named) == ranked(prep.named(r0))
+    table = prep._names[1]
+    prep.release()
+    assert not spark.catalog.tableExists(table)
+
+
+def test_vertex_numbers_are_dense(spark):
+    prep = R.prepare_graph(Graph(links(spark), pages=spark.createDataFrame([("alone",)], "id string")))
+    assert sorted(r["vid"] for r in prep.nodes.collect()) == list(range(prep.n_nodes))
+    prep.release()
+
+
+def test_ranks_are_equal_to_the_bit_under_any_partitioning(spark):
+    rnd = random.Random(11)
+    pairs = [(f"v{rnd.randrange(300)}", "hub" if rnd.random() < 0.3 else f"v{rnd.randrange(400)}") for _ in range(6000)]
+    key, before, found = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in (4, 16, 64):
+            spark.conf.set(key, str(parts))
+            rnd.shuffle(pairs)
+            graph = Graph(spark.createDataFrame(pairs, "src string, dst string").repartition(parts))
+            prep = R.prepare_graph(graph, split=50, partitions=max(1, parts // 4))
+            run = R.run_rank(prep, iterations=4, trace=True)
+            found.append((ranked(R.finish(prep, run.ranks)), [r.asDict() for r in run.trace]))
+            prep.release()
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1] == found[2]
+
+
+def test_exact_sums_keep_small_shares_and_large_totals(spark):
+    rows = spark.range(1000).select((F.lit(1e-12) / (F.col("id") + 1)).alias("x"))
+    exact = sum(1e-12 / (i + 1) for i in range(1000))
+    assert rows.agg(R.exact_sum(F.col("x"))).first()[0] == pytest.approx(exact, rel=1e-10)
+    big = spark.createDataFrame([(3e6,), (4e6,), (0.125,)], "x double")
+    assert big.agg(R.exact_sum(F.col("x"), R.unit_bits(8e6))).first()[0] == 7000000.125
+    assert R.unit_bits(1.0) == 60 and R.unit_bits(0.0) == 60 and R.unit_bits(5.0) == 57
+
+
+# --- large k -----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("k", [11, 400, 999, 1000, 5000])
+def test_large_k_equals_the_small_way(spark, monkeypatch, k):
+    from linkgraph.operators import topk
+
+    ranks = spark.range(1000).select(F.concat(F.lit("n"), F.col("id")).alias("id"), (F.col("id") % 37 / 37.0).alias("rank")).repartition(5)
+    want = [tuple(r) for r in topk.top_k(ranks, k, exclude=["n3"]).collect()]
+    monkeypatch.setattr(topk, "LARGE_K", 10)
+    monkeypatch.setattr(topk, "SKETCH", 100)
+    many = topk.top_k(ranks, k, exclude=["n3"])
+    assert "TakeOrderedAndProject" not in many._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in many.collect()] == want
+
+
+def test_command_line_resumes_and_takes_records(spark, tmp_path, capsys):
+    from linkgraph.__main__ import main
+    from wiki14 import WIKI14
+
+    spark.createDataFrame([(x,) for x in WIKI14], "value string").coalesce(1).write.text(str(tmp_path / "dump"))
+    args = [str(tmp_path / x) for x in ("dump", "graph", "ranks", "top")] + ["--state", str(tmp_path / "state"), "--n", "records", "--split", "2"]
+    assert main([*args, "--iterations", "1"]) == 0
+    assert "ok: 9" in capsys.readouterr().out
+    assert main([*args, "--iterations", "2"]) == 0
+    out = capsys.readouterr().out
+    assert "resuming" in out and "2 rounds" in out
+    assert sorted(os.listdir(tmp_path / "ranks")) == ["iter=1", "iter=2"]
