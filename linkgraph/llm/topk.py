@@ -16,21 +16,28 @@ in order of length, a few thousand at a time:
 The k-th best score starts from the ``seed`` longest vectors, whose number is
 fixed, so every block has a threshold before it meets any stripe. Bounds are
 taken with a margin for rounding; scores themselves are whole numbers, so the
-result is exact.
+result is exact. Sums of products may wrap around 64 bits on the way: if the
+score fits 64 bits, what comes out is the score.
 
-Scale. Work is (queries x candidates) at worst, in blocks spread over all
-tasks; a task holds a stripe (4 MB at 64 dimensions) and a block. What reaches
-the driver: counts, the d x d product matrix, and the seed vectors.
+Scale. A block goes only to the stripes whose longest vector could still reach
+the threshold of one of its queries: stripes are ranges of the length, so these
+are the first few, known before anything moves. Work is (queries x candidates)
+at worst, in blocks spread over all tasks; a task holds a stripe (8 MB at 64
+dimensions) and a block. What reaches the driver: counts, the d x d product
+matrix, the seed vectors, and the last stripe of each class of lengths (sixteen
+classes to a doubling).
 
 Cases: vectors that are null or hold null or non-finite components, and rows
 with a null id, take no part; shorter vectors count as padded with zeros;
-components beyond +-2**24 after quantising count as that; candidates that share
-the query's id are its own; repeated rows are candidates (and queries) each;
+finite components of any size count as they are, but one whose quantised value
+does not fit 64 bits, and a score to be returned that does not, end the job with
+an error that names the row; candidates that share the query's id are its own; repeated rows are candidates (and queries) each;
 ties go to the smaller id; no rows or no queries give an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,14 +52,17 @@ SCALE = 64
 SEED_VECTORS = 2048
 STRIPE, BLOCK, STEP = 16384, 512, 2048
 PAIRS = 1 << 15
-LIMIT = 1 << 24
+#: What 64-bit values hold, less a margin for the rounding of the estimate that is compared with it.
+MOST = 2.0 ** 63 * (1 - 1e-6)
+#: Classes of length to a doubling.
+CLASSES = 16
 #: Share of the squared length that the first dimensions of the rotation carry.
 ENERGY = 0.7
 
 
 def quantised(rows: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """(id, v array<int>, len2) of the rows that take part."""
-    schema = pa.schema([("id", pa.int64()), ("v", pa.list_(pa.int32())), ("len2", pa.int64())])
+    """(id, v array<long>, length) of the rows that take part."""
+    schema = pa.schema([("id", pa.int64()), ("v", pa.list_(pa.int64())), ("length", pa.float64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -61,17 +71,21 @@ def quantised(rows: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) ->
             x = vectors.values.to_numpy(zero_copy_only=False).astype(np.float64)  # null becomes NaN
             fine = np.isfinite(x)
             bad = np.concatenate(([0], np.cumsum(~fine)))
-            whole = np.clip(np.floor(np.where(fine, x, 0.0) * scale), -LIMIT, LIMIT).astype(np.int64)
-            squares = np.concatenate(([0], np.cumsum(whole * whole)))
+            whole = np.floor(np.where(fine, x, 0.0) * scale)
             taken = np.flatnonzero(bad[ends[1:]] == bad[ends[:-1]])
             starts, sizes = ends[taken], ends[taken + 1] - ends[taken]
             at = np.concatenate([np.arange(a, a + n) for a, n in zip(starts, sizes)] or [np.empty(0, np.int64)])
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(whole[at], pa.int32()))
-            yield pa.record_batch([part.column(0).take(pa.array(taken)), lists, pa.array(squares[starts + sizes] - squares[starts])], schema=schema)
+            whole, owner = whole[at], np.repeat(np.arange(len(taken)), sizes)
+            huge = np.flatnonzero(np.abs(whole) >= MOST)
+            if len(huge):
+                raise OverflowError(f"{id_col} {part.column(0)[taken[owner[huge[0]]]]}: a component times {scale} does not fit 64 bits")
+            length = np.sqrt(np.bincount(owner, whole * whole, minlength=len(taken)))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(whole.astype(np.int64)))
+            yield pa.record_batch([part.column(0).take(pa.array(taken)), lists, pa.array(length)], schema=schema)
 
     given = rows.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull())
     return given.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).mapInArrow(
-        run, "id long, v array<int>, len2 long")
+        run, "id long, v array<long>, length double")
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
@@ -110,9 +124,9 @@ def rotation(vectors: DataFrame, d: int) -> tuple[np.ndarray, int]:
 def packed(vectors: DataFrame, rows: int, parts: int, d: int) -> DataFrame:
     """Vectors by descending length, up to ``rows`` of them to a row.
 
-    (part, pack, ids binary, data binary): parts are ranges of the length.
+    (part, pack, ids binary, data binary, longest): parts are ranges of the length.
     """
-    schema = pa.schema([("part", pa.int32()), ("pack", pa.int64()), ("ids", pa.binary()), ("data", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("pack", pa.int64()), ("ids", pa.binary()), ("data", pa.binary()), ("longest", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n, ids, data = TaskContext.get().partitionId(), 0, [], []
@@ -122,20 +136,21 @@ def packed(vectors: DataFrame, rows: int, parts: int, d: int) -> DataFrame:
             all_ids, all_data = np.concatenate(ids), np.concatenate(data)
             ids, data = [all_ids[count:]], [all_data[count:]]
             n += 1
-            return pa.record_batch([pa.array([part], pa.int32()), pa.array([(part << 32) + n], pa.int64()),
-                                    pa.array([all_ids[:count].tobytes()], pa.binary()), pa.array([all_data[:count].astype("<i4").tobytes()], pa.binary())], schema=schema)
+            longest = np.sqrt((all_data[0].astype(float) ** 2).sum())
+            return pa.record_batch([pa.array([part], pa.int32()), pa.array([(part << 32) + n], pa.int64()), pa.array([all_ids[:count].tobytes()], pa.binary()),
+                                    pa.array([all_data[:count].astype("<i8").tobytes()], pa.binary()), pa.array([longest])], schema=schema)
 
         for b in batches:
             ids.append(b.column(0).to_numpy())
-            data.append(_matrix(b.column(1), d).astype(np.int32))
+            data.append(_matrix(b.column(1), d))
             while sum(map(len, ids)) >= rows:
                 yield pack(rows)
         if sum(map(len, ids)):
             yield pack(rows)
 
-    order = [F.col("len2").desc(), F.col("id"), F.xxhash64("v")]
+    order = [F.col("length").desc(), F.col("id"), F.xxhash64("v")]
     spread = vectors.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return spread.select("id", "v").mapInArrow(run, "part int, pack long, ids binary, data binary")
+    return spread.select("id", "v").mapInArrow(run, "part int, pack long, ids binary, data binary, longest double")
 
 
 def best(owner: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -160,7 +175,7 @@ class Matcher:
 
     def match(self, q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, c_ids: np.ndarray, c: np.ndarray) -> tuple:
         """(query index, candidate id, score): at most k each, none missing that scores ``floor`` or more."""
-        k, h, floor = self.k, self.head, floor.astype(float).copy()
+        k, h, floor = self.k, self.head, floor.copy()    # whole numbers, as the scores are
         qr, ql, qt = self.rotated(q)
         own, ids, score = np.empty(0, int), np.empty(0, np.int64), np.empty(0, np.int64)
         for at in range(0, len(c), STEP):
@@ -171,7 +186,7 @@ class Matcher:
             if not len(live):
                 break  # all later candidates are shorter
             head = qr[live, :h] @ cr[:, :h].T
-            need = (floor - slack)[live, None]
+            need = (floor.astype(float) - slack)[live, None]
             near = head + np.outer(qt[live], ct) >= need
             some_q, some_c = near.any(axis=1), near.any(axis=0)
             if not some_q.any():
@@ -179,6 +194,9 @@ class Matcher:
             rows, cols = live[some_q], np.flatnonzero(some_c)
             full = head[np.ix_(some_q, some_c)] + qr[rows, h:] @ cr[cols, h:].T
             i, j = np.nonzero(full >= need[some_q])
+            large = np.flatnonzero((np.abs(full[i, j]) >= MOST) & (c_ids[at + cols[j]] != q_ids[rows[i]]))
+            if len(large):
+                raise OverflowError(f"the score of {c_ids[at + cols[j[large[0]]]]} for {q_ids[rows[i[large[0]]]]} does not fit 64 bits")
             i, j = rows[i], cols[j]
             # Pairs in parts: what is gathered for their scores stays small.
             exact = np.concatenate([np.einsum("ij,ij->i", q[i[a:a + PAIRS]], part[j[a:a + PAIRS]]) for a in range(0, len(i), PAIRS)]
@@ -196,61 +214,85 @@ class Matcher:
         return own, ids, score
 
 
+def class_of(length: float) -> int:
+    """Class of a length: rising with it, ``CLASSES`` to a doubling; 0 below 1."""
+    return 1 + int(CLASSES * math.log2(length)) if length >= 1 else 0
+
+
+def last_stripes(stripes: DataFrame) -> list[int]:
+    """For every class, the last stripe whose longest vector is of it or a higher one; -1 if none is."""
+    cls = F.when(F.col("longest") >= 1, 1 + F.floor(CLASSES * F.log2("longest"))).otherwise(0).cast("int")
+    last = dict(tuple(r) for r in stripes.groupBy(cls).agg(F.max("part")).collect())
+    out, seen = [], -1
+    for c in range(max(last, default=0), -1, -1):
+        seen = max(seen, last.get(c, -1))
+        out.append(seen)
+    return out[::-1]
+
+
+def cells(queries: DataFrame, stripes: DataFrame, matcher: Matcher, longest: tuple[np.ndarray, np.ndarray], d: int) -> DataFrame:
+    """Blocks of queries with thresholds from the longest vectors, a row for every
+    stripe that could hold a better one: (block, q_ids, q_data, floor, part)."""
+    last = last_stripes(stripes)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for i in range(part.num_rows):
+                ids, q = _unpacked(part.column(2)[i], part.column(3)[i], d)
+                lowest = np.full(len(q), np.iinfo(np.int64).min)
+                own, _, score = matcher.match(ids, q, lowest, *longest)
+                floor, worst = lowest.copy(), np.full(len(q), np.iinfo(np.int64).max)
+                np.minimum.at(worst, own, score)
+                enough = np.bincount(own, minlength=len(q)) >= matcher.k
+                floor[enough] = worst[enough]
+                # The shortest candidate that could reach the threshold of some query, less the margin of the bounds.
+                length = np.sqrt((q.astype(float) ** 2).sum(axis=1))
+                reach = np.where((floor <= 0) | (length == 0), 0.0, (floor.astype(float) - 1e-5) / np.maximum(length, 1) * (1 - 1e-8)).min()
+                low = max(class_of(reach) - 1, 0)
+                yield pa.record_batch([part.column(1).slice(i, 1), part.column(2).slice(i, 1), part.column(3).slice(i, 1),
+                                       pa.array([floor.astype("<i8").tobytes()], pa.binary()),
+                                       pa.array([last[low] if low < len(last) else -1], pa.int32())],
+                                      names=["block", "q_ids", "q_data", "floor", "last"])
+
+    blocks = saved(queries.mapInArrow(run, "block long, q_ids binary, q_data binary, floor binary, last int"), "topk-blocks")
+    return blocks.where("last >= 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
+
+
 def top_k(rows: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE,
           seed: int = SEED_VECTORS, stripe: int = STRIPE, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best of all other rows.
 
     ``is_query`` is a condition on the id, as the column ``id``.
     """
-    spark = rows.sparkSession
     vectors = saved(quantised(rows, id_col, vec_col, scale), "topk-vectors")
     n, d, asked = vectors.agg(F.count("*"), F.max(F.size("v")), F.count(F.when(is_query, 1))).first()
-    if not asked or not d:
-        d = max(d or 0, 1)
-    axes, head = rotation(vectors, d)
-    longest = vectors.orderBy(F.col("len2").desc(), "id").limit(seed).select("id", "v").collect()
-    seed_ids = np.array([r["id"] for r in longest], np.int64)
-    seed_v = np.zeros((len(longest), d), np.int32)
+    d = max(d or 0, 1)
+    matcher = Matcher(*rotation(vectors, d), k)
+    longest = vectors.orderBy(F.col("length").desc(), "id").limit(seed).select("id", "v").collect()
+    seed_v = np.zeros((len(longest), d), np.int64)
     for i, r in enumerate(longest):
         seed_v[i, : len(r["v"])] = r["v"]
 
-    def thresholds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(axes, head, k)
-        for part in parts:
-            for i in range(part.num_rows):
-                ids, q = _unpacked(part.column(2)[i], part.column(3)[i], d)
-                own, _, score = matcher.match(ids, q, np.full(len(q), -np.inf), seed_ids, seed_v.astype(np.int64))
-                floor = np.full(len(q), float(-(2 ** 62)))
-                worst = np.full(len(q), 2.0 ** 62)
-                np.minimum.at(worst, own, score.astype(float))
-                enough = np.bincount(own, minlength=len(q)) >= k
-                floor[enough] = worst[enough]
-                yield pa.record_batch([part.column(1).slice(i, 1), part.column(2).slice(i, 1), part.column(3).slice(i, 1),
-                                       pa.array([floor.astype("<f8").tobytes()], pa.binary())],
-                                      names=["block", "q_ids", "q_data", "floor"])
-
-    stripes = max(1, -(-n // stripe))
-    blocks = packed(vectors.where(is_query), block, max(1, -(-asked // block)), d).mapInArrow(
-        thresholds, "block long, q_ids binary, q_data binary, floor binary")
-    cells = saved(blocks, "topk-blocks").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
-    meets = cells.join(saved(packed(vectors, stripe, stripes, d), "topk-stripes"), "part")
+    stripes = saved(packed(vectors, stripe, max(1, -(-n // stripe)), d), "topk-stripes")
+    queries = packed(vectors.where(is_query), block, max(1, -(-asked // block)), d)
+    some = cells(queries, stripes, matcher, (np.array([r["id"] for r in longest], np.int64), seed_v), d)
     schema = pa.schema([("q_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(axes, head, k)
         for part in parts:
             for i in range(part.num_rows):
                 q_ids, q = _unpacked(part.column(1)[i], part.column(2)[i], d)
                 c_ids, c = _unpacked(part.column(4)[i], part.column(5)[i], d)
-                floor = np.frombuffer(part.column(3)[i].as_py(), "<f8")
+                floor = np.frombuffer(part.column(3)[i].as_py(), "<i8")
                 own, ids, score = matcher.match(q_ids, q, floor, c_ids, c)
                 yield pa.record_batch([pa.array(own + part.column(0)[i].as_py() * block), pa.array(q_ids[own]), pa.array(ids), pa.array(score)], schema=schema)
 
-    found = meets.select("block", "q_ids", "q_data", "floor", "ids", "data").mapInArrow(run, "q_row long, query_id long, vec_id long, score long")
+    found = (some.join(stripes.select("part", "ids", "data"), "part").select("block", "q_ids", "q_data", "floor", "ids", "data")
+             .mapInArrow(run, "q_row long, query_id long, vec_id long, score long"))
     order = Window.partitionBy("q_row").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _unpacked(ids: pa.Scalar, data: pa.Scalar, d: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids.as_py(), "<i8"), np.frombuffer(data.as_py(), "<i4").reshape(-1, d).astype(np.int64)
+    return np.frombuffer(ids.as_py(), "<i8"), np.frombuffer(data.as_py(), "<i8").reshape(-1, d)

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,9 +43,52 @@ def test_repeated_rows_are_candidates_each(spark):
     assert got == [(0, 1, 1, 8192), (0, 2, 1, 8192), (0, 3, 2, 4096)]
 
 
-def test_huge_components_count_as_the_limit(spark):
-    got = run(spark, [(0, [1.0], "a", 0), (1, [1e30], "a", 0), (2, [-1e30], "a", 0)])
-    assert got == [(0, 1, 1, 64 << 24), (0, 2, 2, -(64 << 24))]
+def test_components_of_any_size_count_as_they_are(spark):
+    got = run(spark, [(0, [1.0, 0.0], "a", 0), (1, [300_000.0, 0.0], "a", 0), (2, [400_000.0, 0.0], "a", 0)])
+    assert got == [(0, 1, 2, 64 * 64 * 400_000), (0, 2, 1, 64 * 64 * 300_000)]
+
+
+def test_large_components_against_python_integers(spark):
+    rng = random.Random(3)
+    size = lambda: rng.choice((1, 1e3, 1e7, 1e12, 1e15))
+    vectors = [(i, [float(np.float32(rng.gauss(0, 1) * size())) for _ in range(5)]) for i in range(1, 200)]
+    vectors = [(i, v if i % 5 else [rng.randrange(-2, 3) / 64 for _ in v]) for i, v in vectors]
+    # scores beyond 2**53 that differ by one
+    vectors += [(0, [2.0 ** -6, 2.0 ** -6, 0.0, 0.0, 0.0]), (301, [2.0 ** 50, 2.0 ** -6, 0.0, 0.0, 0.0]), (302, [2.0 ** 50, 2.0 ** -5, 0.0, 0.0, 0.0])]
+    got = run(spark, [(i, v, "x", 0) for i, v in vectors], k=7, seed=10, stripe=32, block=8)
+    assert got == sorted(brute.top_k([(i, whole(v)) for i, v in vectors], 7, lambda q: q % 5 == 0))
+
+
+def test_sums_may_wrap_on_the_way(spark):
+    big = 2.0 ** 25     # 2**31 after quantising: two products fill 64 bits
+    rows = [(0, [big] * 3), (1, [big, big, -1.75 * big]), (2, [-big, big, 0.0])]
+    assert run(spark, [(i, v, "a", 0) for i, v in rows]) == sorted(brute.top_k([(i, whole(v)) for i, v in rows], 20, lambda q: q == 0))
+
+
+@pytest.mark.parametrize("rows", [[(0, [1.0]), (1, [1e30])], [(0, [1e15]), (1, [1e15])]])
+def test_what_does_not_fit_is_an_error_that_names_the_row(spark, rows):
+    with pytest.raises(Exception, match="1.*does not fit 64 bits"):
+        run(spark, [(i, v, "a", 0) for i, v in rows])
+
+
+def test_blocks_meet_only_the_stripes_that_can_matter(spark):
+    """A few long vectors, many short ones: the threshold of the long ones rules most stripes out."""
+    rng = random.Random(1)
+    vectors = [(i, [rng.gauss(0, 1) * (100 if i < 200 else 1) for _ in range(4)]) for i in range(4000)]
+    vectors = [(i, [float(np.float32(x)) for x in v]) for i, v in vectors]
+    seen = []
+    cells = topk.cells
+    topk.cells = lambda *a: seen.append(cells(*a)) or seen[-1]
+    try:
+        got = run(spark, [(i, v, "x", 0) for i, v in vectors], k=5, seed=50, stripe=100, block=50)
+    finally:
+        topk.cells = cells
+    blocks, stripes = 800 // 50, 4000 // 100
+    assert seen[0].count() < blocks * stripes / 4
+    assert got == sorted(brute.top_k([(i, whole(v)) for i, v in vectors if i < 200], 5, lambda q: q % 5 == 0)) + [r for r in got if r[0] >= 200]
+    for q in (200, 2000, 3995):
+        scores = sorted((-sum(a * b for a, b in zip(whole(dict(vectors)[q]), whole(v))), i) for i, v in vectors if i != q)[:5]
+        assert [r[1:] for r in got if r[0] == q] == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
 
 
 def test_empty(spark):
