@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 import zstandard
 
@@ -77,29 +78,54 @@ def substring_dedup(docs, window=50):
     return out
 
 
-def quality(text):
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)."""
-    text = text or ""
+#: (bytes below which, lowest, highest ratio), then the lowest and highest ratio of a chunk.
+WIDE = (((128, 0.30, 1.30), (256, 0.33, 1.00), (512, 0.30, 0.90), (768, 0.28, 0.85), (1024, 0.26, 0.80), (1536, 0.24, 0.75),
+         (2048, 0.24, 0.70), (3072, 0.22, 0.66), (4096, 0.22, 0.64), (5120, 0.20, 0.62), (6144, 0.20, 0.61), (8192, 0.20, 0.60),
+         (12288, 0.20, 0.59), (16384, 0.20, 0.58), (32768, 0.18, 0.57), (1 << 62, 0.15, 0.56)), (0.15, 0.64))
+
+
+def ratios(text):
+    """The ratio of the whole text, and those of its chunks: every 4,096 bytes, the last one the last 4,096."""
+    raw, pack = (text or "").encode(), zstandard.ZstdCompressor(level=3)
+    starts = list(range(0, len(raw) - 4096, 4096)) + [len(raw) - 4096] if len(raw) > 4096 else []
+    return len(pack.compress(raw)) / max(len(raw), 1), [len(pack.compress(raw[i:i + 4096])) / 4096 for i in starts]
+
+
+def base_failed(text):
     w = words(text)
     windows = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
     repeat = {j for i in range(len(w) - 2) if windows[tuple(w[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return len(w) < 50 or 100 * len(repeat) > 50 * len(w), len(repeat)
+
+
+def quality(text, bands=WIDE):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)."""
+    text = text or ""
+    w, (failed, repeat) = words(text), base_failed(text)
     lines = [x for x in text.split("\n") if words(x)]
-    failed = len(w) < 50 or 100 * len(repeat) > 50 * len(w)
-    raw, pack = text.encode(), zstandard.ZstdCompressor(level=3)
-    ratio = len(pack.compress(raw)) / max(len(raw), 1)
-    bands = ((128, 0.30, 1.30), (256, 0.33, 1.00), (512, 0.36, 0.85), (1024, 0.34, 0.80), (2048, 0.32, 0.70),
-             (4096, 0.30, 0.64), (8192, 0.28, 0.60), (16384, 0.27, 0.58), (1 << 62, 0.25, 0.56))
-    low, high = next(b[1:] for b in bands if len(raw) < b[0])
-    good = low <= ratio <= high
-    if len(raw) > 4096:
-        for i in range(0, len(raw), 4096):
-            chunk = raw[i:i + 4096]
-            if len(chunk) >= 2048:
-                good = good and 0.27 <= len(pack.compress(chunk)) / len(chunk) <= 0.64
-    return (len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeat),
+    ratio, chunks = ratios(text)
+    low, high = next(b[1:] for b in bands[0] if len(text.encode()) < b[0])
+    good = low <= ratio <= high and all(bands[1][0] <= x <= bands[1][1] for x in chunks)
+    return (len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), repeat,
             failed, not failed and good)
 
 
+def fit_bands(docs, labels):
+    """Bands of (doc_id, text) rows for {doc_id: quality}: the clean texts' 1st and
+    99th percentiles per class of 20 or more, less 60 and plus 25 per cent."""
+    clean = [t or "" for d, t in docs if labels.get(d) == 1 and not base_failed(t)[0]]
+    whole, chunks = [], []
+    for i, (top, low, high) in enumerate(WIDE[0]):
+        inside = [ratios(t)[0] for t in clean if (WIDE[0][i - 1][0] if i else 0) <= len(t.encode()) < top]
+        if len(inside) >= 20:
+            low, high = np.percentile(inside, 1) * (1 - 0.6), np.percentile(inside, 99) * (1 + 0.25)
+        whole.append((top, low, high))
+    chunks = [x for x in (ratios(t)[1] for t in clean) if x]
+    if len(chunks) < 20:
+        return tuple(whole), WIDE[1]
+    return tuple(whole), (np.percentile([min(x) for x in chunks], 1) * (1 - 0.6), np.percentile([max(x) for x in chunks], 99) * (1 + 0.25))
+
+
 def line_dedup(docs, min_sites):
     """(doc_id, text, removed positions) of (doc_id, text, site) rows with unique ids."""
     sites, first = defaultdict(set), {}

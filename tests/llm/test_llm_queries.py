@@ -30,9 +30,19 @@ def test_query_matches_sql(spark, name):
     assert not problems and n > 0
 
 
-def test_quality_query(spark, documents):
-    got = sorted(tuple(r) for r in op4_quality_rules(spark, SF).collect())
-    assert got == sorted((d, *brute.quality(t)) for d, t, _ in documents)
+def fitted(spark, sf, documents):
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    return brute.fit_bands([(d, t) for d, t, _ in documents], labels)
+
+
+def test_quality_query(spark):
+    """On all of sf0.01, where most classes have clean texts enough to be fitted."""
+    sf = "/root/testdata/sf0.01"
+    docs = [(r["doc_id"], r["text"], None) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    bands = fitted(spark, sf, docs)
+    assert sum(a != b for a, b in zip(bands[0], brute.WIDE[0])) >= 4 and bands[1] != brute.WIDE[1]
+    got = sorted(tuple(r) for r in op4_quality_rules(spark, sf).collect())
+    assert got == sorted((d, *brute.quality(t, bands)) for d, t, _ in docs)
 
 
 def test_simhash_query(spark, documents):
@@ -41,7 +51,8 @@ def test_simhash_query(spark, documents):
 
 
 def test_pipeline(spark, documents):
-    docs = [d for d in documents if brute.quality(d[1])[-1]]
+    bands = fitted(spark, SF, documents)
+    docs = [d for d in documents if brute.quality(d[1], bands)[-1]]
     source = {d: s for d, _, s in docs}
     docs = [(d, t, source[d]) for d, t, _ in brute.line_dedup(docs, 8)]
     docs = [x for x, (d, _, first) in zip(docs, brute.near_duplicates([x[:2] for x in docs])) if d == first]
