@@ -45,7 +45,7 @@ from linkgraph.llm.common import byte_texts, saved, terms
 from linkgraph.operators.numbering import numbered
 
 K = 20
-BLOCK_DOCS, BLOCK_POSTINGS = 16_384, 1 << 20
+BLOCK_DOCS, BLOCK_POSTINGS = 8192, 1 << 19
 QUERY_TERMS = 200_000     # distinct terms of the items that go to the tasks at a time
 UNIT = 1_000_000_000
 
