@@ -200,6 +200,17 @@ def parsed(record: bytes) -> tuple:
     return None if page == b"null" else int(page), size, digest, kind, int(refers[1]) if refers else None, payload
 
 
+def of_records(loose: DataFrame) -> DataFrame:
+    """The pieces (file, until, row) of records whose head tells where they end.
+
+    After a break in a chain no record begins, and all rows up to the end of the
+    file share one ``until``, which no head names: they go before anything is
+    gathered. A group that stays is no larger than its own head says.
+    """
+    heads = loose.where("row.head").select("file", "until").distinct()
+    return loose.join(heads, ["file", "until"], "left_semi")
+
+
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, payload)
     of the records reached from the start of each file under ``path``.
@@ -273,7 +284,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     loose = found.where("piece is not null").join(entered.drop("entry"), ["file", "split"]).select(
         "file", F.coalesce(F.col("base") + F.col("next"), F.col("until")).alias("until"),
         F.struct((F.col("base") + F.col("at")).alias("at"), F.col("next").isNotNull().alias("head"), "piece").alias("row"))
-    groups = loose.groupBy("file", "until").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    groups = of_records(loose).groupBy("file", "until").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     spread = groups.select("until", "rows").mapInArrow(run_joined, names)
     columns = [n for n, _ in fields]
     return found.where("record_type is not null").select(*columns).unionByName(spread)

@@ -88,6 +88,30 @@ def test_what_no_chain_reaches_is_no_record(spark, tmp_path, junk, left):
     assert [r[0] for r in back(spark, str(tmp_path))[0]] == [*left, 2, 4]
 
 
+@pytest.mark.parametrize("damage", ["longer", "shorter", "cut", "no length"])
+def test_a_break_gathers_nothing_that_follows(spark, tmp_path, small_splits, monkeypatch, damage):
+    """A large archive broken in its second split: the records before the break, and no group beyond one record."""
+    records = [record(i, f"page {i} " * 60) for i in range(120)]
+    head, _, rest = records[2].partition("Content-Length: ")
+    size, _, tail = rest.partition("\r\n")
+    records[2] = {"longer": f"{head}Content-Length: {int(size) + 7}\r\n{tail}", "shorter": f"{head}Content-Length: {int(size) - 7}\r\n{tail}",
+                  "cut": records[2][:-40], "no length": f"{head}Length: {size}\r\n{tail}"}[damage]
+    path = tmp_path / "w"
+    path.mkdir()
+    (path / "a.warc").write_bytes("".join(records).encode())
+    (path / "b.warc").write_bytes("".join(record(1000 + i, record(99, "b" * 600) * 3) for i in range(30)).encode())
+    small_splits(1400)
+    seen, of_records = [], warc.of_records
+    monkeypatch.setattr(warc, "of_records", lambda loose: seen.append((loose, of_records(loose))) or seen[-1][1])
+    rows, _ = back(spark, str(path))
+    assert sorted(r[0] for r in rows) == [0, 1, *range(1000, 1030)]
+    loose, kept = seen[0]
+    size_of = lambda df: [(r["file"][-6:], r["n"]) for r in df.selectExpr("file", "until", "length(row.piece) + 8 AS n").groupBy("file", "until").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()]
+    assert max(n for f, n in size_of(loose) if f == "a.warc") > 40_000        # what one task would have gathered
+    assert max((n for f, n in size_of(kept) if f == "a.warc"), default=0) <= 2000
+    assert 0 < max(n for f, n in size_of(kept) if f == "b.warc") <= 3000
+
+
 def test_repeated_rows_and_empty(spark, tmp_path):
     rows = [(1, "u", "x" * 150), (1, "v", "x" * 150), (2, "u", "x" * 150)]
     warc.write_archives(frame(spark, rows), str(tmp_path / "w"))
