@@ -96,6 +96,60 @@ def test_other_names(name):
     assert found(f'{name} = "{A}"') == []
 
 
+P = "otter violin ladder mosaic"
+
+
+@pytest.mark.parametrize("text,literals", [
+    (f'pwd = """{A}"""', [A]), (f"pwd = '''\n  {A}\n'''\n", [A]), (f'pwd = """{A}\n  {B}\n"""', [f"{A}\n  {B}"]),
+    (f'user, pwd = "root", "{A}"', [A]), (f'pwd, user = "{A}", "{B}"\n', [A]), (f"const [user, pwd] = ['root', '{A}'];", [A]),
+    (f'user, pwd := "root", "{A}" // note\n', [A]), (f'user, pwd = get("x"), "{A}"\n', [A]), (f'f(user, pwd="{A}", n=3)', [A]),
+    (f'connect(\n  user, pwd="{A}",\n  n=3)', [A]), (f'user, part = "root", "{A}"\nsecret_value = part', [A]),
+    (f'pwd = ("{A}"\n       "{B}")', [A, B]), (f'pwd = (\n  "{A}" +\n  "{B}"\n)', [A, B]), (f'pwd = "{A}" +\n  "{B}";', [A, B]),
+    (f'pwd = "{A}"\n  + "{B}";', [A, B]),
+    (f'#define DB_PWD "{A}"\n', [A]), (f'# define PART "{A}"\nconst char *pwd = PART;', [A]),
+    (f"<private-key>{A}</private-key>", [A]), (f'<db:pwd type="x">\n {A}\n</db:pwd>', [A]), (f"<pwd><![CDATA[{A}]]></pwd>", [A]),
+    (f'<add key="Pwd" value="{A}"/>', [A]), (f"<add value='{A}' name='Pwd' />", [A]), (f'<property name="db.pwd">{A}</property>', [A]),
+    (f'<script>var pwd = "{A}"</script>', [A]),
+    (f"private_key: |\n  -----BEGIN RSA PRIVATE KEY-----\n  MIIEow\n  {A}==\n  -----END RSA PRIVATE KEY-----\nother: 1\n",
+     [f"-----BEGIN RSA PRIVATE KEY-----\n  MIIEow\n  {A}==\n  -----END RSA PRIVATE KEY-----"]),
+    (f"a:\n  - pwd: >-  # note\n      {A}\n    name: {B}\n", [A]), (f"app: |\n  pwd={A}\n", [A]), (f"pwd: |\r\n  {A}\r\n", [A]),
+    (f'"pwd"\n  : "{A}"', [A]), (f'pwd\n    = "{A}";', [A]), (f'pwd:\n  "{A}"\n', [A]), (f'pwd = \\\n  "{A}"', [A]),
+    (f'conn = "Server=db;User Id=sa;Pwd={A};Encrypt=no"', [A]), (f'dsn = "host=db pwd = {A} port=1"', [A]), (f'u = "http://h/?n=1&auth={A}&m=2"', [A]),
+    (f'auth = "Bearer {A}"', [f"Bearer {A}"]), (f'passphrase = "{P}"', [P]), (f"seed_phrase: '{P}'", [P]),
+])
+def test_forms_over_lines_and_markup(text, literals):
+    assert found(text) == literals or sorted(found(text)) == sorted(literals)
+
+
+@pytest.mark.parametrize("text", [
+    f'user, name = "{A}", "{B}"', f'pwd, user = get(), "{A}"', f'#define USER "{A}"', f"<user>{A}</user>", f'<add key="User" value="{A}"/>',
+    f'<add key="Pwd" value=""/>{A}', f"<pwd>{A}</user>", f"<pwd>{A}", f"description: |\n  {A}\npwd: |\nother: {A}\n", f'pwd:\n"{A}": 1\n',
+    f'conn = "Server={A};User={B}"', 'password = "please enter the password"', 'passphrase = "three small words"', 'pwd = "too many of your words"',
+    'auth = "Basic authentication"', 'pwd = "Mixed Case Title Words Here"', f'passphrase = "{P} {P}"', 'pwd = """"""', 'pwd = ("', "pwd = (\n", "pwd: |",
+    "pwd: |\n\n", f"Pwd\n: see {A} and more", "key_phrase = 'Zx9Qw7Lm2Pk4'", 'pwd = """\nLong Text of 3 lines\n and one Word\n"""',
+])
+def test_forms_that_hold_no_secret(text):
+    assert found(text) == []
+
+
+def test_the_end_of_a_docstring_is_no_value():
+    assert found(f'def f():\n    """Raises:\n    """\n\npwd = "{A}"\n"""End."""') == [A]
+
+
+def test_a_pair_inside_a_pair_adds_nothing():
+    text = f'auth_string = "Pwd={A}"'
+    assert [(text[a:b], k) for a, b, k in secrets.secret_spans(text)] == [(f"Pwd={A}", "pair")]
+
+
+@pytest.mark.parametrize("unit", ['a="""', "a='''x", 'a="""\\', "pwd: |\n  ", "<a ", "<a b='", "<a>", "<pwd>x", "a,b=", "a, b = x,\n", "a, b = c(", "a=(\n", 'a\n=', "a=\n",
+                                  "#define a ", '#define a "', 'a="b=', "a = 'x" + "y" * 50, "pwd: |\n", 'a="x"\n+', "<a b='' ", 'a="x=y;', "a,", "a = b;"])
+def test_long_forms_are_linear(unit):
+    import time
+    start = time.time()
+    secrets.secret_spans("x: " + unit * (400_000 // len(unit)) + " = 'x'")
+    assert time.time() - start < 10
+
+
 def test_pairs_inside_base_spans_add_nothing():
     text = f'password = "{A}"\nsession_token_key = "{A} "'
     assert [s[2] for s in secrets.secret_spans(text)] == ["assign"]
