@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--split", type=int, default=DEFAULT_SPLIT, help="most distinct targets of a vertex in one bucket of links")
     ap.add_argument("--state", default=None, metavar="DIR", help="folder that keeps the prepared graph and the last rounds, to resume from")
     ap.add_argument("--tol", type=float, default=None, help="stop after the round whose L1 change is below this")
+    ap.add_argument("--active", action="store_true", help="with --tol: only vertices whose rank still changes send it on")
     ap.add_argument("--exclude", action="append", default=[], metavar="NAME", help="leave a name out of the top K (repeatable)")
     ap.add_argument("--drop-rejected-lines", action="store_true", help="keep no text of rejected lines")
     ap.add_argument("--decimals", type=int, default=None,
@@ -82,7 +83,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         run = run_rank(prep, alpha=args.alpha, iterations=args.iterations, trace=True, n=args.n,
                        n_records=graph.n_records() if args.n == "records" else None,
-                       tol=args.tol, snapshots=args.ranks_out, state=args.state)
+                       tol=args.tol, snapshots=args.ranks_out, state=args.state, active=args.active)
         ranks = finish(prep, run.ranks, args.universe)
     finally:
         prep.release()

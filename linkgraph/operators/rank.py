@@ -55,7 +55,7 @@ from ..session import checkpoint_root, remove_path, scratch_path, sized_shuffles
 from ..sources import manifest, write_rank_snapshot
 from .graph import Graph, edge_pairs, node_table
 from .numbering import numbered, with_numbers
-from .rounds import Checkpoints, RoundLog
+from .rounds import ROUND_SCHEMA, Checkpoints, RoundLog
 
 # Most distinct targets one (source, bucket) group holds before the source is split.
 DEFAULT_SPLIT = 1 << 16
@@ -347,6 +347,48 @@ def rank_step(prep: PreparedGraph, ranks: DataFrame, n: float, alpha: float = AL
     return sums.select("vid", "nb", new.alias("rank"), "prev")
 
 
+# A round in which only changed vertices send also keeps what each vertex has
+# sent so far and the sum that has reached it, as whole numbers.
+ACTIVE_SCHEMA = f"{ROUND_SCHEMA}, sent double, u bigint, f bigint"
+
+
+def active_start(prep: PreparedGraph, n: float) -> DataFrame:
+    """Round 0 of the active set: nothing sent, nothing received."""
+    none = F.lit(0).cast("bigint")
+    return initial_ranks(prep, n).select("vid", "nb", "rank", "prev", F.lit(0.0).alias("sent"), none.alias("u"), none.alias("f"))
+
+
+def sends(n: float, bound: float) -> Column:
+    """Whether a vertex's rank is off what it has sent by more than its part of
+    ``bound``: the rank itself or 1/N, so the parts of all vertices total 2 * ``bound``."""
+    return (F.col("nb") > 0) & (F.abs(F.col("rank") - F.col("sent")) > F.lit(bound) * (F.col("rank") + F.lit(1.0 / n)))
+
+
+def active_step(prep: PreparedGraph, ranks: DataFrame, n: float, alpha: float, delta: float, bound: float) -> DataFrame:
+    """One round, ``(vid, nb, rank, prev, sent, u, f)``, in which a vertex
+    sends the difference to what it has sent before, if it is large enough.
+
+    Differences are summed exactly in the units of :func:`exact_sum`, on top of
+    the sum that each vertex keeps, so no rounding builds up over the rounds.
+    """
+    sending = sends(n, bound)
+    changes = ranks.where(sending).select("vid", "nb", (F.col("rank") - F.col("sent")).alias("rank"))
+    units, rest = _units(F.col("c"), UNIT_BITS)
+    missing = F.lit(None).cast("double")
+    arriving = _carried(prep, changes).select(
+        F.col("dst_vid").alias("vid"), units.alias("u"), rest.alias("f"),
+        F.lit(None).cast("bigint").alias("nb"), missing.alias("prev"), missing.alias("sent"))
+    own = ranks.select("vid", "u", "f", "nb", F.col("rank").alias("prev"),
+                       F.when(sending, F.col("rank")).otherwise(F.col("sent")).alias("sent"))
+    sums = (arriving.unionByName(own).groupBy("vid")
+            .agg(F.sum("u").alias("u"), F.sum("f").alias("f"), F.max("nb").alias("nb"), F.max("prev").alias("prev"),
+                 F.max("sent").alias("sent"))
+            .select("vid", "nb", "prev", "sent", (F.col("u") + F.shiftright("f", REST_BITS)).alias("u"),
+                    F.col("f").bitwiseAND(F.lit((1 << REST_BITS) - 1)).alias("f")))
+    new = F.lit(alpha / n) + F.lit(1.0 - alpha) * (F.lit(delta / n) + _of_units(F.col("u"), F.col("f"), UNIT_BITS))
+    return sums.select("vid", "nb", new.alias("rank"), "prev", "sent", "u", "f")
+
+
 @dataclass
 class RankRun:
     ranks: DataFrame                 # (vid, nb, rank, prev), checkpointed
@@ -354,21 +396,22 @@ class RankRun:
     trace: list[Row] = field(default_factory=list)
 
 
-def _metrics(ranks: DataFrame, mass: float) -> dict:
+def _metrics(ranks: DataFrame, mass: float, **more: Column) -> dict:
     """One small aggregate over a round's N rows, never the edges; exact
     whatever tasks were retried. Its dangling mass is the next round's δ.
-    ``mass`` bounds the ranks' total."""
+    ``mass`` bounds the ranks' total; ``more``: further aggregates."""
     bits = unit_bits(2 * mass)
     change = F.abs(F.col("rank") - F.col("prev"))
     return ranks.agg(exact_sum(F.col("rank"), bits).alias("rank_sum"),
                      exact_sum(F.when(F.col("nb") == 0, F.col("rank")), bits).alias("dangling_mass"),
                      F.coalesce(F.max(change), F.lit(0.0)).alias("max_change"),
-                     exact_sum(change, bits).alias("l1_change")).first().asDict()
+                     exact_sum(change, bits).alias("l1_change"),
+                     *(c.alias(name) for name, c in more.items())).first().asDict()
 
 
 def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERATIONS,
              n: str = "all", n_records: int | None = None, tol: float | None = None,
-             trace: bool = False, snapshots: str | None = None, state: str | None = None) -> RankRun:
+             trace: bool = False, snapshots: str | None = None, state: str | None = None, active: bool = False) -> RankRun:
     """The fixed-count loop, with per-round trace and optional early stop.
 
     ``n='all'``: N = |V|; ``n='records'``: N = accepted records (``n_records``),
@@ -383,11 +426,21 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
     with ``state``). Every round is then committed to a log in it, and a run
     that finds a log of the same parameters goes on after its last round, with
     the same ranks as an unbroken run. More iterations than logged go on too.
+
+    ``active`` (with ``tol`` and ``n='all'``): a vertex sends only while its
+    rank is off what it has sent by over a quarter of ``tol`` in proportion
+    (:func:`sends`), and the run ends below half of ``tol``. All that is not
+    sent then totals half of ``tol`` at most, so the ranks before the last round
+    are ones that a full round would change by less than ``tol``: what the full
+    loop ends with as well. The trace gains ``senders``, the vertices that send
+    next, and ``sent_rows``, the rank rows that go to the edges for them.
     """
     if not 0.0 <= alpha <= 1.0:
         raise ValueError("alpha must lie in [0, 1]")
     if iterations < 0:
         raise ValueError("iterations must not be negative")
+    if active and (tol is None or tol <= 0 or n != "all"):
+        raise ValueError("active rounds need a tol above 0, and n='all'")
     if n == "all":
         size = float(prep.n_nodes)
     elif n == "records":
@@ -399,14 +452,20 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
     spark = prep.wedges.sparkSession
     if state and prep.state != state:
         raise ValueError("a logged run needs the graph that this state folder keeps")
-    log = RoundLog(spark, f"{state}/rounds") if state else Checkpoints()
-    given = {"alpha": alpha, "size": size}
+    log = RoundLog(spark, f"{state}/rounds", ACTIVE_SCHEMA if active else ROUND_SCHEMA) if state else Checkpoints()
+    active = active and size > 0
+    bound = min(tol, 1.0) / 4 if active else None      # of round 0, every vertex sends
+    stop = tol / 2 if active else tol
+    given = {"alpha": alpha, "size": size, "bound": bound}
+    more = {} if not active else {
+        "senders": F.count_if(sends(size, bound)),
+        "sent_rows": F.coalesce(F.sum(F.when(sends(size, bound), F.col("nb"))), F.lit(0).cast("bigint"))}
     rows: list[dict] = []
     mass = prep.n_nodes / size if size else 0.0      # bounds the ranks' total
 
     def kept(i: int, ranks: DataFrame) -> DataFrame:
         ranks = log.keep(i, ranks)
-        rows.append({"iteration": i, **_metrics(ranks, mass)})
+        rows.append({"iteration": i, **_metrics(ranks, mass, **more)})
         if snapshots and i:
             write_rank_snapshot(prep.named_in_place(ranks), snapshots, i)
         log.commit(i, {**given, "rounds": rows}, spark)
@@ -417,17 +476,18 @@ def run_rank(prep: PreparedGraph, alpha: float = ALPHA, iterations: int = ITERAT
     with sized_shuffles(spark, prep.n_pairs + prep.n_nodes):
         found = log.last()
         if found is None:
-            done, ranks = 0, kept(0, initial_ranks(prep, size))
+            done, ranks = 0, kept(0, active_start(prep, size) if active else initial_ranks(prep, size))
         else:
             done, was, ranks = found
-            if {k: was[k] for k in given} != given or done > iterations:
-                raise ValueError(f"the log in {state} is of another run: {done} rounds with {({k: was[k] for k in given})}")
+            if {k: was.get(k) for k in given} != given or done > iterations:
+                raise ValueError(f"the log in {state} is of another run: {done} rounds with {({k: was.get(k) for k in given})}")
             rows = was["rounds"]
-        while done < iterations and not (tol is not None and done and rows[-1]["l1_change"] < tol):
+        while done < iterations and not (stop is not None and done and rows[-1]["l1_change"] < stop):
             delta, total = rows[-1]["dangling_mass"], rows[-1]["rank_sum"]
             if size:
                 mass = alpha * prep.n_nodes / size + (1 - alpha) * (prep.n_nodes * delta / size + total)
-            ranks = kept(done + 1, rank_step(prep, ranks, size, alpha, delta, unit_bits(total)))
+            ranks = kept(done + 1, active_step(prep, ranks, size, alpha, delta, bound) if active
+                         else rank_step(prep, ranks, size, alpha, delta, unit_bits(total)))
             done += 1
     traced = [Row(**r) for r in rows[1:]]
     return RankRun(ranks, done, traced if trace or tol is not None else [])
@@ -447,7 +507,7 @@ def finish(prep: PreparedGraph, ranks: DataFrame, universe: str = "all") -> Data
 
 def rank_nodes(graph: Graph, alpha: float = ALPHA, iterations: int = ITERATIONS,
                n: str = "all", universe: str = "all", tol: float | None = None,
-               split: int = DEFAULT_SPLIT, partitions: int | None = None) -> DataFrame:
+               split: int = DEFAULT_SPLIT, partitions: int | None = None, active: bool = False) -> DataFrame:
     """The whole rank job: ``(id, rank)`` for every vertex after ``iterations`` rounds.
 
     ``universe='pages'`` keeps pages only in the result (ranks are computed on
@@ -456,7 +516,7 @@ def rank_nodes(graph: Graph, alpha: float = ALPHA, iterations: int = ITERATIONS,
     prep = prepare_graph(graph, split=split, partitions=partitions)
     try:
         recs = graph.n_records() if n == "records" else None
-        run = run_rank(prep, alpha, iterations, n=n, n_records=recs, tol=tol)
+        run = run_rank(prep, alpha, iterations, n=n, n_records=recs, tol=tol, active=active)
         return finish(prep, run.ranks, universe)
     finally:
         prep.release()

@@ -42,8 +42,8 @@ class Checkpoints:
 class RoundLog:
     """Rounds as tables under ``path``, each committed with its metrics."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.folder = spark, path, ""
+    def __init__(self, spark: SparkSession, path: str, schema: str = ROUND_SCHEMA):
+        self.spark, self.path, self.schema, self.folder = spark, path, schema, ""
 
     def last(self) -> tuple[int, dict, DataFrame] | None:
         """(round, what was committed with it, its ranks) of the last whole round."""
@@ -53,7 +53,7 @@ class RoundLog:
         return found["number"], found, self._read(found["folder"])
 
     def _read(self, folder: str) -> DataFrame:
-        return self.spark.read.schema(ROUND_SCHEMA).parquet(f"{self.path}/{folder}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}")
 
     def keep(self, number: int, ranks: DataFrame) -> DataFrame:
         self.folder = f"round-{number:010d}-{uuid.uuid4().hex[:8]}"

@@ -185,6 +185,39 @@ def until_tol_sql(tol: float, iterations: int = 10) -> str:
             f"SELECT id, round(rank, {ROUND}) AS rank, iterations FROM ({picks})")
 
 
+def active_sql(tol: float, iterations: int = 10) -> str:
+    """Rounds in which a vertex sends the difference to what it has sent, once that is over tol/4 in proportion;
+    the first round whose L1 change is below tol/2 (else the last), with the number of vertices that would send next."""
+    n = "(SELECT n FROM nn)"
+
+    def sends(r: str) -> str:
+        return (f"({r}.id IN (SELECT src FROM outs) AND abs({r}.rank - {r}.sent) > "
+                f"CAST({tol / 4!r} AS DOUBLE) * ({r}.rank + CAST(1 AS DOUBLE) / {n}))")
+
+    ctes = [f"a0 AS MATERIALIZED (SELECT id, CAST(1 AS DOUBLE) / {n} AS prev, CAST(1 AS DOUBLE) / {n} AS rank, "
+            f"CAST(0 AS DOUBLE) AS sent, CAST(0 AS DOUBLE) AS c FROM nodes)"]
+    for i in range(1, iterations + 1):
+        p = f"a{i - 1}"
+        ctes.append(f"""
+    c{i} AS MATERIALIZED (
+        SELECT p.id, p.rank AS prev, CASE WHEN {sends('p')} THEN p.rank ELSE p.sent END AS sent, p.c + coalesce(x.s, 0.0) AS c
+        FROM {p} p LEFT JOIN (
+            SELECT pr.dst AS id, sum((pr.mult / o.out_degree) * (r.rank - r.sent)) AS s
+            FROM pairs pr JOIN outs o ON o.src = pr.src JOIN {p} r ON r.id = pr.src WHERE {sends('r')} GROUP BY pr.dst) x ON x.id = p.id),
+    a{i} AS MATERIALIZED (
+        SELECT id, prev, CAST({ALPHA!r} AS DOUBLE) / {n} + CAST({1 - ALPHA!r} AS DOUBLE)
+               * ((SELECT coalesce(sum(p.rank), 0.0) FROM {p} p JOIN nodes q ON p.id = q.id WHERE q.dangling) / {n} + c) AS rank, sent, c
+        FROM c{i})""")
+    l1 = " UNION ALL ".join(f"SELECT {i} AS it, sum(abs(rank - prev)) AS l1, (SELECT count(*) FROM a{i} s WHERE {sends('s')}) AS senders FROM a{i}"
+                            for i in range(1, iterations + 1))
+    stop = f"per_round AS ({l1}), stop AS (SELECT coalesce(min(it) FILTER (l1 < {tol / 2!r}), {iterations}) AS it FROM per_round)"
+    picks = " UNION ALL ".join(f"SELECT id, rank, CAST({i} AS BIGINT) AS iterations FROM a{i} WHERE (SELECT it FROM stop) = {i}"
+                               for i in range(1, iterations + 1))
+    return (f"WITH {trade_prefix()}, {graph_ctes('trade_edges')}, {', '.join(ctes)}, {stop}\n"
+            f"SELECT id, round(rank, {ROUND}) AS rank, iterations, CAST(senders AS BIGINT) AS senders "
+            f"FROM ({picks}) JOIN per_round ON it = iterations")
+
+
 def parity_sql() -> str:
     r0 = ("r0 AS MATERIALIZED (SELECT id, CASE WHEN is_page THEN CAST(1 AS DOUBLE) / (SELECT n FROM nrec) "
           "ELSE 0.0 END AS rank FROM nodes)")
@@ -270,6 +303,7 @@ def queries() -> dict[str, str]:
     q["rank_snapshot"] = q["rank_10"]
     q["rank_trace"] = trace_sql()
     q["rank_until_tol"] = until_tol_sql(TOL)
+    q["rank_active_set"] = active_sql(ACTIVE_TOL)
     top = f"SELECT id AS name, rank FROM r10 ORDER BY rank DESC, id LIMIT 100"
     q["top_100"] = (f"WITH {trade_prefix()}, {graph_ctes('trade_edges')}, {rank_ctes(10)}\n"
                     f"SELECT name, round(rank, {r}) AS rank FROM ({top})")
@@ -284,3 +318,5 @@ def queries() -> dict[str, str]:
 
 # Early-stop threshold of the ``rank_until_tol`` query (L1 change between rounds).
 TOL = 2e-3
+# Tolerance of ``rank_active_set``.
+ACTIVE_TOL = 4e-3

@@ -24,6 +24,7 @@ from .jobs import ingest_lines, ingest_pages
 
 ROUND = 10
 TOL = 2e-3          # early stop of ``rank_until_tol``: L1 change between rounds
+ACTIVE_TOL = 4e-3   # tolerance of ``rank_active_set``
 EXCLUDED = ["S1", "S2", "S3", "S10", "C1"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +224,17 @@ def rank_until_tol(spark, sf_dir):
     return ranks.select("id", _r("rank"), F.lit(run.iterations).cast("bigint").alias("iterations"))
 
 
+def rank_active_set(spark, sf_dir):
+    prep = R.prepare_graph(trade_graph(spark, sf_dir))
+    try:
+        run = R.run_rank(prep, tol=ACTIVE_TOL, trace=True, active=True)
+        ranks = R.finish(prep, run.ranks)
+    finally:
+        prep.release()
+    return ranks.select("id", _r("rank"), F.lit(run.iterations).cast("bigint").alias("iterations"),
+                        F.lit(run.trace[-1]["senders"] if run.trace else 0).cast("bigint").alias("senders"))
+
+
 def top_100(spark, sf_dir):
     return top_k(R.rank_nodes(trade_graph(spark, sf_dir)), 100).select("name", _r("rank"))
 
@@ -272,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "rank_snapshot": rank_snapshot,              # S4
     "rank_trace": rank_trace,                    # A6, G6
     "rank_until_tol": rank_until_tol,            # G7
+    "rank_active_set": rank_active_set,          # G7
     # top-k
     "top_100": top_100,                          # T1–T4, P12
     "top_100_exclude": top_100_exclude,          # P13

@@ -199,6 +199,56 @@ def test_exact_sums_keep_small_shares_and_large_totals(spark):
     assert R.unit_bits(1.0) == 60 and R.unit_bits(0.0) == 60 and R.unit_bits(5.0) == 57
 
 
+# --- active set --------------------------------------------------------------------------
+
+def test_active_rounds_end_within_tol_and_send_less(spark):
+    from test_rank import brute_force
+
+    edges, tol = links(spark, n=900, vertices=300), 1e-4
+    prep = R.prepare_graph(Graph(edges), split=2)
+    at_rest = brute_force([tuple(r) for r in edges.collect()], [], iterations=200)
+    full = R.run_rank(prep, iterations=60, tol=tol)
+    run = R.run_rank(prep, iterations=60, tol=tol, active=True)
+    got = ranked(prep.named(run.ranks))
+    assert run.iterations < 60 and got.keys() == at_rest.keys()
+    # either loop ends with ranks that a full round changes by less than tol
+    assert sum(abs(got[v] - at_rest[v]) for v in at_rest) < tol / 0.15
+    assert sum(abs(r - got[v]) for v, r in ranked(prep.named(full.ranks)).items()) < 2 * tol / 0.15
+    senders = [r["senders"] for r in run.trace]
+    assert senders[-1] < senders[0] / 2 and all(r["sent_rows"] >= r["senders"] for r in run.trace)
+    assert abs(run.trace[-1]["rank_sum"] - 1) < tol
+    prep.release()
+    exact = {p: ranked(R.rank_nodes(Graph(edges), tol=1e-3, iterations=30, active=True, partitions=p)) for p in (1, 5)}
+    assert exact[1] == exact[5]                                # to the bit
+
+
+def test_active_rounds_resume_and_check_their_parameters(spark, tmp_path):
+    state, graph = str(tmp_path / "s"), Graph(links(spark))
+    prep = R.prepare_graph(graph, state=state)
+    want = R.run_rank(prep, iterations=40, tol=1e-6, active=True)
+    R.run_rank(prep, iterations=3, tol=1e-6, active=True, state=state)
+    run = R.run_rank(prep, iterations=40, tol=1e-6, active=True, state=state, trace=True)
+    assert run.iterations == want.iterations and ranked(prep.named(run.ranks)) == ranked(prep.named(want.ranks))
+    assert [r.asDict() for r in run.trace] == [r.asDict() for r in want.trace]
+    for other in ({}, {"tol": 1e-6}, {"tol": 1e-4, "active": True}):
+        with pytest.raises(ValueError, match="another run"):
+            R.run_rank(prep, iterations=40, state=state, **other)
+    for wrong in ({}, {"tol": 0.0}, {"tol": 1e-3, "n": "records", "n_records": 3}):
+        with pytest.raises(ValueError, match="active"):
+            R.run_rank(prep, active=True, **wrong)
+    prep.release()
+
+
+def test_active_rounds_of_odd_graphs(spark):
+    def graph(rows, pages=None):
+        return Graph(spark.createDataFrame(rows, "src string, dst string"),
+                     None if pages is None else spark.createDataFrame([(p,) for p in pages], "id string"))
+    assert R.rank_nodes(graph([]), tol=0.1, active=True).count() == 0
+    assert ranked(R.rank_nodes(graph([("a", "a")]), tol=5.0, active=True)) == pytest.approx({"a": 1.0})
+    assert ranked(R.rank_nodes(graph([("a", "b"), ("b", "a")]), tol=1e-9, active=True)) == pytest.approx({"a": 0.5, "b": 0.5})
+    assert ranked(R.rank_nodes(graph([], ["a", "b"]), tol=1e-9, active=True)) == pytest.approx({"a": 0.5, "b": 0.5})
+
+
 # --- large k -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("k", [11, 400, 999, 1000, 5000])
