@@ -20,6 +20,25 @@ def test_round_trip(turns):
             assert whole[start:stop] == text  # what does not conflict is not touched
 
 
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.tuples(ROLE, st.one_of(TEXT, st.just("word " * 12))), max_size=5), st.lists(st.integers(0, 200), max_size=12))
+def test_pieces_cut_anywhere(turns, cuts):
+    whole = "".join(chat.render_turn(r, t) for r, t in turns)
+    reader, read = chat.Reader(), []
+    for a, b in zip([0, *sorted(cuts)], [*sorted(cuts), len(whole)]):
+        read += reader.feed(whole[a:b])
+    reader.close()
+    assert read == list(chat.parse(whole)) and [x[:2] for x in read] == turns
+
+
+def test_one_character_at_a_time_is_linear():
+    reader, n = chat.Reader(), 0
+    for c in chat.render_turn("user", "a\\ </s> " * 30_000) * 2:
+        n += len(list(reader.feed(c)))
+    reader.close()
+    assert n == 2
+
+
 def test_levels():
     assert chat.render_turn("assistant", "plain") == "<s>plain</s>"
     assert chat.render_turn("user", "a </s> b") == "[INST] a \\</s> b [/INST]"
@@ -52,6 +71,20 @@ def test_conversations(spark):
     assert run(spark, []) == []
 
 
+def test_rows_of_a_conversation_may_be_cut_anywhere(spark):
+    turns = [("user", "hi [INST]"), ("assistant", "</s> \\"), ("tool", "x" * 50), ("assistant", "end")]
+    whole = "".join(chat.render_turn(r, t) for r, t in turns)
+    columns = "conv_id long, turn long, role string, text string, formatted string"
+
+    def read(pieces):
+        return chat.read_back(spark.createDataFrame([(1, i, "", "", p) for i, p in enumerate(pieces)], columns)).collect()
+
+    aligned = read([chat.render_turn(r, t) for r, t in turns])
+    assert read([whole]) == read([whole[i:i + 7] for i in range(0, len(whole), 7)]) == aligned and aligned[0]["n_turns"] == 4
+    with pytest.raises(Exception, match="conversation 1: "):
+        read([whole, "<s>no end"])
+
+
 def test_long_conversation_and_text(spark):
     rows = [(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(3000)] + [(2, 0, "assistant", "</s>" * 200_000)]
     got = run(spark, rows)
