@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from linkgraph.llm.common import saved
+from linkgraph.session import remove_path, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,23 +16,31 @@ def components(links: DataFrame) -> DataFrame:
     the logarithm of the longest chain. A round shuffles links by id; an id with
     very many neighbours is never gathered: its minimum is a partial aggregate,
     written before it is joined back, so that the join is plain and its hot side
-    can be split. Each round is written to the shared folder.
+    can be split. Each round is written to the shared folder, and what it was made
+    from is removed once its links are written, so two rounds lie there at most.
     """
-    edges = saved(_oriented(links.select("src", "dst")), "components")
+    spark = links.sparkSession
+    edges, path = written(_oriented(links.select("src", "dst")), "components")
     mark = _mark(edges)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         # Large star: src's smallest neighbour (or itself) gets the larger ones.
-        least = saved(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("root")), "components-least")
+        used = [path]
+        least, path = written(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("root")), "components-least")
+        used.append(path)
         large = (both.where("dst > src").join(least, "src")
                  .select(F.col("dst").alias("src"), F.col("root").alias("dst")))
-        edges = saved(_oriented(large), "components")
+        edges, path = written(_oriented(large), "components")
+        used.append(path)
         # Small star: src's smaller neighbours, and src, hook to the smallest.
-        least = saved(edges.groupBy("src").agg(F.min("dst").alias("root")), "components-least")
+        least, path = written(edges.groupBy("src").agg(F.min("dst").alias("root")), "components-least")
+        used.append(path)
         hooked = edges.join(least, "src").select(
             F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("root").alias("b")),
                               F.struct(F.col("dst").alias("a"), F.col("root").alias("b")))).alias("e"))
-        edges = saved(_oriented(hooked.select(F.col("e.a").alias("src"), F.col("e.b").alias("dst"))), "components")
+        edges, path = written(_oriented(hooked.select(F.col("e.a").alias("src"), F.col("e.b").alias("dst"))), "components")
+        for old in used:
+            remove_path(spark, old)
         before, mark = mark, _mark(edges)
         if mark == before:
             break

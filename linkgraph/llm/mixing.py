@@ -19,7 +19,8 @@ source has two levels: sums of buckets of the order key (a fixed prefix of a
 hash, as long as needed for small buckets), then rows within a bucket, so a
 source with a third of all rows is spread over its buckets. Sources are
 weighed by their rank in code point order; ranks come from a range-partitioned
-sort. The number of sources never matters to the driver, which sees counts only.
+sort, targets from a prefix sum over another one. The number of sources never
+matters to the driver, which sees a few sums per partition.
 
 Cases: a null or blank text has size 0 and is never taken; a null source is a
 source of its own, last in order; repeated rows count each; a null id sorts as
@@ -38,6 +39,7 @@ from linkgraph.llm.common import SPACES, WORD_GAP, saved, word_count
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 BUCKET_ROWS = 20_000
+WIDE = "decimal(38,0)"
 
 #: Weight schedules, one per entry of WEIGHTS: (t, relative weight) knots. Heavy
 #: sources open the training and fade, light ones come in towards its end.
@@ -85,30 +87,48 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
     return parts.withColumn("rank", F.create_map(*before)[F.col("part")] + within).drop("part")
 
 
+def _two(caps: int, weights: int) -> Column:
+    return F.struct(F.lit(str(caps)).cast(WIDE).alias("caps"), F.lit(str(weights)).cast(WIDE).alias("weights"))
+
+
 def targets(sources: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """(source, source_size) with weight class and ``target`` words, as a double.
 
-    Each pass caps the sources that the present level puts above ``most`` times
-    their size; the level only rises, so passes end when none is left.
+    A rising level reaches the sources' caps (``most`` times their size) in
+    order of cap per weight, so those it caps are the first ones in that order:
+    one prefix sum over the distinct ratios finds them, however many there are.
     """
     ranked = ranked_sources(sources)
+    unit = math.lcm(*weights)
     cls = (F.col("rank") % len(weights)).cast("int")
-    weighed = saved(ranked.withColumn("cls", cls).withColumn(
-        "weight", F.element_at(F.array(*[F.lit(w) for w in weights]), cls + 1).cast("long")), "mix-weights")
+    per_weight = F.element_at(F.array(*[F.lit(unit // w) for w in weights]), cls + 1).cast(WIDE)
     cap = F.lit(most) * F.col("source_size")
-    total = weighed.agg(F.sum("source_size")).first()[0] or 0
-    rest, weight, capped = total, None, F.lit(False)
-    while True:
-        held = weighed.agg(F.sum(F.when(capped, cap)), F.sum(F.when(~capped, F.col("weight")))).first()
-        now = (total - (held[0] or 0), held[1] or 0)
-        if now == (rest, weight):
-            break
-        rest, weight = now
-        # Above its cap: weight * rest / weights left > cap, in whole numbers.
-        wide = "decimal(38,0)"
-        capped = cap.cast(wide) * F.lit(weight).cast("decimal(19,0)") < F.col("weight").cast(wide) * F.lit(rest).cast("decimal(19,0)")
+    weighed = saved(ranked.withColumns({
+        "cls": cls, "weight": F.element_at(F.array(*[F.lit(w) for w in weights]), cls + 1).cast("long"),
+        "ratio": cap.cast(WIDE) * per_weight}), "mix-weights")
+    total, every = (x or 0 for x in weighed.agg(F.sum("source_size"), F.sum("weight")).first())
+
+    # Sources of equal ratio are capped together, so many of them are one row here.
+    steps = weighed.groupBy("ratio").agg(F.sum(cap).cast(WIDE).alias("caps"), F.sum("weight").cast(WIDE).alias("weights"))
+    steps = saved(steps.repartitionByRange("ratio").withColumn("part", F.spark_partition_id()), "mix-steps")
+    before, caps, held = [F.lit(-1), _two(0, 0)], 0, 0
+    for r in steps.groupBy("part").agg(F.sum("caps"), F.sum("weights")).orderBy("part").collect():
+        before += [F.lit(r[0]), _two(caps, held)]
+        caps, held = caps + int(r[1]), held + int(r[2])
+    within = Window.partitionBy("part").orderBy("ratio").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.create_map(*before)[F.col("part")]
+    none = F.lit(0).cast(WIDE)
+    spent = (offset["caps"] + F.coalesce(F.sum("caps").over(within), none)).cast(WIDE)
+    gone = (offset["weights"] + F.coalesce(F.sum("weights").over(within), none)).cast(WIDE)
+    # Below the level that is left once all before are capped: ratio / unit < rest / weights left, in whole numbers.
+    short = "decimal(19,0)"
+    reached = (F.col("ratio") * (F.lit(every).cast(WIDE) - gone).cast(short)
+               < F.lit(unit).cast(short) * (F.lit(total).cast(WIDE) - spent).cast(WIDE))
+    full = steps.withColumn("reached", reached).where("reached").agg(F.sum("caps"), F.sum("weights"), F.max("ratio")).first()
+    rest, weight = total - int(full[0] or 0), every - int(full[1] or 0)
+    capped = F.col("ratio") <= F.lit(-1 if full[2] is None else full[2]).cast(WIDE)
     share = (F.col("weight") * F.lit(rest)).cast("double") / F.lit(max(weight, 1)).cast("double")
-    return weighed.withColumn("target", F.when(capped, cap.cast("double")).otherwise(share))
+    return weighed.withColumn("target", F.when(capped, cap.cast("double")).otherwise(share)).drop("ratio")
 
 
 def sizes(docs: DataFrame) -> DataFrame:

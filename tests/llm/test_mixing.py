@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 
@@ -30,6 +31,24 @@ def test_plan_equals_brute_force(spark, sources):
     assert all(abs(n - target) < 1 for (_, target), n in taken.items())
 
 
+@pytest.mark.parametrize("weights,most", [((5, 2, 1), 3), ((7, 3), 2), ((1,), 1)])
+@pytest.mark.parametrize("sizes", [[3 ** i for i in range(30)], [1] * 200 + [10 ** 6], [0] * 40, [5, 0, 0, 10 ** 15, 7], []])
+def test_targets_equal_rounds_of_capping(spark, sizes, weights, most):
+    sources = [(f"s{i:04d}", n) for i, n in enumerate(sizes)]
+    got = mixing.targets(spark.createDataFrame(sources, "source string, source_size long"), weights, most).collect()
+    weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(sources)}
+    size, capped = dict(sources), set()
+    while True:  # cap what lies above the level, share the rest anew, until nothing does
+        rest = sum(sizes) - sum(most * size[s] for s in capped)
+        left = sum(weight[s] for s in size if s not in capped)
+        more = {s for s in size if s not in capped and most * size[s] < Fraction(weight[s] * rest, max(left, 1))}
+        if not more:
+            break
+        capped |= more
+    want = {s: float(most * size[s]) if s in capped else float(weight[s] * rest) / float(max(left, 1)) for s in size}
+    assert {r["source"]: r["target"] for r in got} == want
+
+
 def test_positions_follow_demand(spark):
     docs = documents(random.Random(1), 600, ["a", "b", "c"])
     rows = [(c["t"], c["words"], r["source"], r["target"]) for r in mixing.plan(frame(spark, docs)).collect() for c in r["copies"]]
