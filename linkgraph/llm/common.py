@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkgraph.session import scratch_path
+from linkgraph.session import remove_path, written
 
 #: White space that ends a word: space and U+0009 to U+000D, nothing else.
 #: ``bytes.split()`` splits at exactly these characters.
@@ -26,9 +28,36 @@ def saved(df: DataFrame, kind: str) -> DataFrame:
     Cuts the lineage: what reads the result survives the loss of any executor
     without recomputing ``df``.
     """
-    path = scratch_path(df.sparkSession, kind)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return saved_at(df, kind)[0]
+
+
+def saved_at(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
+    """As ``saved``, with the path, for tables that can go before the job ends."""
+    out, path = written(df, kind)
+    paths = _PATHS.get()
+    if paths is not None:
+        paths.append(path)
+    return out, path
+
+
+_PATHS: ContextVar[list[str] | None] = ContextVar("saved_paths", default=None)
+
+
+@contextmanager
+def saved_tables_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes what ``saved`` writes inside the block once the block ends, also by an error.
+
+    Results that are to live on have to be written by then, by other means:
+    what is still lazy loses what it reads.
+    """
+    paths: list[str] = []
+    token = _PATHS.set(paths)
+    try:
+        yield
+    finally:
+        _PATHS.reset(token)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def word_count(text: Column) -> Column:

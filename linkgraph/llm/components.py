@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from linkgraph.session import remove_path, written
+from linkgraph.llm.common import saved_at
+from linkgraph.session import remove_path
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,25 +21,25 @@ def components(links: DataFrame) -> DataFrame:
     from is removed once its links are written, so two rounds lie there at most.
     """
     spark = links.sparkSession
-    edges, path = written(_oriented(links.select("src", "dst")), "components")
+    edges, path = saved_at(_oriented(links.select("src", "dst")), "components")
     mark = _mark(edges)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         # Large star: src's smallest neighbour (or itself) gets the larger ones.
         used = [path]
-        least, path = written(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("root")), "components-least")
+        least, path = saved_at(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("root")), "components-least")
         used.append(path)
         large = (both.where("dst > src").join(least, "src")
                  .select(F.col("dst").alias("src"), F.col("root").alias("dst")))
-        edges, path = written(_oriented(large), "components")
+        edges, path = saved_at(_oriented(large), "components")
         used.append(path)
         # Small star: src's smaller neighbours, and src, hook to the smallest.
-        least, path = written(edges.groupBy("src").agg(F.min("dst").alias("root")), "components-least")
+        least, path = saved_at(edges.groupBy("src").agg(F.min("dst").alias("root")), "components-least")
         used.append(path)
         hooked = edges.join(least, "src").select(
             F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("root").alias("b")),
                               F.struct(F.col("dst").alias("a"), F.col("root").alias("b")))).alias("e"))
-        edges, path = written(_oriented(hooked.select(F.col("e.a").alias("src"), F.col("e.b").alias("dst"))), "components")
+        edges, path = saved_at(_oriented(hooked.select(F.col("e.a").alias("src"), F.col("e.b").alias("dst"))), "components")
         for old in used:
             remove_path(spark, old)
         before, mark = mark, _mark(edges)

@@ -13,8 +13,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", ".."))
 import corpus_pipeline  # noqa: E402
 import sentencepiece  # noqa: E402
 from compare import compare, duck  # noqa: E402
+from linkgraph.llm.common import saved, saved_tables_removed  # noqa: E402
 from linkgraph.llm.oracle import ORACLE  # noqa: E402
 from linkgraph.llm.queries import QUERIES, op4_quality_rules, op6_simhash, tokenizer_path  # noqa: E402
+from linkgraph.session import checkpoint_root  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,6 +52,20 @@ def test_simhash_query(spark, documents):
     assert got == sorted(brute.near_duplicates([(d, t) for d, t, _ in documents]))
 
 
+def _folder(spark):
+    return checkpoint_root(spark).removeprefix("file:")
+
+
+def test_saved_tables_are_removed_on_errors_too(spark):
+    before = set(os.listdir(_folder(spark)))
+    kept = saved(spark.range(3).toDF("id"), "outside")
+    with pytest.raises(ValueError), saved_tables_removed(spark):
+        assert saved(spark.range(5).toDF("id"), "inside").count() == 5
+        raise ValueError
+    (left,) = set(os.listdir(_folder(spark))) - before
+    assert left.startswith("outside-") and kept.count() == 3
+
+
 def test_pipeline(spark, documents):
     bands = fitted(spark, SF, documents)
     docs = [d for d in documents if brute.quality(d[1], bands)[-1]]
@@ -66,7 +82,10 @@ def test_pipeline(spark, documents):
             spans = list(brute.WORD.finditer(text[d]))
             cut = model.encode(text[d][:spans[taken % size - 1].end()], add_bos=True, add_eos=True)
             want.append((d, len(cut), cut))
+    before = set(os.listdir(_folder(spark)))
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, SF).collect()) == sorted(want)
+    (left,) = {d for d in os.listdir(_folder(spark)) if not d.startswith("rdd-")} - before
+    assert left.startswith("pipeline-source_mix-")  # what the lazy result reads; all else is removed
 
 
 def test_stages_return_the_columns_of_documents(spark):

@@ -1,11 +1,14 @@
 import itertools
+import os
 import random
 
 import numpy as np
 import pytest
 
 import brute
-from linkgraph.llm import components, simhash
+from linkgraph.llm import simhash
+from linkgraph.llm.components import components
+from linkgraph.session import checkpoint_root
 
 SCHEMA = "doc_id long, text string, fp string, bucket int, root int"
 
@@ -49,7 +52,7 @@ def test_dense_fingerprints_split_their_bucket(spark):
     fps = [0] + [1 << b for b in range(64)] + [(1 << b) | 7 << 40 for b in range(20)]
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
     links = simhash.fingerprint_links(df, 2, 4)
-    label = {r["id"]: r["root"] for r in components.components(links).collect()}
+    label = {r["id"]: r["root"] for r in components(links).collect()}
     expect = brute.clusters(len(fps), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 2)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     got = [label.get(s, s) for s in signed]
@@ -103,6 +106,15 @@ def test_components_of_chains_and_stars(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 40)] + [(500, 400), (400, 450)]
     rng.shuffle(links)
-    got = {r["id"]: r["root"] for r in components.components(spark.createDataFrame(links, "src long, dst long")).collect()}
+    got = {r["id"]: r["root"] for r in components(spark.createDataFrame(links, "src long, dst long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(40)}, 400: 400, 450: 400, 500: 400}
-    assert components.components(spark.createDataFrame([], "src long, dst long")).collect() == []
+    assert components(spark.createDataFrame([], "src long, dst long")).collect() == []
+
+
+def test_components_leave_one_round(spark):
+    folder = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "src long, dst long")
+    got = {r["id"]: r["root"] for r in components(chain).collect()}
+    assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
+    assert [d.split("-")[0] for d in set(os.listdir(folder)) - before] == ["components"]
