@@ -15,8 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkgraph.llm import lines, mixing, pieces, quality, simhash
-from linkgraph.llm.common import saved, table
+from linkgraph.llm.common import saved_tables_removed, table
 from linkgraph.llm.queries import tokenizer_path
+from linkgraph.session import remove_path, written
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -53,8 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what each returns is written and read again.
+
+    A stage's own tables and its predecessor's result go once its result is
+    written, so that the checkpoint folder holds two results at most.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with saved_tables_removed(spark):
+            docs, path = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            remove_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
