@@ -3,8 +3,10 @@ import os
 import random
 import string
 
+import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 import brute
 from linkgraph.llm import quality
@@ -48,6 +50,44 @@ def test_fitted_bands_follow_the_labelled_texts(spark):
     assert quality.fit_bands(frame, label(labels), sample=10) == quality.WIDE
 
 
+def test_a_fit_reads_every_labelled_text(spark):
+    """More clean texts than the 20,000 that a fit once stopped at, in the order in which it took them; the dense kind comes last."""
+    rng = random.Random(9)
+    kinds = [" ".join("".join(rng.choices("etaoinshr", k=rng.randrange(2, 8))) for _ in range(60)) for _ in range(40)]
+    dense = [" ".join(f"w{i % 30}" for i in range(j, j + 60)) + " " + " ".join(f"{j}x{i}" for i in range(60)) for j in range(8)]
+    ids = [r["id"] for r in spark.range(21_000).orderBy(F.xxhash64("id"), "id").collect()]
+    docs = [(d, dense[i % 8] if i >= 20_000 else kinds[i % 40]) for i, d in enumerate(ids)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = frame.select("doc_id", F.lit(1).alias("quality"))
+    bands = quality.fit_bands(frame, labels)
+    want = {}
+    for _, t in docs:
+        if not brute.base_failed(t)[0]:
+            size = len(t.encode())
+            number = next(i for i, b in enumerate(quality.WIDE.whole) if b[0] is None or size < b[0])
+            want.setdefault(number, []).append(brute.ratios(t)[0])
+    assert sum(map(len, want.values())) == len(docs)
+    for number, found in want.items():
+        assert bands.whole[number][1:] == pytest.approx((np.percentile(found, 1) * 0.4, np.percentile(found, 99) * 1.25), rel=1e-12)
+    read = []
+    quality._fitted, fitted = (lambda rows, *a: read.append(rows.count()) or fitted(rows, *a)), quality._fitted
+    try:
+        out = quality.judge_fitted(frame, labels)
+    finally:
+        quality._fitted = fitted
+    assert read == [len(docs)] and out.count() == len(docs)
+
+
+def test_fitted_verdicts_are_those_of_the_bands(spark):
+    rows = [(i, t) for i, t in enumerate(texts())] + [(None, "la la"), (3, "one")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(18)], "doc_id long, quality int")
+    want = quality.judge(frame, quality.fit_bands(frame, labels))
+    got = quality.judge_fitted(frame, labels)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_keep_good_keeps_rows_as_they_are(spark):
     rows = [(i, t, None, True) for i, t in enumerate(texts())]
     df = spark.createDataFrame(rows, "doc_id long, text string, ratio string, kept boolean")
