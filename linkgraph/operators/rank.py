@@ -296,26 +296,29 @@ def dangling_mass(ranks: DataFrame, bits: int = UNIT_BITS) -> DataFrame:
     return ranks.where(F.col("nb") == 0).agg(exact_sum(F.col("rank"), bits).alias("dangling_mass"))
 
 
-def _rank_rows_by_bucket(ranks: DataFrame) -> DataFrame:
+def _rank_rows_by_bucket(ranks: DataFrame, *more: str) -> DataFrame:
     return (ranks.where(F.col("nb") > 0)
             .select(F.col("vid").alias("src_vid"),
                     F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)).alias("bucket"),
-                    "rank"))
+                    "rank", *more))
 
 
-def _carried(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
-    """``(src_vid, dst_vid, c)``: rank carried along every compacted edge."""
-    rx = _rank_rows_by_bucket(ranks)
+def _carried(prep: PreparedGraph, ranks: DataFrame, *more: str) -> DataFrame:
+    """``(src_vid, dst_vid, c)``: rank carried along every compacted edge, with
+    the columns ``more`` of the rank rows."""
+    rx = _rank_rows_by_bucket(ranks, *more)
     return (prep.wedges.join(rx.hint("shuffle_hash"), ["src_vid", "bucket"])
-            .select("src_vid", "dst_vid", (F.col("w") * F.col("rank")).alias("c")))
+            .select("src_vid", "dst_vid", (F.col("w") * F.col("rank")).alias("c"), *more))
 
 
 def contributions(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
     """``(src, dst, contribution)``: rank carried along each compacted
-    edge, with vertex names (a diagnostic view; the rounds never name vertices)."""
+    edge, with vertex names (a diagnostic view; the rounds never name vertices).
+    A source's name comes along with its rank, so that edges move once, to their
+    targets' names."""
     names = prep.nodes.select("vid", "id")
-    return (_carried(prep, ranks)
-            .join(names.select(F.col("vid").alias("src_vid"), F.col("id").alias("src")), "src_vid")
+    named = ranks.join(names.withColumnRenamed("id", "src"), "vid")
+    return (_carried(prep, named, "src")
             .join(names.select(F.col("vid").alias("dst_vid"), F.col("id").alias("dst")), "dst_vid")
             .select("src", "dst", F.col("c").alias("contribution")))
 

@@ -17,7 +17,7 @@ from ..operators import graph as G
 from ..operators import rank as R
 from ..operators.records import split_records
 from ..operators.topk import format_ranked, top_k
-from ..session import checkpoint_root, scratch_path
+from ..session import checkpoint_root, scratch_path, written
 from ..sources import read_graph, read_lines, write_graph, write_ranked_text
 from .graphs import page_nav, table, trade_graph, wiki_lines
 from .jobs import ingest_lines, ingest_pages
@@ -142,11 +142,12 @@ def initial_rank(spark, sf_dir):
 # --- rank -------------------------------------------------------------------------------
 
 def _first_round(spark, sf_dir, build):
-    """Prepare the trade graph, build one result from r₀, checkpoint it and
-    release the edge table."""
-    prep = R.prepare_graph(trade_graph(spark, sf_dir))
+    """Prepare the trade graph, build one result from r₀, write it and release
+    the edge table, which is read once and so not cached. Written rather than
+    checkpointed: parquet takes a fraction of a checkpoint's bytes for a row per link."""
+    prep = R.prepare_graph(trade_graph(spark, sf_dir), cache_edges=False)
     try:
-        return build(prep, R.initial_ranks(prep, float(prep.n_nodes))).checkpoint()
+        return written(build(prep, R.initial_ranks(prep, float(prep.n_nodes))), "first-round")[0]
     finally:
         prep.release()
 

@@ -165,3 +165,15 @@ def test_release_removes_what_the_preparation_wrote(spark):
     assert len(local) == 3 and all(map(os.path.isdir, local))
     prep.release()
     assert not any(map(os.path.exists, local))
+
+
+def test_contributions_move_edges_once_and_are_written_as_a_table(spark):
+    from linkgraph.plans.queries import QUERIES
+
+    prep = R.prepare_graph(trade_graph(spark, SF), cache_edges=False)
+    plan = plan_nodes(R.contributions(prep, R.initial_ranks(prep, float(prep.n_nodes))))
+    over_edges = [n for n, p in plan if n.endswith("Join") and prep.table in p.toString()]
+    # the edge join, which brings the sources' names along, and that of the targets' names
+    assert len(over_edges) == 2
+    prep.release()
+    assert QUERIES["edge_contributions"](spark, SF).inputFiles()      # parquet, not a checkpoint's rows
