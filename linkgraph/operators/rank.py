@@ -10,11 +10,11 @@ Ranks total 1 in every round. The parity step is one round with N = accepted
 records, r₀ = 1/N on pages only and δ = 0.
 
 Preparation, once (:func:`prepare_graph`): repeated links are merged, every
-vertex gets a unique 64-bit id ``vid``, and the weighted edges
-``(src_vid, bucket, dst_vid, w)`` are written as a table bucketed by
-``(src_vid, bucket)`` (bucket count from the edge count) and cached with that
-layout. Names never travel through the rounds; they are joined back once at
-the end.
+vertex gets a unique 64-bit id ``vid``, and the weighted edges are written as
+rows ``(src_vid, bucket, w, dst_vids)``, the targets of one source that share a
+weight (a bounded number per row), in a table bucketed by ``(src_vid, bucket)``
+(bucket count from the edge count) and cached with that layout. Names never
+travel through the rounds; they are joined back once at the end.
 
 Plan per round (edges are never shuffled again):
 
@@ -22,7 +22,8 @@ Plan per round (edges are never shuffled again):
    shuffled to the bucketed edge table's layout and joined to it
    (shuffled hash join, ranks as the build side; never broadcast, as ranks
    grow with the graph);
-2. contributions ``w·rank`` are summed per target inside each task (exactly, see below), then one
+2. contributions ``w·rank`` are summed per target inside each task (exactly, see below; by
+   sorting a bounded number of links at a time, :mod:`.links`), then one
    exchange by vertex id brings them together with every vertex's own row
    (so vertices without in-links stay, at 0) — a co-group, without a join;
 3. the new ranks are checkpointed to the shared checkpoint folder, which cuts
@@ -54,6 +55,7 @@ from ..functions import ALPHA, ITERATIONS
 from ..session import checkpoint_root, remove_path, scratch_path, sized_shuffles, written
 from ..sources import manifest, write_rank_snapshot
 from .graph import Graph, edge_pairs, node_table
+from .links import LIST_SCHEMA, SUM_SCHEMA, link_lists, links_of_lists, sums_by_target
 from .numbering import numbered, with_numbers
 from .rounds import ROUND_SCHEMA, Checkpoints, RoundLog
 
@@ -86,7 +88,7 @@ def bucket_count(n_pairs: int, parallelism: int) -> int:
 class PreparedGraph:
     """Edges weighted and laid out once; vertices with their attributes."""
 
-    wedges: DataFrame      # (src_vid, bucket, dst_vid, w) bucketed by (src_vid, bucket)
+    wedges: DataFrame      # (src_vid, bucket, w, dst_vids) bucketed by (src_vid, bucket)
     nodes: DataFrame       # (id, out_degree, n_targets, n_sources, dangling, is_page, nb, vid), written
     n_nodes: int
     table: str
@@ -169,7 +171,7 @@ def reopen(spark, state: str, cache_edges: bool = True) -> PreparedGraph:
     at = {kind: f"{state}/graph/{found['folder']}/{kind}" for kind in ("nodes", "wedges")}
     nodes = with_numbers(spark.read.schema(found["node_schema"]).parquet(at["nodes"]), "vid")
     table, parts = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}", found["partitions"]
-    spark.sql(f"CREATE TABLE {table} (src_vid BIGINT, bucket BIGINT, dst_vid BIGINT, w DOUBLE) USING parquet "
+    spark.sql(f"CREATE TABLE {table} ({LIST_SCHEMA}) USING parquet "
               f"CLUSTERED BY (src_vid, bucket) INTO {parts} BUCKETS LOCATION '{at['wedges']}'")
     edges = spark.table(table)
     if cache_edges:
@@ -184,7 +186,7 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     * ``pairs(src, dst, mult)``: repeats merged (partial counts per task);
     * vertices with degree, bucket count ``nb`` and a dense number ``vid``
       (0 … N-1), written (which fixes the numbers for good);
-    * ``wedges(src_vid, bucket, dst_vid, w = mult/d(src))`` written as a table
+    * ``wedges(src_vid, bucket, w = mult/d(src), dst_vids)`` written as a table
       bucketed by ``(src_vid, bucket)`` into the checkpoint folder, so each
       round joins against it without moving an edge. The bucket count is
       ``partitions``, or derived from the edge count (:func:`bucket_count`),
@@ -233,13 +235,14 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     heavy = max(sizes["pairs"] // HOT_VERTICES, MIN_HOT_LINKS)
     hot = nodes.where((F.col("n_targets") > heavy) | (F.col("n_sources") > heavy))
     wedges = pairs.select("src", "dst", "mult")
-    wedges = _with_vids(wedges, "src", "dst", nodes.where(F.col("nb") > 0), hot,
-                        [F.col("vid").alias("src_vid"), F.col("out_degree"), F.col("nb")]).drop("src")
-    wedges = _with_vids(wedges, "dst", "src_vid", nodes, hot, [F.col("vid").alias("dst_vid")])
+    # Targets first: links then lie by their source, so they move on to the buckets as lists.
+    wedges = _with_vids(wedges, "dst", "src", nodes, hot, [F.col("vid").alias("dst_vid")]).drop("dst")
+    wedges = _with_vids(wedges, "src", "dst_vid", nodes.where(F.col("nb") > 0), hot,
+                        [F.col("vid").alias("src_vid"), F.col("out_degree"), F.col("nb")])
     wedges = wedges.select("src_vid",
                            F.pmod(F.xxhash64("dst_vid"), F.col("nb")).cast("bigint").alias("bucket"),
                            "dst_vid",
-                           (F.col("mult") / F.col("out_degree")).alias("w"))
+                           (F.col("mult") / F.col("out_degree")).alias("w")).mapInArrow(link_lists, LIST_SCHEMA)
     table = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}"
     paths.append(place("wedges"))
     with sized_shuffles(spark, sizes["pairs"]):
@@ -304,11 +307,18 @@ def _rank_rows_by_bucket(ranks: DataFrame, *more: str) -> DataFrame:
 
 
 def _carried(prep: PreparedGraph, ranks: DataFrame, *more: str) -> DataFrame:
-    """``(src_vid, dst_vid, c)``: rank carried along every compacted edge, with
-    the columns ``more`` of the rank rows."""
+    """``(src_vid, dst_vids, c)``: the rank ``c`` carried along each of the
+    compacted edges to ``dst_vids``, with the columns ``more`` of the rank rows."""
     rx = _rank_rows_by_bucket(ranks, *more)
     return (prep.wedges.join(rx.hint("shuffle_hash"), ["src_vid", "bucket"])
-            .select("src_vid", "dst_vid", (F.col("w") * F.col("rank")).alias("c"), *more))
+            .select("src_vid", "dst_vids", (F.col("w") * F.col("rank")).alias("c"), *more))
+
+
+def _arriving(prep: PreparedGraph, ranks: DataFrame, bits: int) -> DataFrame:
+    """``(vid, u, f)``: the shares that reach a vertex, summed per task."""
+    units, rest = _units(F.col("c"), bits)
+    return (_carried(prep, ranks).select("dst_vids", units.alias("u"), rest.alias("f"))
+            .mapInArrow(sums_by_target, SUM_SCHEMA))
 
 
 def contributions(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
@@ -319,6 +329,7 @@ def contributions(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
     names = prep.nodes.select("vid", "id")
     named = ranks.join(names.withColumnRenamed("id", "src"), "vid")
     return (_carried(prep, named, "src")
+            .select("src", "c", "dst_vids").mapInArrow(links_of_lists, "src string, c double, dst_vid bigint")
             .join(names.select(F.col("vid").alias("dst_vid"), F.col("id").alias("dst")), "dst_vid")
             .select("src", "dst", F.col("c").alias("contribution")))
 
@@ -327,13 +338,12 @@ def contribution_sums(prep: PreparedGraph, ranks: DataFrame, bits: int = UNIT_BI
     """``(vid, contrib_sum, nb, prev)`` for every vertex: the rank
     reaching it (0 without in-links) next to its bucket count and previous rank.
     ``bits``: :func:`unit_bits` of the ranks' total."""
-    units, rest = _units(F.col("c"), bits)
-    contrib = _carried(prep, ranks).select(
-        F.col("dst_vid").alias("vid"), units.alias("u"), rest.alias("f"),
-        F.lit(None).cast("bigint").alias("nb"), F.lit(None).cast("double").alias("prev"))
+    contrib = _arriving(prep, ranks, bits).select(
+        "vid", "u", "f", F.lit(None).cast("bigint").alias("nb"), F.lit(None).cast("double").alias("prev"))
     none = F.lit(0).cast("bigint")
     own = ranks.select("vid", none.alias("u"), none.alias("f"), "nb", F.col("rank").alias("prev"))
-    return (contrib.unionByName(own).groupBy("vid")
+    # Summed per task already, so what is left moves as it is and is summed once, behind the exchange.
+    return (contrib.unionByName(own).repartition("vid").groupBy("vid")
             .agg(F.sum("u").alias("u"), F.sum("f").alias("f"), F.max("nb").alias("nb"), F.max("prev").alias("prev"))
             .select("vid", _of_units(F.col("u"), F.col("f"), bits).alias("contrib_sum"), "nb", "prev"))
 
@@ -376,14 +386,12 @@ def active_step(prep: PreparedGraph, ranks: DataFrame, n: float, alpha: float, d
     """
     sending = sends(n, bound)
     changes = ranks.where(sending).select("vid", "nb", (F.col("rank") - F.col("sent")).alias("rank"))
-    units, rest = _units(F.col("c"), UNIT_BITS)
     missing = F.lit(None).cast("double")
-    arriving = _carried(prep, changes).select(
-        F.col("dst_vid").alias("vid"), units.alias("u"), rest.alias("f"),
-        F.lit(None).cast("bigint").alias("nb"), missing.alias("prev"), missing.alias("sent"))
+    arriving = _arriving(prep, changes, UNIT_BITS).select(
+        "vid", "u", "f", F.lit(None).cast("bigint").alias("nb"), missing.alias("prev"), missing.alias("sent"))
     own = ranks.select("vid", "u", "f", "nb", F.col("rank").alias("prev"),
                        F.when(sending, F.col("rank")).otherwise(F.col("sent")).alias("sent"))
-    sums = (arriving.unionByName(own).groupBy("vid")
+    sums = (arriving.unionByName(own).repartition("vid").groupBy("vid")
             .agg(F.sum("u").alias("u"), F.sum("f").alias("f"), F.max("nb").alias("nb"), F.max("prev").alias("prev"),
                  F.max("sent").alias("sent"))
             .select("vid", "nb", "prev", "sent", (F.col("u") + F.shiftright("f", REST_BITS)).alias("u"),
