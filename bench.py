@@ -61,7 +61,7 @@ def main() -> None:
     # 3. top-100 over the final ranks
     timed("top_100", lambda: top_k(prep.named(result.ranks), 100).collect())
     sizes = {"trade_links": trade_graph(spark, sf_dir).edges.count(),
-             "trade_compacted_links": prep.wedges.count(),
+             "trade_compacted_links": prep.n_pairs,
              "trade_vertices": prep.n_nodes, "edge_buckets": prep.partitions,
              "dump_lines": wiki.extracted.count(), "dump_links": wiki.links.count()}
     prep.release()

@@ -167,6 +167,8 @@ def reopen(spark, state: str, cache_edges: bool = True) -> PreparedGraph:
     found = manifest.read(spark, f"{state}/graph")
     if found is None:
         raise FileNotFoundError(f"no prepared graph was committed to {state}")
+    if found.get("links") != LIST_SCHEMA:
+        raise ValueError(f"the graph in {state} was prepared with another layout of its links; prepare it again in a new folder")
     checkpoint_root(spark)
     at = {kind: f"{state}/graph/{found['folder']}/{kind}" for kind in ("nodes", "wedges")}
     nodes = with_numbers(spark.read.schema(found["node_schema"]).parquet(at["nodes"]), "vid")
@@ -253,6 +255,7 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     if state:
         manifest.commit(spark, f"{state}/graph", 1, {
             "folder": folder, "partitions": parts, "n_nodes": n, "n_pairs": sizes["pairs"], "split": split,
+            "links": LIST_SCHEMA,
             "node_schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(paths[-2]).schema)})
         for path in paths[:-2]:     # the merged links are not needed any more
             remove_path(spark, path)

@@ -62,3 +62,15 @@ def test_a_round_joins_a_row_per_list_not_per_link(spark):
     got = {(ids[r["src_vid"]], ids[int(t)]): r["w"] for r in rows for t in np.frombuffer(r["dst_vids"], "<i8")}
     assert got == {(s, d): m / degree[s] for (s, d), m in Counter(pairs).items()}
     prep.release()
+
+
+def test_a_state_of_another_layout_is_an_error(spark, tmp_path, monkeypatch):
+    state, graph = str(tmp_path / "s"), Graph(spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string"))
+    prep = R.prepare_graph(graph, state=state)
+    prep.release()
+    again = R.prepare_graph(graph, state=state)
+    assert again.n_pairs == 2
+    again.release()
+    monkeypatch.setattr(R, "LIST_SCHEMA", "src_vid bigint, bucket bigint, dst_vid bigint, w double")
+    with pytest.raises(ValueError, match="another layout"):
+        R.prepare_graph(graph, state=state)
