@@ -21,6 +21,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # ``dst_vids``: target numbers of 8 bytes each, little-endian, so that a list moves and is kept as one value.
 LIST_SCHEMA = "src_vid bigint, bucket bigint, w double, dst_vids binary"
 SUM_SCHEMA = "vid bigint, u bigint, f bigint"
+# What moves to the vertices: a row per block of neighbouring vertex numbers (and task), with the
+# numbers and two sums of those met (``sums``), and for vertices' own rows their columns (``own``).
+BLOCK_SCHEMA = "block bigint, sums binary, own binary"
 # Links sorted at a time (a task of the round takes about 30 bytes for each).
 LINKS_AT_ONCE = 4 << 20
 # Rows, and links in lists, of one batch handed on.
@@ -125,3 +128,72 @@ def sums_by_target(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         sums = [target[starts], *(np.add.reduceat(_column(table, c)[row], starts) for c in ("u", "f"))]
         for a in range(0, len(starts), ROWS_OUT):
             yield pa.RecordBatch.from_arrays([pa.array(c[a:a + ROWS_OUT]) for c in sums], ["vid", "u", "f"])
+
+
+def _pieces(places: np.ndarray, *columns: np.ndarray) -> pa.Array:
+    """One value for each of ``places[i]:places[i + 1]``: that piece of every column, one after another."""
+    raw = [np.ascontiguousarray(c).view(np.uint8) for c in columns]
+    return pa.array([b"".join(r[8 * a:8 * b] for r in raw) for a, b in zip(places[:-1], places[1:])], pa.binary())
+
+
+def _blocks(size: int, vid: np.ndarray, u: np.ndarray, f: np.ndarray, *own: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``BLOCK_SCHEMA`` for columns in the order of ``vid``, which comes once."""
+    block = vid // size
+    starts = _starts(block)
+    places = np.append(starts, len(vid))
+    return pa.RecordBatch.from_arrays([pa.array(block[starts]), _pieces(places, vid, u, f), _pieces(places, *own)], ["block", "sums", "own"])
+
+
+def blocks_of_sums(size: int):
+    """:func:`sums_by_target`, its rows put together by blocks of ``size`` vertex numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sums_by_target(batches):
+            yield _blocks(size, *(batch.column(c).to_numpy() for c in ("vid", "u", "f")))
+    return run
+
+
+def blocks_of_rows(size: int):
+    """Vertices' own rows, ``(vid, u, f, ...)`` with further columns of 8 bytes, put together by blocks as well."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _chunks(batches, lambda b: b.num_rows):
+            order = np.argsort(_column(table, "vid"), kind="stable")
+            columns = [_column(table, c)[order] for c in table.column_names]
+            for a in range(0, len(order), ROWS_OUT):
+                yield _blocks(size, *(c[a:a + ROWS_OUT] for c in columns))
+    return run
+
+
+def rows_of_blocks(size: int, own: list[tuple[str, str]]):
+    """Rows of ``BLOCK_SCHEMA``, all those of a block in one task, to a row per vertex:
+    ``vid``, the sums of ``u`` and ``f``, and the columns ``own`` of its own row (null if it has none).
+
+    A task holds the sums and own columns of its blocks, about 8 bytes a value:
+    as much as those vertices' own rows take in the exchange.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}
+        for batch in batches:
+            for block, sums, rest in zip(*(batch.column(c).to_pylist() for c in ("block", "sums", "own"))):
+                if block not in held:
+                    held[block] = (np.zeros((2, size), np.int64), [np.zeros(size, t) for _, t in own], np.zeros((2, size), bool))
+                total, columns, met = held[block]
+                vid, u, f = np.frombuffer(sums, "<i8").reshape(3, -1)
+                at = vid - block * size
+                # A vertex comes once in a row, so that plain indexing adds each share.
+                total[0, at] += u
+                total[1, at] += f
+                met[0, at] = True
+                if rest:
+                    met[1, at] = True
+                    for column, piece in zip(columns, np.frombuffer(rest, "<i8").reshape(len(own), -1)):
+                        column[at] = piece.view(column.dtype)
+        for block in sorted(held):
+            total, columns, met = held.pop(block)
+            found = np.flatnonzero(met[0])
+            none = ~met[1, found] if not met[1, found].all() else None
+            for a in range(0, len(found), ROWS_OUT):
+                at, gap = found[a:a + ROWS_OUT], None if none is None else none[a:a + ROWS_OUT]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at + block * size), pa.array(total[0, at]), pa.array(total[1, at]), *(pa.array(c[at], mask=gap) for c in columns)],
+                    ["vid", "u", "f", *(name for name, _ in own)])
+    return run

@@ -55,7 +55,7 @@ from ..functions import ALPHA, ITERATIONS
 from ..session import checkpoint_root, remove_path, scratch_path, sized_shuffles, written
 from ..sources import manifest, write_rank_snapshot
 from .graph import Graph, edge_pairs, node_table
-from .links import LIST_SCHEMA, SUM_SCHEMA, link_lists, links_of_lists, sums_by_target
+from .links import BLOCK_SCHEMA, LIST_SCHEMA, blocks_of_rows, blocks_of_sums, link_lists, links_of_lists, rows_of_blocks
 from .numbering import numbered, with_numbers
 from .rounds import ROUND_SCHEMA, Checkpoints, RoundLog
 
@@ -69,6 +69,8 @@ MIN_EDGES_PER_BUCKET = 256 << 10
 # more than MIN_HOT_LINKS) is looked up apart when links get their vertex ids.
 HOT_VERTICES = 10_000
 MIN_HOT_LINKS = 1 << 12
+# Vertex numbers of a block: blocks per core, and their least and largest size.
+BLOCKS_PER_CORE, MIN_BLOCK, MAX_BLOCK = 32, 1 << 10, 1 << 16
 # Rows per bucket of the name table that snapshots are joined with.
 NAMES_PER_BUCKET = 2 << 20
 # Binary places of the two whole numbers that a share of rank is cut into. Sums
@@ -317,11 +319,30 @@ def _carried(prep: PreparedGraph, ranks: DataFrame, *more: str) -> DataFrame:
             .select("src_vid", "dst_vids", (F.col("w") * F.col("rank")).alias("c"), *more))
 
 
-def _arriving(prep: PreparedGraph, ranks: DataFrame, bits: int) -> DataFrame:
-    """``(vid, u, f)``: the shares that reach a vertex, summed per task."""
+def block_size(n_nodes: int, parallelism: int) -> int:
+    """Neighbouring vertex numbers that move together: enough blocks for all cores, none too small or large."""
+    return max(MIN_BLOCK, min(MAX_BLOCK, math.ceil(n_nodes / (BLOCKS_PER_CORE * max(parallelism, 1)))))
+
+
+def _moving(prep: PreparedGraph, ranks: DataFrame, bits: int, own: DataFrame, size: int) -> DataFrame:
+    """Rows of ``BLOCK_SCHEMA``: the shares of ``ranks``, summed per task, and the rows ``own``."""
     units, rest = _units(F.col("c"), bits)
-    return (_carried(prep, ranks).select("dst_vids", units.alias("u"), rest.alias("f"))
-            .mapInArrow(sums_by_target, SUM_SCHEMA))
+    shares = (_carried(prep, ranks).select("dst_vids", units.alias("u"), rest.alias("f"))
+              .mapInArrow(blocks_of_sums(size), BLOCK_SCHEMA))
+    return shares.unionByName(own.mapInArrow(blocks_of_rows(size), BLOCK_SCHEMA))
+
+
+def _met(prep: PreparedGraph, ranks: DataFrame, bits: int, own: DataFrame) -> DataFrame:
+    """The rows ``own``, ``(vid, u, f, ...)``, with the shares of ``ranks`` that
+    reach the vertex added to ``u`` and ``f``.
+
+    What meets at a vertex moves by blocks of neighbouring vertex numbers: a
+    value for all shares that a task has for a block, not a row per share.
+    """
+    size = block_size(prep.n_nodes, prep.wedges.sparkSession.sparkContext.defaultParallelism)
+    more = [(f.name, "<f8" if f.dataType.simpleString() == "double" else "<i8") for f in own.schema.fields[3:]]
+    return (_moving(prep, ranks, bits, own, size).repartition("block")
+            .mapInArrow(rows_of_blocks(size, more), own.schema))
 
 
 def contributions(prep: PreparedGraph, ranks: DataFrame) -> DataFrame:
@@ -341,13 +362,9 @@ def contribution_sums(prep: PreparedGraph, ranks: DataFrame, bits: int = UNIT_BI
     """``(vid, contrib_sum, nb, prev)`` for every vertex: the rank
     reaching it (0 without in-links) next to its bucket count and previous rank.
     ``bits``: :func:`unit_bits` of the ranks' total."""
-    contrib = _arriving(prep, ranks, bits).select(
-        "vid", "u", "f", F.lit(None).cast("bigint").alias("nb"), F.lit(None).cast("double").alias("prev"))
     none = F.lit(0).cast("bigint")
     own = ranks.select("vid", none.alias("u"), none.alias("f"), "nb", F.col("rank").alias("prev"))
-    # Summed per task already, so what is left moves as it is and is summed once, behind the exchange.
-    return (contrib.unionByName(own).repartition("vid").groupBy("vid")
-            .agg(F.sum("u").alias("u"), F.sum("f").alias("f"), F.max("nb").alias("nb"), F.max("prev").alias("prev"))
+    return (_met(prep, ranks, bits, own)
             .select("vid", _of_units(F.col("u"), F.col("f"), bits).alias("contrib_sum"), "nb", "prev"))
 
 
@@ -389,16 +406,11 @@ def active_step(prep: PreparedGraph, ranks: DataFrame, n: float, alpha: float, d
     """
     sending = sends(n, bound)
     changes = ranks.where(sending).select("vid", "nb", (F.col("rank") - F.col("sent")).alias("rank"))
-    missing = F.lit(None).cast("double")
-    arriving = _arriving(prep, changes, UNIT_BITS).select(
-        "vid", "u", "f", F.lit(None).cast("bigint").alias("nb"), missing.alias("prev"), missing.alias("sent"))
     own = ranks.select("vid", "u", "f", "nb", F.col("rank").alias("prev"),
                        F.when(sending, F.col("rank")).otherwise(F.col("sent")).alias("sent"))
-    sums = (arriving.unionByName(own).repartition("vid").groupBy("vid")
-            .agg(F.sum("u").alias("u"), F.sum("f").alias("f"), F.max("nb").alias("nb"), F.max("prev").alias("prev"),
-                 F.max("sent").alias("sent"))
-            .select("vid", "nb", "prev", "sent", (F.col("u") + F.shiftright("f", REST_BITS)).alias("u"),
-                    F.col("f").bitwiseAND(F.lit((1 << REST_BITS) - 1)).alias("f")))
+    sums = _met(prep, changes, UNIT_BITS, own).select(
+        "vid", "nb", "prev", "sent", (F.col("u") + F.shiftright("f", REST_BITS)).alias("u"),
+        F.col("f").bitwiseAND(F.lit((1 << REST_BITS) - 1)).alias("f"))
     new = F.lit(alpha / n) + F.lit(1.0 - alpha) * (F.lit(delta / n) + _of_units(F.col("u"), F.col("f"), UNIT_BITS))
     return sums.select("vid", "nb", new.alias("rank"), "prev", "sent", "u", "f")
 

@@ -74,3 +74,30 @@ def test_a_state_of_another_layout_is_an_error(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(R, "LIST_SCHEMA", "src_vid bigint, bucket bigint, dst_vid bigint, w double")
     with pytest.raises(ValueError, match="another layout"):
         R.prepare_graph(graph, state=state)
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 10])
+def test_shares_move_by_blocks_and_none_is_lost(size):
+    rnd = random.Random(8)
+    shares = [(np.array([rnd.randrange(60) for _ in range(rnd.randrange(9))], "<i8").tobytes(), rnd.randrange(1 << 50), rnd.randrange(99)) for _ in range(80)]
+    own = [(v, v, 1, v % 3, v / 7) for v in rnd.sample(range(50), 50)]      # vertices of 50 and above have no row of their own
+    moved = [*L.blocks_of_sums(size)(iter(batches(["dst_vids", "u", "f"], shares, 9))),
+             *L.blocks_of_rows(size)(iter(batches(["vid", "u", "f", "nb", "prev"], own, 11)))]
+    rnd.shuffle(moved)
+    want = {v: [u, f, nb, prev] for v, u, f, nb, prev in own}
+    for targets, u, f in shares:
+        for t in np.frombuffer(targets, "<i8").tolist():
+            row = want.setdefault(t, [0, 0, None, None])
+            row[0], row[1] = row[0] + u, row[1] + f
+    got = rows_of(L.rows_of_blocks(size, [("nb", "<i8"), ("prev", "<f8")])(iter(moved)))
+    assert {v: row for v, *row in got} == want and len(got) == len(want)
+
+
+def test_a_round_moves_a_row_per_block_not_per_share(spark, monkeypatch):
+    rnd = random.Random(4)
+    prep = R.prepare_graph(Graph(spark.createDataFrame([(f"v{rnd.randrange(3000)}", f"v{rnd.randrange(3000)}") for _ in range(20_000)], "src string, dst string")))
+    n, size = float(prep.n_nodes), R.block_size(prep.n_nodes, spark.sparkContext.defaultParallelism)
+    moved = R._moving(prep, R.initial_ranks(prep, n), R.UNIT_BITS, R.initial_ranks(prep, n).selectExpr("vid", "0L as u", "0L as f", "nb", "prev"), size)
+    met = moved.rdd.getNumPartitions() * (prep.n_nodes // size + 1)
+    assert moved.count() <= met < prep.n_nodes / 5
+    prep.release()
