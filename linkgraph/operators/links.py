@@ -69,6 +69,19 @@ def _sorted_by(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return both >> bits, both & ((1 << bits) - 1)
 
 
+def list_rows(starts: np.ndarray, dst: np.ndarray) -> Iterator[tuple[int, int, pa.Array]]:
+    """The lists of ``dst`` that begin at ``starts``, a bounded number at a time: from which to which, and their values."""
+    ends = np.append(starts[1:], len(dst))
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, min(a + ROWS_OUT, int(np.searchsorted(ends, starts[a] + LINKS_OUT, "right"))))
+        first = int(starts[a])
+        places = ((np.append(starts[a:b], ends[b - 1]) - first) * 8).astype(np.int32)
+        targets = np.ascontiguousarray(dst[first:ends[b - 1]], "<i8")
+        yield a, b, pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places), pa.py_buffer(targets)])
+        a = b
+
+
 def link_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``(src_vid, bucket, dst_vid, w)`` to ``LIST_SCHEMA``: the targets that
     a source reaches with one weight from one bucket."""
@@ -84,16 +97,9 @@ def link_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             by = at[np.lexsort((w[at], bucket[at], src[at]))]
             bucket[at], w[at], dst[at] = bucket[by], w[by], dst[by]
         starts = _starts(src, bucket, w)
-        ends = np.append(starts[1:], len(src))
-        a = 0
-        while a < len(starts):
-            b = max(a + 1, min(a + ROWS_OUT, int(np.searchsorted(ends, starts[a] + LINKS_OUT, "right"))))
-            at, first = starts[a:b], int(starts[a])
-            places = ((np.append(at, ends[b - 1]) - first) * 8).astype(np.int32)
-            targets = np.ascontiguousarray(dst[first:ends[b - 1]], "<i8")
-            lists = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places), pa.py_buffer(targets)])
+        for a, b, lists in list_rows(starts, dst):
+            at = starts[a:b]
             yield pa.RecordBatch.from_arrays([pa.array(src[at]), pa.array(bucket[at]), pa.array(w[at]), lists], ["src_vid", "bucket", "w", "dst_vids"])
-            a = b
 
 
 def _targets(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -43,20 +43,24 @@ many in-links is pre-aggregated in every task before the exchange.
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import ALPHA, ITERATIONS
 from ..session import checkpoint_root, remove_path, scratch_path, sized_shuffles, written
 from ..sources import manifest, write_rank_snapshot
+from . import blocks as B
 from .graph import Graph, edge_pairs, node_table
 from .links import BLOCK_SCHEMA, LIST_SCHEMA, blocks_of_rows, blocks_of_sums, link_lists, links_of_lists, rows_of_blocks
-from .numbering import numbered, with_numbers
+from .numbering import PLACE, numbered, with_numbers
 from .rounds import ROUND_SCHEMA, Checkpoints, RoundLog
 
 # Most distinct targets one (source, bucket) group holds before the source is split.
@@ -69,6 +73,8 @@ MIN_EDGES_PER_BUCKET = 256 << 10
 # more than MIN_HOT_LINKS) is looked up apart when links get their vertex ids.
 HOT_VERTICES = 10_000
 MIN_HOT_LINKS = 1 << 12
+# Blocks of names and links while a graph is prepared: links of each, and most blocks.
+LINKS_PER_BLOCK, MIN_LINKS_PER_BLOCK, MAX_LINK_BLOCKS = 1 << 20, 1 << 16, 1 << 16
 # Vertex numbers of a block: blocks per core, and their least and largest size.
 BLOCKS_PER_CORE, MIN_BLOCK, MAX_BLOCK = 32, 1 << 10, 1 << 16
 # Rows per bucket of the name table that snapshots are joined with.
@@ -159,6 +165,106 @@ def _with_vids(links: DataFrame, end: str, other: str, nodes: DataFrame, hot: Da
     return joined.withColumn("__found", found).select(*links.columns, "__found.*")
 
 
+def name_key(name) -> Column:
+    """The 64-bit key that names are numbered and links looked up by."""
+    return F.xxhash64(name)
+
+
+def link_blocks(n_links: int, parallelism: int) -> int:
+    """Blocks of names and links: about ``LINKS_PER_BLOCK`` links each, fewer where that leaves cores idle."""
+    by_cores = min(4 * max(parallelism, 1), math.ceil(n_links / MIN_LINKS_PER_BLOCK))
+    return max(1, min(MAX_LINK_BLOCKS, max(math.ceil(n_links / LINKS_PER_BLOCK), by_cores)))
+
+
+def _by_blocks(graph: Graph, split: int, path: str) -> tuple[DataFrame, DataFrame, list[str], list[str]] | None:
+    """Vertices, written to ``path``; weighted target lists; and the paths of the written links
+    and vertices, and of what only leads to the lists. ``None`` if two names share a key, or names are not strings.
+
+    See :mod:`.blocks`: names move once per task and block, links twice, as numbers.
+    """
+    spark = graph.edges.sparkSession
+    links = graph.edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    pages = None if graph.pages is None else graph.pages.select("id").where("id is not null")
+    if {links.schema[c].dataType for c in ("src", "dst")} | ({pages.schema["id"].dataType} if pages is not None else set()) != {StringType()}:
+        return None
+    mult = [F.coalesce(F.col("mult").cast("bigint"), F.lit(0).cast("bigint")).alias("mult")] if "mult" in links.columns else []
+    keyed = links.select("src", "dst", name_key("src").alias("src_key"), name_key("dst").alias("dst_key"), *mult).mapInArrow(B.keyed(), B.KEYED)
+    if pages is not None:
+        keyed = keyed.unionByName(pages.select("id", name_key("id").alias("key")).mapInArrow(B.keyed(listed=True), B.KEYED))
+    # Written rather than cached: read twice below, and survives a lost executor.
+    with sized_shuffles(spark, graph.links_hint or 0):
+        keyed, links_path = written(keyed, "links")
+    links, names = keyed.where("a is not null").select("a", "b", "c"), keyed.where("keys is not null").drop("a", "b", "c")
+    n_links = links.agg(F.coalesce(F.sum(F.octet_length("a")), F.lit(0))).first()[0] // 8
+    blocks = link_blocks(n_links, spark.sparkContext.defaultParallelism)
+    names, names_path = written(names.mapInArrow(B.names_by_block(blocks), B.NAMES_MOVING).repartitionById(blocks, "block")
+                                .mapInArrow(B.names_of_block, B.NAMES), "names")
+
+    # To the driver: a row per block.
+    counted = names.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("clash").alias("clash")).collect()
+    if any(r["clash"] for r in counted):
+        for path in (links_path, names_path):
+            remove_path(spark, path)
+        return None
+    sizes = np.zeros(blocks, np.int64)
+    for r in counted:
+        sizes[r["block"]] = r["n"]
+    offsets = np.cumsum(sizes) - sizes
+    # At most 2 * HOT_VERTICES vertices reach this share of all links.
+    heavy = max(n_links // HOT_VERTICES, MIN_HOT_LINKS)
+    top = names.where((F.col("outs") > heavy) | (F.col("ins") > heavy)).select("key", "block", "place").collect()
+    keys, vids = np.array([r["key"] for r in top], np.int64).view(np.uint64), np.array([offsets[r["block"]] + r["place"] for r in top], np.int64)
+    hot = B.Hot(keys[np.argsort(keys)], vids[np.argsort(keys)])
+
+    block_keys = names.select("key").mapInArrow(B.keys_of_names(blocks), B.LINKS_MOVING)
+    by_source = (links.mapInArrow(B.links_by_target(blocks, hot), B.LINKS_MOVING).unionByName(block_keys)
+                 .repartitionById(blocks, "block").mapInArrow(B.links_by_source(blocks, offsets, hot), B.LINKS_MOVING))
+    lists = by_source.unionByName(block_keys).repartitionById(blocks, "block").mapInArrow(B.lists_of_sources(offsets, hot), B.MERGED)
+    merged, merged_path = written(lists, "merged")
+
+    degrees = merged.groupBy("vid").agg(F.sum(F.col("mult") * F.col("n")).alias("out_degree"), F.sum("n").alias("n_targets"),
+                                        F.sum("n_sources").alias("n_sources"))
+    offset = F.get(F.from_json(F.lit(json.dumps(offsets.tolist())), "array<bigint>"), F.col("block"))
+    none = F.lit(0).cast("bigint")
+    nodes = (names.select((offset + F.col("place")).alias("vid"), "id", "listed").join(degrees, "vid", "left")
+             .select("id", *(F.coalesce(c, none).alias(c) for c in ("out_degree", "n_targets", "n_sources")), "listed", "vid")
+             .select("id", "out_degree", "n_targets", "n_sources", (F.col("out_degree") == 0).alias("dangling"),
+                     (F.col("listed") | (F.col("n_targets") > 0)).alias("is_page"), _buckets(split).alias("nb"), "vid"))
+    with sized_shuffles(spark, int(sizes.sum())):
+        nodes, path = written(nodes, "nodes", path)
+    known = {r["vid"]: (r["out_degree"], r["n_targets"])
+             for r in nodes.where(F.col("vid").isin(hot.vids.tolist())).select("vid", "out_degree", "n_targets").collect()} if len(top) else {}
+    wedges = merged.where("n > 0").drop("n_sources").mapInArrow(B.lists_by_bucket(split, known), LIST_SCHEMA)
+    return nodes, wedges, [links_path, path], [names_path, merged_path]
+
+
+def _buckets(split: int) -> Column:
+    return F.when(F.col("n_targets") > 0, F.ceil(F.col("n_targets") / F.lit(split))).otherwise(F.lit(0)).cast("bigint")
+
+
+def _by_names(graph: Graph, split: int, path: str) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """The same as :func:`_by_blocks`, by joins on the names themselves, whatever their keys and type."""
+    spark = graph.edges.sparkSession
+    with sized_shuffles(spark, graph.links_hint or 0):
+        pairs, pairs_path = written(edge_pairs(graph), "pairs")
+    n_pairs = pairs.count()
+    with sized_shuffles(spark, n_pairs):
+        nodes, path = numbered(node_table(graph, pairs).withColumn("nb", _buckets(split)), "vid", path=path)
+    # At most 2 * HOT_VERTICES vertices reach this share of all links.
+    heavy = max(n_pairs // HOT_VERTICES, MIN_HOT_LINKS)
+    hot = nodes.where((F.col("n_targets") > heavy) | (F.col("n_sources") > heavy))
+    wedges = pairs.select("src", "dst", "mult")
+    # Targets first: links then lie by their source, so they move on to the buckets as lists.
+    wedges = _with_vids(wedges, "dst", "src", nodes, hot, [F.col("vid").alias("dst_vid")]).drop("dst")
+    wedges = _with_vids(wedges, "src", "dst_vid", nodes.where(F.col("nb") > 0), hot,
+                        [F.col("vid").alias("src_vid"), F.col("out_degree"), F.col("nb")])
+    wedges = wedges.select("src_vid",
+                           F.pmod(F.xxhash64("dst_vid"), F.col("nb")).cast("bigint").alias("bucket"),
+                           "dst_vid",
+                           (F.col("mult") / F.col("out_degree")).alias("w")).mapInArrow(link_lists, LIST_SCHEMA)
+    return nodes, wedges, [pairs_path, path], []
+
+
 def prepared(spark, state: str) -> bool:
     """Whether ``state`` holds a whole preparation."""
     return bool(manifest.numbers(spark, f"{state}/graph"))
@@ -173,7 +279,9 @@ def reopen(spark, state: str, cache_edges: bool = True) -> PreparedGraph:
         raise ValueError(f"the graph in {state} was prepared with another layout of its links; prepare it again in a new folder")
     checkpoint_root(spark)
     at = {kind: f"{state}/graph/{found['folder']}/{kind}" for kind in ("nodes", "wedges")}
-    nodes = with_numbers(spark.read.schema(found["node_schema"]).parquet(at["nodes"]), "vid")
+    nodes = spark.read.schema(found["node_schema"]).parquet(at["nodes"])
+    if PLACE in nodes.columns:
+        nodes = with_numbers(nodes, "vid")
     table, parts = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}", found["partitions"]
     spark.sql(f"CREATE TABLE {table} ({LIST_SCHEMA}) USING parquet "
               f"CLUSTERED BY (src_vid, bucket) INTO {parts} BUCKETS LOCATION '{at['wedges']}'")
@@ -187,9 +295,10 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
                   partitions: int | None = None, cache_edges: bool = True, state: str | None = None) -> PreparedGraph:
     """Compact, number, weight and lay out the edges once for all rounds.
 
-    * ``pairs(src, dst, mult)``: repeats merged (partial counts per task);
+    * the links written once as keys, with the names that they hold;
     * vertices with degree, bucket count ``nb`` and a dense number ``vid``
       (0 … N-1), written (which fixes the numbers for good);
+    * links numbered at both ends, repeats merged (:func:`_by_blocks`);
     * ``wedges(src_vid, bucket, w = mult/d(src), dst_vids)`` written as a table
       bucketed by ``(src_vid, bucket)`` into the checkpoint folder, so each
       round joins against it without moving an edge. The bucket count is
@@ -214,19 +323,7 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
     def place(kind: str) -> str:
         return f"{state}/graph/{folder}/{kind}" if state else scratch_path(spark, kind)
 
-    # Written rather than cached: links are read twice below, and vertices in
-    # every step; both survive a lost executor, and their columns are pruned.
-    nb = F.when(F.col("n_targets") > 0, F.ceil(F.col("n_targets") / F.lit(split))) \
-        .otherwise(F.lit(0)).cast("bigint")
-    with sized_shuffles(spark, graph.links_hint or 0):
-        if graph.merged:
-            pairs, paths = edge_pairs(graph), []
-        else:
-            pairs, path = written(edge_pairs(graph), "pairs")
-            paths = [path]
-    with sized_shuffles(spark, graph.links_hint or pairs.count()):
-        nodes, path = numbered(node_table(graph, pairs).withColumn("nb", nb), "vid", path=place("nodes"))
-        paths.append(path)
+    nodes, wedges, paths, passing = _by_blocks(graph, split, place("nodes")) or _by_names(graph, split, place("nodes"))
     sizes = nodes.agg(F.count(F.lit(1)).alias("n"),
                       F.coalesce(F.sum("n_targets"), F.lit(0)).alias("pairs")).first()
     n = sizes["n"]
@@ -234,19 +331,6 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
         parts = int(partitions)
     else:
         parts = bucket_count(sizes["pairs"], spark.sparkContext.defaultParallelism)
-
-    # At most 2 * HOT_VERTICES vertices reach this share of all links.
-    heavy = max(sizes["pairs"] // HOT_VERTICES, MIN_HOT_LINKS)
-    hot = nodes.where((F.col("n_targets") > heavy) | (F.col("n_sources") > heavy))
-    wedges = pairs.select("src", "dst", "mult")
-    # Targets first: links then lie by their source, so they move on to the buckets as lists.
-    wedges = _with_vids(wedges, "dst", "src", nodes, hot, [F.col("vid").alias("dst_vid")]).drop("dst")
-    wedges = _with_vids(wedges, "src", "dst_vid", nodes.where(F.col("nb") > 0), hot,
-                        [F.col("vid").alias("src_vid"), F.col("out_degree"), F.col("nb")])
-    wedges = wedges.select("src_vid",
-                           F.pmod(F.xxhash64("dst_vid"), F.col("nb")).cast("bigint").alias("bucket"),
-                           "dst_vid",
-                           (F.col("mult") / F.col("out_degree")).alias("w")).mapInArrow(link_lists, LIST_SCHEMA)
     table = f"linkgraph_wedges_{uuid.uuid4().hex[:12]}"
     paths.append(place("wedges"))
     with sized_shuffles(spark, sizes["pairs"]):
@@ -254,12 +338,14 @@ def prepare_graph(graph: Graph, split: int = DEFAULT_SPLIT,
          .write.bucketBy(parts, "src_vid", "bucket")
          .option("path", paths[-1])
          .saveAsTable(table))
+    for path in passing:
+        remove_path(spark, path)
     if state:
         manifest.commit(spark, f"{state}/graph", 1, {
             "folder": folder, "partitions": parts, "n_nodes": n, "n_pairs": sizes["pairs"], "split": split,
             "links": LIST_SCHEMA,
             "node_schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(paths[-2]).schema)})
-        for path in paths[:-2]:     # the merged links are not needed any more
+        for path in paths[:-2]:     # the links are not needed any more
             remove_path(spark, path)
     edges = spark.table(table)
     if cache_edges:
