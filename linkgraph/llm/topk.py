@@ -23,9 +23,11 @@ Scale. A block goes only to the stripes whose longest vector could still reach
 the threshold of one of its queries: stripes are ranges of the length, so these
 are the first few, known before anything moves. Work is (queries x candidates)
 at worst, in blocks spread over all tasks; a task holds a stripe (8 MB at 64
-dimensions) and a block. What reaches the driver: counts, the d x d product
-matrix, the seed vectors, and the last stripe of each class of lengths (sixteen
-classes to a doubling).
+dimensions) and a block, and ``PAIRED`` pairs of them on their way to it, where
+components take the fewest bytes that hold them all. What reaches the driver:
+counts, the d x d product matrix, the length of each stripe, the seed vectors,
+and the last stripe of each class of lengths (sixteen classes to a doubling).
+The seed vectors are cut from the first stripes, so no task sends its own.
 
 Cases: vectors that are null or hold null or non-finite components, and rows
 with a null id, take no part; shorter vectors count as padded with zeros;
@@ -46,12 +48,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from linkgraph.llm.common import saved
+from linkgraph.session import settings
 
 K = 20
 SCALE = 64
 SEED_VECTORS = 2048
 STRIPE, BLOCK, STEP = 16384, 512, 2048
 PAIRS = 1 << 15
+#: Pairs of a block and a stripe that a task is handed at a time.
+PAIRED = 4
 #: What 64-bit values hold, less a margin for the rounding of the estimate that is compared with it.
 MOST = 2.0 ** 63 * (1 - 1e-6)
 #: Classes of length to a doubling.
@@ -138,7 +143,7 @@ def packed(vectors: DataFrame, rows: int, parts: int, d: int) -> DataFrame:
             n += 1
             longest = np.sqrt((all_data[0].astype(float) ** 2).sum())
             return pa.record_batch([pa.array([part], pa.int32()), pa.array([(part << 32) + n], pa.int64()), pa.array([all_ids[:count].tobytes()], pa.binary()),
-                                    pa.array([all_data[:count].astype("<i8").tobytes()], pa.binary()), pa.array([longest])], schema=schema)
+                                    pa.array([_bytes(all_data[:count])], pa.binary()), pa.array([longest])], schema=schema)
 
         for b in batches:
             ids.append(b.column(0).to_numpy())
@@ -153,6 +158,28 @@ def packed(vectors: DataFrame, rows: int, parts: int, d: int) -> DataFrame:
     return spread.select("id", "v").mapInArrow(run, "part int, pack long, ids binary, data binary, longest double")
 
 
+def longest_of(stripes: DataFrame, seed: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of the ``seed`` longest, cut from the first stripes where they lie."""
+    sizes = stripes.select("pack", (F.octet_length("ids") / 8).cast("long").alias("n")).orderBy("pack").limit(seed).collect()
+    left, taken = seed, {}
+    for pack, n in sizes:
+        if left <= 0:
+            break
+        taken[pack], left = min(n, left), left - n
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for i in range(part.num_rows):
+                pack, ids, data = (part.column(c)[i].as_py() for c in range(3))
+                end = 8 * taken[pack]
+                yield pa.record_batch([pa.array([pack], pa.int64()), pa.array([ids[:end]], pa.binary()),
+                                       pa.array([data[:len(data) * end // len(ids)]], pa.binary())], names=["pack", "ids", "data"])
+
+    first = stripes.where(F.col("pack") <= max(taken, default=-1)).select("pack", "ids", "data").mapInArrow(run, "pack long, ids binary, data binary").collect()
+    cut = [_unpacked(r["ids"], r["data"], d) for r in sorted(first, key=lambda r: r["pack"])]
+    return np.concatenate([np.empty(0, np.int64), *(x for x, _ in cut)]), np.concatenate([np.empty((0, d), np.int64), *(v for _, v in cut)])
+
+
 def best(owner: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Indices of each owner's k best entries: highest score, then smallest id."""
     order = np.lexsort((ids, -score, owner))
@@ -162,6 +189,13 @@ def best(owner: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.nd
     return order[place < k]
 
 
+def kth(owner: np.ndarray, score: np.ndarray, n: int, k: int) -> np.ndarray:
+    """Each owner's lowest score if it has ``k`` entries, else the lowest number there is."""
+    worst = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(worst, owner, score)
+    return np.where(np.bincount(owner, minlength=n) >= k, worst, np.iinfo(np.int64).min)
+
+
 class Matcher:
     """A block of queries against candidates by descending length."""
 
@@ -206,11 +240,7 @@ class Matcher:
             score = np.concatenate((score, exact[right]))
             top = best(own, score, ids, k)
             own, ids, score = own[top], ids[top], score[top]
-            count = np.bincount(own, minlength=len(q))
-            worst = np.full(len(q), np.iinfo(np.int64).max)
-            np.minimum.at(worst, own, score)
-            full_up = count >= k
-            floor[full_up] = np.maximum(floor[full_up], worst[full_up])
+            floor = np.maximum(floor, kth(own, score, len(q), k))
         return own, ids, score
 
 
@@ -238,13 +268,9 @@ def cells(queries: DataFrame, stripes: DataFrame, matcher: Matcher, longest: tup
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for i in range(part.num_rows):
-                ids, q = _unpacked(part.column(2)[i], part.column(3)[i], d)
-                lowest = np.full(len(q), np.iinfo(np.int64).min)
-                own, _, score = matcher.match(ids, q, lowest, *longest)
-                floor, worst = lowest.copy(), np.full(len(q), np.iinfo(np.int64).max)
-                np.minimum.at(worst, own, score)
-                enough = np.bincount(own, minlength=len(q)) >= matcher.k
-                floor[enough] = worst[enough]
+                ids, q = _unpacked(part.column(2)[i].as_py(), part.column(3)[i].as_py(), d)
+                own, _, score = matcher.match(ids, q, np.full(len(q), np.iinfo(np.int64).min), *longest)
+                floor = kth(own, score, len(q), matcher.k)
                 # The shortest candidate that could reach the threshold of some query, less the margin of the bounds.
                 length = np.sqrt((q.astype(float) ** 2).sum(axis=1))
                 reach = np.where((floor <= 0) | (length == 0), 0.0, (floor.astype(float) - 1e-5) / np.maximum(length, 1) * (1 - 1e-8)).min()
@@ -268,31 +294,38 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
     n, d, asked = vectors.agg(F.count("*"), F.max(F.size("v")), F.count(F.when(is_query, 1))).first()
     d = max(d or 0, 1)
     matcher = Matcher(*rotation(vectors, d), k)
-    longest = vectors.orderBy(F.col("length").desc(), "id").limit(seed).select("id", "v").collect()
-    seed_v = np.zeros((len(longest), d), np.int64)
-    for i, r in enumerate(longest):
-        seed_v[i, : len(r["v"])] = r["v"]
-
-    stripes = saved(packed(vectors, stripe, max(1, -(-n // stripe)), d), "topk-stripes")
+    n_stripes = max(1, -(-n // stripe))
+    stripes = saved(packed(vectors, stripe, n_stripes, d), "topk-stripes")
     queries = packed(vectors.where(is_query), block, max(1, -(-asked // block)), d)
-    some = cells(queries, stripes, matcher, (np.array([r["id"] for r in longest], np.int64), seed_v), d)
+    some = cells(queries, stripes, matcher, longest_of(stripes, seed, d), d)
     schema = pa.schema([("q_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for i in range(part.num_rows):
-                q_ids, q = _unpacked(part.column(1)[i], part.column(2)[i], d)
-                c_ids, c = _unpacked(part.column(4)[i], part.column(5)[i], d)
+                q_ids, q = _unpacked(part.column(1)[i].as_py(), part.column(2)[i].as_py(), d)
+                c_ids, c = _unpacked(part.column(4)[i].as_py(), part.column(5)[i].as_py(), d)
                 floor = np.frombuffer(part.column(3)[i].as_py(), "<i8")
                 own, ids, score = matcher.match(q_ids, q, floor, c_ids, c)
                 yield pa.record_batch([pa.array(own + part.column(0)[i].as_py() * block), pa.array(q_ids[own]), pa.array(ids), pa.array(score)], schema=schema)
 
-    found = (some.join(stripes.select("part", "ids", "data"), "part").select("block", "q_ids", "q_data", "floor", "ids", "data")
-             .mapInArrow(run, "q_row long, query_id long, vec_id long, score long"))
+    # Estimated by its blocks, the side of the cells might be broadcast with a block for each stripe.
+    pairs = some.hint("merge").join(stripes.select("part", "ids", "data"), "part").select("block", "q_ids", "q_data", "floor", "ids", "data")
+    # Much work for few bytes: a partition for each stripe, whatever its size.
+    with settings(rows.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": PAIRED, "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                      "spark.sql.shuffle.partitions": max(n_stripes, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))}):
+        found = saved(pairs.mapInArrow(run, "q_row long, query_id long, vec_id long, score long"), "topk-found")
     order = Window.partitionBy("q_row").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _unpacked(ids: pa.Scalar, data: pa.Scalar, d: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids.as_py(), "<i8"), np.frombuffer(data.as_py(), "<i8").reshape(-1, d)
+def _bytes(whole: np.ndarray) -> bytes:
+    """Rows of whole numbers in the fewest bytes a component that hold them all."""
+    least, most = whole.min(), whole.max()
+    return whole.astype(next(t for t in ("<i1", "<i2", "<i4", "<i8") if np.iinfo(t).min <= least and most <= np.iinfo(t).max)).tobytes()
+
+
+def _unpacked(ids: bytes, data: bytes, d: int) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(ids, "<i8")
+    return ids, np.frombuffer(data, f"<i{len(data) // (len(ids) * d)}").reshape(-1, d).astype(np.int64)

@@ -81,6 +81,22 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]):
+    """Session settings that hold within the block, for what is written there; what was set before is restored."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 # Rows per shuffle partition the rank jobs aim for before adaptive coalescing.
 ROWS_PER_SHUFFLE_PARTITION = 2 << 20
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"

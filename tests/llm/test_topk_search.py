@@ -94,3 +94,30 @@ def test_blocks_meet_only_the_stripes_that_can_matter(spark):
 def test_empty(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, [1.0], "a", 0)]) == []
+
+
+def test_no_task_sends_vectors_of_its_own_to_the_driver(spark, monkeypatch):
+    """A limit takes its rows from each task, so what it takes must be small."""
+    frame, seen = type(spark.range(0)), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: seen.append((df._jdf.queryExecution().executedPlan().toString(), df.dtypes)) or collect(df))
+    saved, plans = topk.saved, {}
+    monkeypatch.setattr(topk, "saved", lambda df, kind: plans.update({kind: df._jdf.queryExecution().executedPlan().toString()}) or saved(df, kind))
+    run(spark, [(i, [float(i), 1.0], "x", 0) for i in range(60)], k=3, seed=10, stripe=16, block=8)
+    assert "SortMergeJoin" in plans["topk-found"]      # nor are the cells broadcast
+    limits = [kinds for plan, kinds in seen if "TakeOrderedAndProject" in plan]
+    assert len(seen) >= 4 and all(kind == "bigint" for kinds in limits for _, kind in kinds)
+
+
+def test_the_longest_vectors_come_from_the_first_stripes(spark):
+    rng = random.Random(5)
+    vectors = [(i, [rng.gauss(0, 1) * (2 ** 30 if i < 3 else 1) for _ in range(4)]) for i in range(150)]
+    whole_of = {i: whole(np.float32(v).tolist()) for i, v in vectors}
+    rows = topk.quantised(spark.createDataFrame([(i, v, "x", 0) for i, v in vectors], SCHEMA), "vec_id", "embedding")
+    stripes = topk.packed(rows, 16, 5, 4).localCheckpoint()
+    ids, found = topk.longest_of(stripes, 50, 4)
+    assert ids.tolist() == sorted(whole_of, key=lambda i: (-sum(x * x for x in whole_of[i]), i))[:50]
+    assert found.tolist() == [whole_of[i] for i in ids]
+    sizes = [len(r["data"]) * 8 // len(r["ids"]) for r in stripes.orderBy("pack").collect()]
+    assert sizes[0] == 4 * 8 and max(sizes[1:]) <= 4 * 2     # bytes for a vector: only the stripe of the large ones needs 8 a component
+    assert topk.longest_of(stripes.where("false"), 50, 4)[1].shape == (0, 4)
