@@ -15,8 +15,9 @@ A term's weight and a document's length factor come from exact counts over all
 documents: documents with a term, all terms, documents per term.
 
 Scale. Index blocks are bounded by postings and documents (a document is never
-split, and never larger than its text). Nothing of the corpus reaches the
-driver but two counts; queries go to the tasks in blocks bounded by their
+split, and never larger than its text), and a task is handed one at a time, and
+a few hundred texts to build them. Nothing of the corpus reaches the driver but
+two counts; queries go to the tasks in blocks bounded by their
 terms, each block of queries reading the index once. A task sends at most ``k``
 rows per item. Document frequencies are counted per block first, then summed
 for the queries' terms only.
@@ -39,13 +40,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from linkgraph.llm.common import byte_texts, saved, terms
 from linkgraph.operators.numbering import numbered
+from linkgraph.session import settings
 
 K = 20
 BLOCK_DOCS, BLOCK_POSTINGS = 8192, 1 << 19
+#: Rows that a task reads and is handed at a time: a row of the documents is a text, one of the index a block.
+DOCS_AT_ONCE, BLOCKS_AT_ONCE = 500, 1
 QUERY_TERMS = 200_000     # distinct terms of the items that go to the tasks at a time
 UNIT = 1_000_000_000
 
@@ -86,6 +90,11 @@ class _Block:
         return pa.record_batch([pa.array([v], f.type) for v, f in zip(values, INDEX)], schema=INDEX)
 
 
+def _at_once(spark: SparkSession, rows: int):
+    """What is written within the block reads and hands over this many rows at a time."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.parquet.columnarReaderBatchSize": rows})
+
+
 def build_index(docs: DataFrame, block_docs: int = BLOCK_DOCS, block_postings: int = BLOCK_POSTINGS) -> DataFrame:
     """The inverted index of ``docs`` (doc_id, text), written: columns of ``INDEX``."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +110,8 @@ def build_index(docs: DataFrame, block_docs: int = BLOCK_DOCS, block_postings: i
             yield block.row(number)
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return saved(rows.mapInArrow(run, INDEX_SQL), "ranking-index")
+    with _at_once(docs.sparkSession, DOCS_AT_ONCE):
+        return saved(rows.mapInArrow(run, INDEX_SQL), "ranking-index")
 
 
 def query_terms(items: DataFrame) -> DataFrame:
@@ -125,8 +135,9 @@ def weighted(index: DataFrame, asked: DataFrame, n_docs: int) -> DataFrame:
     held = found.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("held").alias("df"))
     # A word of many items has one row here, so its items' rows may all meet in one task: they are short.
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (2 * F.col("df") + 1))).cast("long")
-    return saved(asked.join(held, "term").select("place", "item_id", "term", "times", weight.alias("weight")).where("weight > 0"),
-                 "ranking-weights")
+    with _at_once(index.sparkSession, BLOCKS_AT_ONCE):
+        return saved(asked.join(held, "term").select("place", "item_id", "term", "times", weight.alias("weight")).where("weight > 0"),
+                     "ranking-weights")
 
 
 class Query:
@@ -253,7 +264,8 @@ def search(index: DataFrame, items: DataFrame, k: int = K, query_limit: int = QU
     asked = weighted(index, query_terms(items), n_docs)
     found = None
     for queries, vocabulary in _query_blocks(asked, query_limit):
-        some = saved(_matches(index, queries, vocabulary, n_docs, n_terms, k), "ranking-found")
+        with _at_once(index.sparkSession, BLOCKS_AT_ONCE):
+            some = saved(_matches(index, queries, vocabulary, n_docs, n_terms, k), "ranking-found")
         found = some if found is None else found.unionByName(some)
     if found is None:
         return items.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")

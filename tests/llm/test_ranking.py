@@ -92,3 +92,33 @@ def test_nulls_repeats_and_empty_tables(spark):
 def test_length_factor_beyond_64_bits():
     import numpy as np
     assert ranking.length_factor(np.array([10 ** 12, 1]), 10 ** 12, 10 ** 13).tolist() == [75 + 25 * 10 ** 11, 75 + 2]
+
+
+def test_tasks_get_few_texts_and_one_block_at_a_time(spark, monkeypatch):
+    """However large the batches of the session are: a block of the index takes megabytes."""
+    frame = type(spark.range(0))
+    handed = frame.mapInArrow
+
+    def limited(df, f, schema):
+        most = 1 if "tfs" in df.columns else 500
+
+        def run(parts):
+            def seen():
+                for part in parts:
+                    if part.num_rows > most:
+                        raise ValueError(f"{part.num_rows} rows at once")
+                    yield part
+            return f(seen())
+
+        return handed(df, run, schema)
+
+    monkeypatch.setattr(frame, "mapInArrow", limited)
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(x, None) for x in names]
+    docs = [(i, f"a w{i % 9}") for i in range(1300)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    items = [(0, "a w1"), (1, "w3")]
+    index = ranking.build_index(rows, block_docs=100)
+    found = ranking.search(index, spark.createDataFrame(items, "item_id long, text string"), 5)
+    assert index.count() == 13 and sorted(tuple(r) for r in found.collect()) == brute(docs, items, 5)
+    assert [spark.conf.get(x, None) for x in names] == before
